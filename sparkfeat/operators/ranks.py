@@ -36,6 +36,8 @@ def select_ranks(long: DataFrame, groups: Sequence[str], value: str,
     within each group.  ``targets`` maps a group tuple to the wanted ranks;
     ``counts`` come from the caller via ``group_counts``."""
     groups = list(groups)
+    if not groups:
+        raise ValueError("select_ranks needs at least one group column")
     spark = long.sparkSession
     data = long.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     counts = group_counts(data, groups, "_v")
@@ -70,7 +72,7 @@ def _resolve(spark, data: DataFrame, groups: List[str], brackets) -> Dict[Tuple[
     rows = [tuple(g) + (i, r, lo, hi) for i, (g, r, lo, hi) in enumerate(brackets)]
     # one row per wanted rank: bounded by the number of targets
     bt = F.broadcast(spark.createDataFrame(rows, schema))
-    joined = data.join(bt, groups) if groups else data.crossJoin(bt)
+    joined = data.join(bt, groups)
     v = F.col("_v")
     stats = joined.groupBy("_t", "_r", "_lo", "_hi").agg(
         F.count_if(v < F.col("_lo")).alias("_below"),
