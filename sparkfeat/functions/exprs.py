@@ -16,6 +16,13 @@ def col(c) -> Column:
 
 
 def sig(c, digits: int = SIG_DIGITS) -> Column:
+    """Round to ``digits`` significant digits, in two stages (digits + 3, then
+    digits) so that values that are exactly on a rounding boundary (data
+    with few decimals) but carry last-bit noise round the same way."""
+    return _sig1(_sig1(c, digits + 3), digits)
+
+
+def _sig1(c, digits: int) -> Column:
     """Round a double to ``digits`` significant digits (half away from zero).
 
     Used on outputs that are compared across engines: sums in a different
@@ -40,6 +47,10 @@ def sig(c, digits: int = SIG_DIGITS) -> Column:
 
 def sig_sql(x: str, digits: int = SIG_DIGITS) -> str:
     """The same rounding as SQL text (runs in Spark SQL and DuckDB)."""
+    return _sig1_sql(_sig1_sql(x, digits + 3), digits)
+
+
+def _sig1_sql(x: str, digits: int) -> str:
     e = f"floor(log10(abs({x})))"
     s = f"({digits - 1} - {e})"
     return (
