@@ -488,3 +488,155 @@ def q_sparsity_sweep(spark, sf):
 def registry() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
     """name -> query(spark, sf_dir), in SURVEY 7.4 order."""
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+
+
+# ------------------------------------------------------------------ model zoo (rows-only checks)
+from ..operators import models as M  # noqa: E402
+
+
+def _train_test(spark, sf):
+    sp = _emb_split(spark, sf).cache()
+    return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+
+
+def _zoo_row(spark, sf, name: str, save: bool = True) -> DataFrame:
+    train, test = _train_test(spark, sf)
+    model, fit_s = M.fit_model(name, train, "embedding", "label")
+    pred = M.predict(model, test, "embedding", "vec_id", "label", name)
+    t0 = time.perf_counter()
+    pred.write.format("noop").mode("overwrite").save()  # one full scoring pass
+    pred_s = time.perf_counter() - t0
+    n_test = test.count()
+    size_kb = None
+    if save:
+        path = S.save_model(model, scratch_path(spark, f"model-{name}"))
+        size_kb = S.stored_bytes(spark, path).first()["kb"]
+    m = V.weighted_prf(pred)
+    return m.select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1",
+                    F.lit(M.n_params(model)).cast("long").alias("n_params"),
+                    F.lit(size_kb).cast("double").alias("size_kb"),
+                    F.lit(fit_s).alias("fit_seconds"), F.lit(pred_s).alias("predict_seconds"),
+                    F.lit(1000.0 * pred_s / max(n_test, 1)).alias("ms_per_row"))
+
+
+def q_logistic(spark, sf):
+    return _zoo_row(spark, sf, "logistic")
+
+
+def q_tree(spark, sf):
+    return _zoo_row(spark, sf, "tree")
+
+
+def q_forest(spark, sf):
+    return _zoo_row(spark, sf, "forest")
+
+
+def q_linear_svm(spark, sf):
+    return _zoo_row(spark, sf, "linear_svm")
+
+
+def q_rbf_svm(spark, sf):
+    return _zoo_row(spark, sf, "rbf_svm")
+
+
+def q_naive_bayes_ml(spark, sf):
+    return _zoo_row(spark, sf, "naive_bayes")
+
+
+def q_mlp_small(spark, sf):
+    return _zoo_row(spark, sf, "mlp_small")
+
+
+def q_mlp_large(spark, sf):
+    return _zoo_row(spark, sf, "mlp_large")
+
+
+def q_model_comparison(spark, sf):
+    """All models in one table (V7, V12) with the best one flagged (V8)."""
+    rows = None
+    for name in M.MODELS:
+        r = _zoo_row(spark, sf, name, save=False)
+        rows = r if rows is None else rows.unionByName(r)
+    best = rows.orderBy(F.desc("accuracy"), F.asc("model")).first()["model"]
+    return rows.withColumn("is_best", F.col("model") == F.lit(best))
+
+
+def q_training_history(spark, sf):
+    """(iteration, loss) of the logistic regression fit."""
+    train, _ = _train_test(spark, sf)
+    model, _ = M.fit_model("logistic", train, "embedding", "label")
+    hist = M.history(model)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
+
+
+def q_history_last(spark, sf):
+    h = q_training_history(spark, sf)
+    return h.agg(F.max("iteration").alias("last_iteration"), F.max_by("loss", "iteration").alias("last_loss"))
+
+
+def q_metrics_store(spark, sf):
+    """Append one metric record per run to a parquet store and read it back."""
+    path = scratch_path(spark, "metrics")
+    for model_name, pred in (("gaussian_nb", _gnb_pred(spark, sf)), ("knn_5", _knn_pred(spark, sf))):
+        rec = V.weighted_prf(pred).select(F.lit(model_name).alias("model"), "*",
+                                          F.current_timestamp().alias("recorded_at"))
+        S.append_metrics(rec, path)
+    return S.read_metrics(spark, path)
+
+
+def q_model_roundtrip(spark, sf):
+    """Save a fitted pipeline, load it back and score the test split."""
+    train, test = _train_test(spark, sf)
+    model, _ = M.fit_model("logistic", train, "embedding", "label")
+    path = S.save_model(model, scratch_path(spark, "model-roundtrip"))
+    loaded = S.load_model(path)
+    loaded._rff_gamma = None
+    return M.predict(loaded, test, "embedding", "vec_id", "label", "logistic")
+
+
+def q_model_size(spark, sf):
+    """Stored size of a saved model folder (S8) and its fit against device flash."""
+    train, _ = _train_test(spark, sf)
+    model, _ = M.fit_model("naive_bayes", train, "embedding", "label")
+    path = S.save_model(model, scratch_path(spark, "model-size"))
+    size = S.stored_bytes(spark, path).withColumn("model", F.lit("naive_bayes"))
+    return V.fit_limits(size, "kb")
+
+
+# ------------------------------------------------------------------ grid search (rows-only)
+from ..operators import tune as G  # noqa: E402
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier  # noqa: E402
+
+
+def _cv_frames(spark, sf, folds: int):
+    train, test = _train_test(spark, sf)
+    tr = L.stratified_folds(train.drop("split"), "label", "vec_id", folds, 42)
+    return (M.with_vectors(tr, "embedding", "features", "label").cache(),
+            M.with_vectors(test, "embedding", "features", "label"))
+
+
+def _grid_forest(spark, sf):
+    tr, te = _cv_frames(spark, sf, 3)
+    est = RandomForestClassifier(featuresCol="features", labelCol="label_d", seed=42)
+    # "no depth limit" becomes Spark's maximum depth, 30
+    return G.grid_search(est, {"numTrees": [20, 30, 50], "maxDepth": [10, 20, 30]}, tr), te
+
+
+def q_grid_forest(spark, sf):
+    (model, table), _ = _grid_forest(spark, sf)
+    return table
+
+
+def q_grid_mlp(spark, sf):
+    tr, te = _cv_frames(spark, sf, 5)
+    d = len(tr.select("embedding").first()[0])
+    k = int(tr.agg(F.max("label")).first()[0]) + 1
+    est = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_d", seed=42)
+    layers = [[d, a, b, k] for a in (16, 32) for b in (8, 16)]
+    model, table = G.grid_search(est, {"layers": layers, "blockSize": [8, 16], "maxIter": [50, 75]}, tr)
+    return table
+
+
+def q_grid_table(spark, sf):
+    (model, table), te = _grid_forest(spark, sf)
+    return G.summary(model, table, te)
