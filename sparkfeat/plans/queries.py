@@ -640,3 +640,34 @@ def q_grid_mlp(spark, sf):
 def q_grid_table(spark, sf):
     (model, table), te = _grid_forest(spark, sf)
     return G.summary(model, table, te)
+
+
+# ------------------------------------------------------------------ compressed network variants (rows-only)
+from ..operators import variants as VA  # noqa: E402
+
+
+def _variant_setup(spark, sf):
+    train, test = _train_test(spark, sf)
+    model, _ = M.fit_model("mlp_small", train, "embedding", "label")
+    wt = VA.weights_table(spark, model).cache()
+    variants = {v: VA.make_variant(wt, v).cache() for v in VA.VARIANTS}
+    return model, wt, variants, test
+
+
+def q_weights_table(spark, sf):
+    """The trained network's weights as a table."""
+    return _variant_setup(spark, sf)[1]
+
+
+def q_score_variants(spark, sf):
+    """Predictions of every compressed variant on the test split."""
+    _, _, variants, test = _variant_setup(spark, sf)
+    return VA.score(test, variants, "embedding", "vec_id", "label")
+
+
+def q_variant_report(spark, sf):
+    """Size, accuracy and time per variant against float32."""
+    _, wt, variants, test = _variant_setup(spark, sf)
+    preds = VA.score(test, variants, "embedding", "vec_id", "label")
+    times = VA.timed_scores(test, variants, "embedding", "vec_id", "label")
+    return VA.report(spark, wt, variants, preds, times, test.count())
