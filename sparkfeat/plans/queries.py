@@ -671,3 +671,15 @@ def q_variant_report(spark, sf):
     preds = VA.score(test, variants, "embedding", "vec_id", "label")
     times = VA.timed_scores(test, variants, "embedding", "vec_id", "label")
     return VA.report(spark, wt, variants, preds, times, test.count())
+
+
+# ------------------------------------------------------------------ isolation forest (rows-only)
+from ..operators.isoforest import IsolationForest  # noqa: E402
+
+
+def q_isolation_forest(spark, sf):
+    """Outlier count of the isolation forest, contamination 0.02, seed 42 (O3)."""
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *LCOLS)
+    model = IsolationForest(LCOLS, trees=100, sample=256, contamination=0.02, seed=42).fit(li)
+    flagged = model.transform(li)
+    return flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_outlier").alias("n_outliers"))
