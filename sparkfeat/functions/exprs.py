@@ -46,8 +46,13 @@ def _sig1(c, digits: int) -> Column:
 
 
 def sig_sql(x: str, digits: int = SIG_DIGITS) -> str:
-    """The same rounding as SQL text (runs in Spark SQL and DuckDB)."""
-    return _sig1_sql(_sig1_sql(x, digits + 3), digits)
+    """The same rounding as DuckDB SQL text.
+
+    The value is bound once through a one-element list lambda, so the
+    expression ``x`` is not repeated inside the CASE.
+    """
+    inner = f"list_transform([CAST(({x}) AS DOUBLE)], lambda v: {_sig1_sql('v', digits + 3)})[1]"
+    return f"list_transform([{inner}], lambda w: {_sig1_sql('w', digits)})[1]"
 
 
 def _sig1_sql(x: str, digits: int) -> str:
