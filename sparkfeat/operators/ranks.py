@@ -22,7 +22,17 @@ from typing import Dict, Iterable, List, Sequence, Tuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100000
+ACCURACY = None  # None: sized to the data, see ``accuracy_for``
+
+
+def accuracy_for(n: int) -> int:
+    """Sketch accuracy A: the interior of a bracket is about 6 n / A rows.
+
+    A grows with the table so the interior stays near 1e5 rows, capped at 1e6
+    (sketch memory is O(A) per task); at 1e12 rows the interior is ~6e6 rows
+    for one window task.
+    """
+    return int(min(1_000_000, max(10_000, n // 100_000)))
 
 
 def group_counts(long: DataFrame, groups: Sequence[str], value: str) -> Dict[tuple, int]:
@@ -41,6 +51,8 @@ def select_ranks(long: DataFrame, groups: Sequence[str], value: str,
     spark = long.sparkSession
     data = long.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     counts = group_counts(data, groups, "_v")
+    if accuracy is None:
+        accuracy = accuracy_for(max(counts.values(), default=0))
     want: List[tuple] = []  # (group, r, p_lo, p_hi)
     delta = 3.0 / accuracy
     for g, rs in targets.items():
