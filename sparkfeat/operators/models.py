@@ -129,7 +129,13 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
         feats = "_rff"
     else:
         feats = features
-    d = with_vectors(train, feats, "features", label).cache()
+    d = with_vectors(train, feats, "features", label)
+    # iterative optimisers run one job per iteration: size partitions to the data
+    # (about 200k rows each), never above what the input already has
+    want = max(1, -(-n // 200_000))
+    if d.rdd.getNumPartitions() > want:
+        d = d.coalesce(want)
+    d = d.cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
