@@ -26,7 +26,8 @@ def grid_search(est, grid: Dict[str, Sequence], train: DataFrame, fold: str = "f
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold,
+    k = int(train.agg(F.max(fold)).first()[0]) + 1  # folds are 0..k-1
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold, numFolds=k,
                         parallelism=parallelism, seed=42)
     model = cv.fit(train)
     spark = train.sparkSession
