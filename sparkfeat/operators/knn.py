@@ -116,5 +116,6 @@ def knn_grid(train: DataFrame, ks: Sequence[int] = (3, 5, 7, 9), fold: str = "fo
                   .agg(F.avg((F.col("pred") == F.col("y")).cast("double")).alias("acc"))
                   .withColumn("k", F.lit(k)))
         per = acc if per is None else per.unionByName(acc)
+    # one row per k: the ranking window below runs over len(ks) rows
     summary = per.groupBy("k").agg(F.avg("acc").alias("mean_accuracy"), F.stddev_pop("acc").alias("std_accuracy"))
     return summary.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_accuracy"), F.asc("k"))).cast("int"))

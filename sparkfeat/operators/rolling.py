@@ -92,6 +92,7 @@ def ema(df: DataFrame, cols: Sequence[str], order: Sequence[str], spans: Sequenc
         qc = qs[w] ** C
         if qc > 0:
             lookback = max(lookback, int(math.ceil(80 * math.log(2) / max(-C * math.log(qs[w]), 1e-300))) + 1)
+    # over the chunk table (one row per chunk of up to MAX_CHUNK rows), per key
     spec = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-lookback, -1)
     prev = F.collect_list(F.struct("_chunk", *carry_names)).over(spec)
     carries = {}

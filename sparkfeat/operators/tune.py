@@ -37,6 +37,7 @@ def grid_search(est, grid: Dict[str, Sequence], train: DataFrame, fold: str = "f
         rows.append((i, ", ".join(f"{k}={_fmt(v)}" for k, v in sorted(params.items())),
                      float(model.avgMetrics[i]), float(model.stdMetrics[i]) if model.stdMetrics else None))
     table = spark.createDataFrame(rows, "candidate int, params string, mean_score double, std_score double")
+    # one row per candidate (bounded by the grid), so an unpartitioned rank is fine
     table = table.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_score"), F.asc("candidate"))))
     return model, table
 
