@@ -54,6 +54,14 @@ class GaussianNBModel:
         return (long.join(st, "d").groupBy(self.est.key, "cls")
                     .agg((F.log(F.first("prior")) - 0.5 * F.sum(term)).alias("jll")))
 
+    def class_scores(self, df: DataFrame) -> DataFrame:
+        """(key, scores array<double>): joint log-likelihoods in class order.
+        The array has one entry per class, so collecting it per row is bounded."""
+        key = self.est.key
+        jll = self.joint_log_likelihood(df)
+        return jll.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("cls", "jll"))).alias("_s")) \
+                  .select(key, F.transform("_s", lambda s: s["jll"]).alias("scores"))
+
     def predict(self, df: DataFrame, keep=("label",)) -> DataFrame:
         """(key, kept columns, pred, p_true?) ; ``p_true`` when the label is kept."""
         key = self.est.key

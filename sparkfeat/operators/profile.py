@@ -232,6 +232,15 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return stats.select(F.inline(F.array(*parts)))
 
 
+def correlation_all(df: DataFrame) -> DataFrame:
+    """Correlation over every numeric and boolean column (A18), like
+    ``pandas.DataFrame.corr(numeric_only=True)``."""
+    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+               T.DecimalType, T.BooleanType)
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, numeric)]
+    return correlation(df, cols)
+
+
 # ---------------------------------------------------------------- A20
 def column_bytes(df: DataFrame) -> DataFrame:
     """Logical bytes per column: width x non-null count, UTF-8 bytes for strings."""

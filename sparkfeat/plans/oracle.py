@@ -471,4 +471,15 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
     q["sparsity"] = (f"WITH {EMB_SPLIT}, {_prune_cte()} SELECT label, count(*) AS n, count(*) FILTER (WHERE weight = 0) "
                      f"AS n_zero, {S('100.0 * avg(CAST(weight = 0 AS DOUBLE))')} AS sparsity_pct FROM pruned GROUP BY label")
     q["sparsity_sweep"] = _sparsity_sweep()
+    ecols = ["event_id", "user_id", "value", "is_click"]
+    ev4 = "(SELECT event_id, user_id, value, CAST(event_type = 'click' AS INTEGER) AS is_click FROM events)"
+    q["correlation_all"] = _union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S(f'corr({a}, {b})')} AS corr FROM {ev4}"
+                                   for a in ecols for b in ecols])
+    q["argmax_scores"] = (f"WITH {GNB}, sc AS (SELECT vec_id, list(jll ORDER BY cls) AS s FROM gjll GROUP BY vec_id) "
+                          "SELECT vec_id, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS argmax, "
+                          "CAST(len(s) AS INTEGER) AS n_scores FROM sc")
+    q["class_ids"] = ("SELECT CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS INTEGER) AS class_id, "
+                      "l_returnflag AS class_name FROM (SELECT DISTINCT l_returnflag FROM lineitem)")
+    q["smooth_3"] = ("SELECT event_id, " + S("avg(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
+                     + " AS value FROM events")
     return q

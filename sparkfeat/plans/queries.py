@@ -683,3 +683,35 @@ def q_isolation_forest(spark, sf):
     model = IsolationForest(LCOLS, trees=100, sample=256, contamination=0.02, seed=42).fit(li)
     flagged = model.transform(li)
     return flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_outlier").alias("n_outliers"))
+
+
+# ------------------------------------------------------------------ remaining inventory items
+from ..functions.exprs import argmax_array  # noqa: E402
+
+
+def q_correlation_all(spark, sf):
+    """Correlation over all numeric and boolean columns."""
+    ev = t(spark, sf, "events").select("event_id", "user_id", "value",
+                                       (F.col("event_type") == "click").alias("is_click"), "event_type")
+    return _sig_cols(P.correlation_all(ev), ["corr"])
+
+
+def q_argmax_scores(spark, sf):
+    """Arg max over each row's class-score vector (D7): first maximum on ties."""
+    sp = _emb_split(spark, sf)
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    model = NB.GaussianNB("embedding", "label", "vec_id").fit(train)
+    sc = model.class_scores(test)
+    return sc.select("vec_id", argmax_array("scores").alias("argmax"), F.size("scores").alias("n_scores"))
+
+
+def q_class_ids(spark, sf):
+    """Class id -> name table of the fitted label encoder (E5)."""
+    li = t(spark, sf, "lineitem").select("l_returnflag")
+    return E.LabelEncoder("l_returnflag", "class_id").fit(li).class_table(spark)
+
+
+def q_smooth_3(spark, sf):
+    """3-point rolling mean with partial frames replacing the column."""
+    s = O.smooth(_series(spark, sf), ["value"], ORDER, 3)
+    return _sig_cols(s.select("event_id", "value"), ["value"])
