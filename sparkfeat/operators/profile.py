@@ -120,9 +120,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: s
 
 
 # ---------------------------------------------------------------- A13, A14, A16, O1
-def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> Dict[str, tuple]:
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, qv=None) -> Dict[str, tuple]:
     """Linear quartiles and fences per column: (q1, q3, iqr, lower, upper)."""
-    qv = quantile_values(df, cols, [0.25, 0.75], "linear")
+    qv = qv or quantile_values(df, cols, [0.25, 0.75], "linear")
     out = {}
     for c in cols:
         q1, q3 = qv[(c, 0.25)], qv[(c, 0.75)]
@@ -160,7 +160,8 @@ def iqr_rows(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
 
 def box_numbers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, whiskers (extreme data inside the fences), fliers."""
-    fences = iqr_fences(df, cols, k)
+    qv = quantile_values(df, cols, [0.25, 0.5, 0.75], "linear")
+    fences = iqr_fences(df, cols, k, qv)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -169,7 +170,6 @@ def box_numbers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.min(F.when(inside, x)).alias(f"{c}__wlo"), F.max(F.when(inside, x)).alias(f"{c}__whi"),
                  F.count_if(~inside).alias(f"{c}__fl")]
-    qv = quantile_values(df, cols, [0.5], "linear")
     stats = df.agg(*aggs)
     parts = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__min").alias("min"),
                       F.lit(fences[c][0]).cast("double").alias("q1"),

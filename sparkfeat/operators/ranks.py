@@ -122,43 +122,105 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
-                    method: str = "linear", accuracy: int = ACCURACY) -> Dict[Tuple[str, float], float]:
-    """Exact quantiles per column.
+                    method: str = "linear", accuracy: int | None = ACCURACY) -> Dict[Tuple[str, float], float]:
+    """Exact quantiles per column, on the wide table (no reshaping, no joins).
 
     ``linear``: v[floor(p)] + (v[ceil(p)] - v[floor(p)]) * (p - floor(p)), p = (n-1)q
     (numpy / pandas default, DuckDB ``quantile_cont``, Spark ``percentile``).
-    ``nearest``: v[round_half_even((n-1)q)].
+    ``nearest``: v[round_half_even((n-1)q)].  Nulls are dropped.
+
+    Passes: (1) non-null counts, (2) one sketch per column around the wanted
+    ranks, (3) per wanted rank: rows below / at the bracket ends, as
+    conditional counts, (4) only if needed, the bracket interiors gathered in
+    one scan and ranked per target.
     """
-    long = _long(df, cols)
-    counts = group_counts(long, ["column"], "value")
-    targets, plan = {}, {}
+    cols = list(cols)
+    x = {c: F.col(c).cast("double") for c in cols}
+    cnt = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    n = {c: int(cnt[f"n{i}"]) for i, c in enumerate(cols)}
+    plan, ranks = {}, {c: set() for c in cols}
     for c in cols:
-        n = counts.get((c,), 0)
-        if n == 0:
-            for q in qs:
-                plan[(c, q)] = None
-            continue
         for q in qs:
-            pos = (n - 1) * q
+            if n[c] == 0:
+                plan[(c, q)] = None
+                continue
+            pos = (n[c] - 1) * q
             if method == "linear":
                 lo = int(pos // 1)
-                hi = min(lo + 1, n - 1) if pos > lo else lo
+                hi = min(lo + 1, n[c] - 1) if pos > lo else lo
                 plan[(c, q)] = ("lin", lo, hi, pos - lo)
-                targets.setdefault((c,), set()).update({lo, hi})
+                ranks[c].update({lo, hi})
             elif method == "nearest":
                 k = int(round(pos))  # Python round is half-to-even
                 plan[(c, q)] = ("near", k)
-                targets.setdefault((c,), set()).add(k)
+                ranks[c].add(k)
             else:
                 raise ValueError(method)
-    vals = select_ranks(long, ["column"], "value", targets, accuracy)
+    vals = wide_select(df, {c: sorted(r) for c, r in ranks.items() if r}, n, accuracy)
     out = {}
     for (c, q), p in plan.items():
         if p is None:
             out[(c, q)] = None
         elif p[0] == "near":
-            out[(c, q)] = vals[((c,), p[1])]
+            out[(c, q)] = vals[(c, p[1])]
         else:
-            a, b = vals[((c,), p[1])], vals[((c,), p[2])]
+            a, b = vals[(c, p[1])], vals[(c, p[2])]
             out[(c, q)] = a if p[1] == p[2] else a + (b - a) * p[3]
     return out
+
+
+def wide_select(df: DataFrame, ranks: Dict[str, Sequence[int]], n: Dict[str, int],
+                accuracy: int | None = None) -> Dict[Tuple[str, int], float]:
+    """Exact value at 0-based rank r of each column (ascending, nulls dropped)."""
+    if not ranks:
+        return {}
+    A = accuracy or accuracy_for(max(n[c] for c in ranks))
+    delta = 3.0 / A
+    x = {c: F.col(c).cast("double") for c in ranks}
+    ps = {c: sorted({max(0.0, r / n[c] - delta) for r in rs} | {min(1.0, (r + 1) / n[c] + delta) for r in rs})
+          for c, rs in ranks.items()}
+    cols = list(ranks)
+    sk = df.agg(*[F.percentile_approx(x[c], ps[c], A).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    brackets = []
+    for i, c in enumerate(cols):
+        qv = dict(zip(ps[c], sk[f"s{i}"]))
+        for r in ranks[c]:
+            brackets.append((c, r, float(qv[max(0.0, r / n[c] - delta)]), float(qv[min(1.0, (r + 1) / n[c] + delta)])))
+    out = _resolve_wide(df, brackets)
+    missing = [(c, r, float("-inf"), float("inf")) for (c, r, lo, hi) in brackets if (c, r) not in out]
+    if missing:
+        out.update(_resolve_wide(df, missing))
+    return out
+
+
+def _resolve_wide(df: DataFrame, brackets) -> Dict[Tuple[str, int], float]:
+    aggs = []
+    for t, (c, r, lo, hi) in enumerate(brackets):
+        v = F.col(c).cast("double")
+        aggs += [F.count_if(v < F.lit(lo)).alias(f"b{t}"), F.count_if(v == F.lit(lo)).alias(f"l{t}"),
+                 F.count_if(v == F.lit(hi)).alias(f"h{t}"), F.count_if(v <= F.lit(hi)).alias(f"u{t}")]
+    st = df.agg(*aggs).first()
+    result, inner_need = {}, {}
+    for t, (c, r, lo, hi) in enumerate(brackets):
+        below, at_lo, at_hi, upto = st[f"b{t}"], st[f"l{t}"], st[f"h{t}"], st[f"u{t}"]
+        if not (below <= r < upto):
+            continue  # bracket missed: the caller retries with the full range
+        if r < below + at_lo:
+            result[t] = lo
+        elif r >= upto - at_hi:
+            result[t] = hi
+        else:
+            inner_need[t] = r - below - at_lo
+    if inner_need:
+        spark = df.sparkSession
+        picks = []
+        for t in inner_need:
+            c, r, lo, hi = brackets[t]
+            v = F.col(c).cast("double")
+            picks.append(F.when((v > F.lit(lo)) & (v < F.lit(hi)), F.struct(F.lit(t).alias("_t"), v.alias("_v"))))
+        inner = (df.select(F.explode(F.array(*picks)).alias("_p")).where(F.col("_p").isNotNull()).select("_p.*")
+                   .withColumn("_k", F.row_number().over(Window.partitionBy("_t").orderBy("_v")) - 1))
+        need = spark.createDataFrame([(t, k) for t, k in inner_need.items()], "_t int, _k long")  # one row per target
+        for row in inner.join(F.broadcast(need), ["_t", "_k"]).select("_t", "_v").collect():
+            result[row["_t"]] = row["_v"]
+    return {(brackets[t][0], brackets[t][1]): v for t, v in result.items()}
