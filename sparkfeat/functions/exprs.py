@@ -22,6 +22,13 @@ def sig(c, digits: int = SIG_DIGITS) -> Column:
     return _sig1(_sig1(c, digits + 3), digits)
 
 
+def sig_columns(df, cols, digits: int = SIG_DIGITS):
+    """``sig`` on whole columns as two projections: each stage references its
+    input a few times instead of nesting one CASE inside the other."""
+    cols = list(cols)
+    return df.withColumns({c: _sig1(c, digits + 3) for c in cols}).withColumns({c: _sig1(c, digits) for c in cols})
+
+
 def _sig1(c, digits: int) -> Column:
     """Round a double to ``digits`` significant digits (half away from zero).
 

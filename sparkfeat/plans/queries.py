@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import features as FE
 from ..functions import spectral as SP
-from ..functions.exprs import clamp, half_round, sig
+from ..functions.exprs import clamp, half_round, sig, sig_columns
 from ..operators import compress as C
 from ..operators import encode as E
 from ..operators import evaluate as V
@@ -40,7 +40,7 @@ def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _sig_cols(df: DataFrame, cols, digits: int = 9) -> DataFrame:
-    return df.withColumns({c: sig(c, digits) for c in cols})
+    return sig_columns(df, cols, digits)
 
 
 # ------------------------------------------------------------------ sources
