@@ -75,37 +75,92 @@ def _factor(n: int) -> tuple[int, int]:
     return best, n // best
 
 
-def spectrum_global(df: DataFrame, col: str, order: Sequence[str], summary: bool = True,
-                    max_group: int = 1 << 22) -> DataFrame:
-    """|FFT| of the whole ordered column; one row per k, or the summary row."""
-    indexed, sizes = global_index(df.select(*order, col), order, None, rn="_rn")
-    n = int(sizes.first()["n"])
-    n1, n2 = _factor(n)
-    if n2 > max_group:
-        raise ValueError(f"length {n} has no factor pair with groups below {max_group} rows")
-    x = indexed.select((F.col("_rn") % n1).cast("long").alias("n1"),
-                       F.floor(F.col("_rn") / n1).cast("long").alias("n2"),
-                       F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("x"))
+def fft_indexed(df: DataFrame, length: int, idx: str = "idx", re: str = "re", im: str = "im") -> DataFrame:
+    """Distributed FFT of a complex sequence given as rows (idx, re, im).
+
+    Four-step with length = N1 * N2: rows may be missing (they are zeros), so
+    zero padding costs nothing.  Groups hold N2 (first round) and N1 (second
+    round) values.  Returns (k, re, im) for every k in [0, length).
+    """
+    n1, n2 = _factor(length)
+    x = df.select((F.col(idx) % n1).cast("long").alias("n1"), F.floor(F.col(idx) / n1).cast("long").alias("n2"),
+                  F.col(re).cast("double").alias("re"), F.col(im).cast("double").alias("im"))
 
     def first_round(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n2")
         a = int(pdf["n1"].iloc[0])
-        y = np.fft.fft(pdf["x"].to_numpy(), n=n2)
+        v = np.zeros(n2, dtype=np.complex128)
+        v[pdf["n2"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        y = np.fft.fft(v)
         k2 = np.arange(n2, dtype=np.int64)
-        tw = np.exp(-2j * np.pi * ((a * k2) % n) / n)
-        y = y * tw
+        y = y * np.exp(-2j * np.pi * ((a * k2) % length) / length)
         return pd.DataFrame({"n1": a, "k2": k2, "re": y.real, "im": y.imag})
 
     y = x.groupBy("n1").applyInPandas(first_round, "n1 long, k2 long, re double, im double")
 
     def second_round(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n1")
         b = int(pdf["k2"].iloc[0])
-        z = np.fft.fft(pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy(), n=n1)
-        k1 = np.arange(n1, dtype=np.int64)
-        return pd.DataFrame({"k": b + n2 * k1, "mag": np.abs(z)})
+        v = np.zeros(n1, dtype=np.complex128)
+        v[pdf["n1"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        z = np.fft.fft(v)
+        return pd.DataFrame({"k": b + n2 * np.arange(n1, dtype=np.int64), "re": z.real, "im": z.imag})
+
+    return y.groupBy("k2").applyInPandas(second_round, "k long, re double, im double")
+
+
+def _good_factor(n: int, max_group: int) -> bool:
+    a, b = _factor(n)
+    return b <= max_group
+
+
+def _chirp(idx, n: int):
+    """angle pi * (idx^2 mod 2n) / n, exact in 64-bit integers for idx < 2^31.5."""
+    return F.lit(math.pi) * F.pmod(F.col(idx) * F.col(idx), F.lit(2 * n)).cast("double") / F.lit(float(n))
+
+
+def _bluestein(x: DataFrame, n: int) -> DataFrame:
+    """Chirp-z transform of (idx, re) of length n via FFTs of a padded
+    power-of-two length M >= 2n - 1:  X_k = w_k * IFFT(FFT(a) FFT(b))_k with
+    a_j = x_j conj(w_j), b_m = w_m^-1 ... (w_j = e^{-i pi j^2 / n})."""
+    if n > 1_500_000_000:
+        raise ValueError("chirp-z length limited to 1.5e9 (64-bit chirp phases)")
+    spark = x.sparkSession
+    m = 1 << int(math.ceil(math.log2(2 * n - 1)))
+    ang = _chirp("idx", n)
+    a = x.select("idx", (F.col("re") * F.cos(ang)).alias("re"), (-F.col("re") * F.sin(ang)).alias("im"))
+    pos = spark.range(0, n).withColumnRenamed("id", "idx")
+    neg = spark.range(1, n).select((F.lit(m) - F.col("id")).alias("idx"), F.col("id").alias("j"))
+    b = pos.select("idx", F.cos(_chirp("idx", n)).alias("re"), F.sin(_chirp("idx", n)).alias("im")).unionByName(
+        neg.select("idx", F.cos(_chirp("j", n)).alias("re"), F.sin(_chirp("j", n)).alias("im")))
+    fa = fft_indexed(a, m).select("k", F.col("re").alias("ar"), F.col("im").alias("ai"))
+    fb = fft_indexed(b, m).select("k", F.col("re").alias("br"), F.col("im").alias("bi"))
+    # conj of the product, so a forward FFT gives M * conj(inverse FFT)
+    prod = fa.join(fb, "k").select(F.col("k").alias("idx"),
+                                   (F.col("ar") * F.col("br") - F.col("ai") * F.col("bi")).alias("re"),
+                                   (-(F.col("ar") * F.col("bi") + F.col("ai") * F.col("br"))).alias("im"))
+    c = fft_indexed(prod, m).where(F.col("k") < n).select(
+        "k", (F.col("re") / m).alias("cr"), (-F.col("im") / m).alias("ci"))
+    w = _chirp("k", n)
+    return c.select("k", (F.col("cr") * F.cos(w) + F.col("ci") * F.sin(w)).alias("re"),
+                    (F.col("ci") * F.cos(w) - F.col("cr") * F.sin(w)).alias("im"))
+
 
-    spec = y.groupBy("k2").applyInPandas(second_round, "k long, mag double")
+def spectrum_global(df: DataFrame, col: str, order: Sequence[str], summary: bool = True,
+                    max_group: int = 1 << 22) -> DataFrame:
+    """|FFT| of the whole ordered column; one row per k, or the summary row.
+
+    A length whose best factor pair still leaves groups above ``max_group``
+    rows (e.g. a large prime) goes through the chirp-z transform on a padded
+    power-of-two length instead.
+    """
+    indexed, sizes = global_index(df.select(*order, col), order, None, rn="_rn")
+    n = int(sizes.first()["n"])
+    x = indexed.select(F.col("_rn").alias("idx"), F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("re"),
+                       F.lit(0.0).alias("im"))
+    if _good_factor(n, max_group):
+        z = fft_indexed(x, n)
+    else:
+        z = _bluestein(x, n)
+    spec = z.select("k", F.sqrt(F.col("re") ** 2 + F.col("im") ** 2).alias("mag"))
     if not summary:
         return spec
     return _summaries(spec.withColumn("column", F.lit(col)).withColumn("_n", F.lit(n).cast("long")),

@@ -114,6 +114,18 @@ def test_global_fft_matches_numpy(spark, n):
     assert np.allclose(spec["mag"].to_numpy(), np.abs(np.fft.fft(x)), atol=1e-9)
 
 
+@pytest.mark.parametrize("n", [97, 1000])
+def test_chirp_z_matches_numpy(spark, n):
+    rng = np.random.default_rng(n + 1)
+    x = rng.normal(size=n)
+    pdf = pd.DataFrame({"t": np.arange(n), "x": x})
+    # max_group below the length forces the chirp-z path
+    spec = SP.spectrum_global(spark.createDataFrame(pdf), "x", ["t"], summary=False, max_group=8).toPandas()
+    spec = spec.sort_values("k")
+    assert len(spec) == n
+    assert np.allclose(spec["mag"].to_numpy(), np.abs(np.fft.fft(x)), atol=1e-8)
+
+
 def test_isolation_forest_finds_planted(spark):
     rng = np.random.default_rng(6)
     X = rng.normal(0, 1, (2000, 3))
