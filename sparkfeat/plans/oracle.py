@@ -471,6 +471,10 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
     q["sparsity"] = (f"WITH {EMB_SPLIT}, {_prune_cte()} SELECT label, count(*) AS n, count(*) FILTER (WHERE weight = 0) "
                      f"AS n_zero, {S('100.0 * avg(CAST(weight = 0 AS DOUBLE))')} AS sparsity_pct FROM pruned GROUP BY label")
     q["sparsity_sweep"] = _sparsity_sweep()
+    ema = _ema_sql(WINDOWS).replace("WITH RECURSIVE ", "")
+    q["engineered_features"] = (
+        f"WITH RECURSIVE rl AS ({_rolling_sql(WINDOWS, 'mean')}), rv AS ({_rolling_sql(WINDOWS, 'var')}), "
+        f"em AS (WITH RECURSIVE {ema}) SELECT * FROM rl JOIN rv USING (event_id) JOIN em USING (event_id)")
     ecols = ["event_id", "user_id", "value", "is_click"]
     ev4 = "(SELECT event_id, user_id, value, CAST(event_type = 'click' AS INTEGER) AS is_click FROM events)"
     q["correlation_all"] = _union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S(f'corr({a}, {b})')} AS corr FROM {ev4}"

@@ -715,3 +715,34 @@ def q_smooth_3(spark, sf):
     """3-point rolling mean with partial frames replacing the column."""
     s = O.smooth(_series(spark, sf), ["value"], ORDER, 3)
     return _sig_cols(s.select("event_id", "value"), ["value"])
+
+
+# ------------------------------------------------------------------ the feature-engineering lifecycle
+def _engineered(spark, sf) -> DataFrame:
+    """Dedup, order by (ts, event_id), rolling mean / var and EMA for every window,
+    written as CSV (S3) and read back (S1)."""
+    ev = P.dedup(_series(spark, sf))
+    r = R.rolling(ev, ["value"], ORDER, WINDOWS, ("mean", "var"))
+    e = R.ema(r, ["value"], ORDER, WINDOWS)
+    path = S.write_csv(e, scratch_path(spark, "engineered"))
+    return S.read_csv(spark, path, e.schema)
+
+
+def q_engineered_features(spark, sf):
+    e = _engineered(spark, sf)
+    cols = [f"value_{k}_{w}" for k in ("MA", "VAR", "EMA") for w in WINDOWS]
+    digits = {c: 6 if "_VAR_" in c else 9 for c in cols}
+    out = e.select("event_id", *cols)
+    out = _sig_cols(out, [c for c in cols if digits[c] == 9], 9)
+    return _sig_cols(out, [c for c in cols if digits[c] == 6], 6)
+
+
+def q_engineered_size(spark, sf):
+    """Feature count and logical bytes before and after feature engineering."""
+    before = _series(spark, sf)
+    after = _engineered(spark, sf)
+    b = P.column_bytes(before).agg(F.sum("bytes").alias("bytes")).withColumn("table", F.lit("original")) \
+        .withColumn("n_features", F.lit(len(before.columns)))
+    a = P.column_bytes(after).agg(F.sum("bytes").alias("bytes")).withColumn("table", F.lit("engineered")) \
+        .withColumn("n_features", F.lit(len(after.columns)))
+    return b.unionByName(a).withColumn("kb", F.col("bytes") / 1024.0)
