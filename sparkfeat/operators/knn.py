@@ -1,17 +1,17 @@
 """Exact k-nearest-neighbour classification (M2) and its grid search (G1).
 
-Queries are cut into blocks of at most ``block`` rows.  A block is shipped to
-executors as a broadcast (its size is bounded by ``block``), and each
-partition of the reference table computes the distances to the block in
-numpy, emitting only its own top-k candidates per query - never all pairs.
-A window per query then merges the partial top-k lists (partitions x k rows
-per query) and a grouped count votes; vote ties go to the smallest label.
+Reference rows and queries are hashed into bounded blocks; every (reference
+block, query block) pair meets in one cogroup task that computes the
+distances in numpy and emits only its own top-k candidates per query - never
+all pairs as rows, and no query row passes through the driver.  A window per
+query merges the partial lists (reference blocks x k rows per query) and a
+grouped count votes; vote ties go to the smallest label.
 Distances are exact Euclidean: candidates are pre-selected with the expanded
 form and re-ranked with sum((q - t)^2), ties broken by the reference key.
 """
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,69 +21,70 @@ from pyspark.sql import functions as F
 CAND_SCHEMA = "qid long, cid long, clabel int, dist double"
 
 
-def _partial_topk(bq, k: int, key: str, label: str, features: str, exclude_same: str | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, Q, qgroup = bq.value
-        Q2 = (Q * Q).sum(1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            T = np.stack(pdf[features].to_numpy()).astype(np.float64)
-            tid = pdf[key].to_numpy(np.int64)
-            tlab = pdf[label].to_numpy(np.int64)
-            d2 = Q2[:, None] + (T * T).sum(1)[None, :] - 2.0 * (Q @ T.T)
-            if exclude_same is not None:
-                tg = pdf[exclude_same].to_numpy(np.int64)
-                d2 = np.where(qgroup[:, None] == tg[None, :], np.inf, d2)
-            m = min(T.shape[0], k + 8)
+def _block_topk(k: int, has_group: bool, chunk: int = 256):
+    def run(ref: pd.DataFrame, qry: pd.DataFrame) -> pd.DataFrame:
+        if ref.empty or qry.empty:
+            return pd.DataFrame({"qid": np.array([], np.int64), "cid": np.array([], np.int64),
+                                 "clabel": np.array([], np.int32), "dist": np.array([], np.float64)})
+        T = np.stack(ref["f"].to_numpy()).astype(np.float64)
+        tid = ref["cid"].to_numpy(np.int64)
+        tlab = ref["clabel"].to_numpy(np.int64)
+        tg = ref["g"].to_numpy(np.int64) if has_group else None
+        T2 = (T * T).sum(1)
+        Qall = np.stack(qry["f"].to_numpy()).astype(np.float64)
+        qids_all = qry["qid"].to_numpy(np.int64)
+        qg_all = qry["g"].to_numpy(np.int64) if has_group else None
+        out_q, out_c, out_l, out_d = [], [], [], []
+        m = min(T.shape[0], k + 8)
+        for s0 in range(0, Qall.shape[0], chunk):  # bounded distance matrix: chunk x block
+            Q = Qall[s0:s0 + chunk]
+            d2 = (Q * Q).sum(1)[:, None] + T2[None, :] - 2.0 * (Q @ T.T)
+            if has_group:
+                d2 = np.where(qg_all[s0:s0 + chunk][:, None] == tg[None, :], np.inf, d2)
             idx = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < T.shape[0] else \
                 np.tile(np.arange(T.shape[0]), (Q.shape[0], 1))
-            rows_q, rows_c, rows_l, rows_d = [], [], [], []
             for qi in range(Q.shape[0]):
-                cand = idx[qi]
-                cand = cand[np.isfinite(d2[qi, cand])]
+                cand = idx[qi][np.isfinite(d2[qi, idx[qi]])]
                 if cand.size == 0:
                     continue
                 exact = ((T[cand] - Q[qi]) ** 2).sum(1)
                 order = np.lexsort((tid[cand], exact))[:k]
-                rows_q.append(np.full(order.size, qids[qi], np.int64))
-                rows_c.append(tid[cand][order])
-                rows_l.append(tlab[cand][order])
-                rows_d.append(np.sqrt(exact[order]))
-            if rows_q:
-                yield pd.DataFrame({"qid": np.concatenate(rows_q), "cid": np.concatenate(rows_c),
-                                    "clabel": np.concatenate(rows_l).astype(np.int32),
-                                    "dist": np.concatenate(rows_d)})
+                out_q.append(np.full(order.size, qids_all[s0 + qi], np.int64))
+                out_c.append(tid[cand][order])
+                out_l.append(tlab[cand][order])
+                out_d.append(np.sqrt(exact[order]))
+        if not out_q:
+            return run(ref.iloc[0:0], qry.iloc[0:0])
+        return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
+                             "clabel": np.concatenate(out_l).astype(np.int32), "dist": np.concatenate(out_d)})
     return run
 
 
 def neighbours(ref: DataFrame, query: DataFrame, k: int, key: str = "id", label: str = "label",
-               features: str = "features", group: str | None = None, block: int = 4096) -> DataFrame:
+               features: str = "features", group: str | None = None, ref_block: int = 20000,
+               query_block: int = 2000) -> DataFrame:
     """(qid, rank, cid, clabel, dist): the k nearest reference rows of every query.
 
-    With ``group`` set, a query never matches a reference row of its own group
-    (cross-validation folds).
+    Reference rows are hashed into R blocks, queries into Q blocks; every
+    reference row is replicated to the Q query blocks and every query to the R
+    reference blocks (``explode(sequence)``), so the cogroup of (r, q) holds one
+    bounded block of each side.  Each group emits its top-k per query; a window
+    per query merges the R partial lists.  With ``group`` set, a query never
+    matches a reference row of its own group (cross-validation folds).
     """
-    spark = ref.sparkSession
-    qcols = [key, features] + ([group] if group else [])
-    nq = query.count()
-    nblocks = max(1, -(-nq // block))
-    qb = query.select(*qcols).withColumn("_blk", F.pmod(F.xxhash64(F.col(key)), F.lit(nblocks)))
-    rcols = [key, label, features] + ([group] if group else [])
-    ref_sel = ref.select(*rcols)
-    parts = []
-    for blk in range(nblocks):
-        rows = qb.where(F.col("_blk") == blk).select(*qcols).collect()  # about ``block`` rows
-        if not rows:
-            continue
-        qids = np.array([r[key] for r in rows], np.int64)
-        Q = np.array([np.asarray(r[features], np.float64) for r in rows])
-        qg = np.array([r[group] for r in rows], np.int64) if group else np.zeros(len(rows), np.int64)
-        bq = spark.sparkContext.broadcast((qids, Q, qg))
-        parts.append(ref_sel.mapInPandas(_partial_topk(bq, k, key, label, features, group), CAND_SCHEMA))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    nr, nq = ref.count(), query.count()
+    rb = max(1, -(-nr // ref_block))
+    qb = max(1, -(-nq // query_block))
+    g_ref = [F.col(group).cast("long").alias("g")] if group else []
+    r = (ref.select(F.col(key).cast("long").alias("cid"), F.col(label).cast("int").alias("clabel"),
+                    F.col(features).alias("f"), *g_ref)
+            .withColumn("_rb", F.pmod(F.xxhash64("cid"), F.lit(rb)))
+            .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long")))))
+    q = (query.select(F.col(key).cast("long").alias("qid"), F.col(features).alias("f"), *g_ref)
+              .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
+              .withColumn("_rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rb - 1).cast("long")))))
+    cands = (r.groupBy("_rb", "_qb").cogroup(q.groupBy("_rb", "_qb"))
+              .applyInPandas(_block_topk(k, group is not None), CAND_SCHEMA))
     w = Window.partitionBy("qid").orderBy("dist", "cid")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -54,7 +54,7 @@ def test_knn_matches_brute_force(spark):
     qry = [(1000 + i, [float(v) for v in rng.normal(size=8)], 0) for i in range(40)]
     r = spark.createDataFrame(ref, "id long, features array<double>, label int").repartition(4)
     q = spark.createDataFrame(qry, "id long, features array<double>, label int")
-    nb = K.neighbours(r, q, 5, block=16).toPandas()
+    nb = K.neighbours(r, q, 5, ref_block=70, query_block=16).toPandas()  # 5 x 3 block grid
     R = np.array([x[1] for x in ref])
     for qid, feats, _ in qry:
         d = np.sqrt(((R - np.array(feats)) ** 2).sum(1))
