@@ -31,6 +31,27 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 MAX_CHUNK = 1 << 21  # rows per chunk at most (bounded memory per task)
+TARGET_BUCKET_BYTES = 128 << 20  # bytes per range partition of the global index
+MAX_BUCKETS = 200_000
+
+
+def plan_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (bytes), if available."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v if isinstance(v, int) else v.toString())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
+        return None
+
+
+def index_buckets(df: DataFrame) -> int:
+    """Range partitions for the index: at least the shuffle partitions, and
+    enough that each holds about TARGET_BUCKET_BYTES of the (projected) input."""
+    base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    size = plan_bytes(df)
+    if size is None:
+        return base
+    return int(min(MAX_BUCKETS, max(base, -(-size // TARGET_BUCKET_BYTES))))
 
 
 def _names(cols) -> list[str]:
@@ -53,7 +74,7 @@ def global_index(df: DataFrame, order: Sequence[str] | str, partition_by=None,
     order, keys = _names(order), _names(partition_by)
     sort_cols = keys + order
     if buckets is None:
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        buckets = index_buckets(df)
     ranged = (df.repartitionByRange(buckets, *sort_cols)
                 .sortWithinPartitions(*sort_cols)
                 .withColumn("_pid", F.spark_partition_id())
