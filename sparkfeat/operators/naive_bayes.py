@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,18 +63,26 @@ class GaussianNBModel:
                   .select(key, F.transform("_s", lambda s: s["jll"]).alias("scores"))
 
     def predict(self, df: DataFrame, keep=("label",)) -> DataFrame:
-        """(key, kept columns, pred, p_true?) ; ``p_true`` when the label is kept."""
-        key = self.est.key
-        jll = self.joint_log_likelihood(df)
-        best = jll.groupBy(key).agg(
-            (-F.max(F.struct(F.col("jll"), -F.col("cls")))["col2"]).cast("int").alias("pred"),
-            F.max("jll").alias("_m"))
-        lse = (jll.join(best.select(key, "_m"), key).groupBy(key)
-                  .agg((F.first("_m") + F.log(F.sum(F.exp(F.col("jll") - F.col("_m"))))).alias("_lse")))
-        out = df.select(key, *keep).join(best.select(key, "pred"), key).join(lse, key)
-        lab = self.est.label
+        """(key, kept columns, pred, p_true?) ; ``p_true`` when the label is kept.
+
+        The joint log-likelihood is computed once: the long rows are
+        hash-partitioned by the row key, so the (key, ..., class) sums, the
+        per-row log-sum-exp window and the arg max all reuse that one exchange.
+        """
+        key, lab = self.est.key, self.est.label
+        keep = list(keep)
+        spark = df.sparkSession
+        long = df.select(key, *keep, F.posexplode(self.est.features).alias("d", "x")) \
+                 .withColumn("x", F.col("x").cast("double"))
+        st = F.broadcast(self.stats_frame(spark))  # classes x features rows
+        term = F.log(F.lit(2 * math.pi) * F.col("var")) + (F.col("x") - F.col("mu")) ** 2 / F.col("var")
+        jll = (long.join(st, "d").repartition(key)
+                   .groupBy(key, *keep, "cls")
+                   .agg((F.log(F.first("prior")) - 0.5 * F.sum(term)).alias("jll")))
+        w = Window.partitionBy(key)
+        jll = jll.withColumn("_m", F.max("jll").over(w))
+        jll = jll.withColumn("_lse", F.col("_m") + F.log(F.sum(F.exp(F.col("jll") - F.col("_m"))).over(w)))
+        aggs = [(-F.max(F.struct(F.col("jll"), -F.col("cls")))["col2"]).cast("int").alias("pred")]
         if lab in keep:
-            pj = jll.select(key, F.col("cls").alias(lab), "jll")
-            out = (out.join(pj, [key, lab], "left")
-                      .withColumn("p_true", F.exp(F.col("jll") - F.col("_lse"))).drop("jll"))
-        return out.drop("_lse")
+            aggs.append(F.max(F.when(F.col("cls") == F.col(lab), F.exp(F.col("jll") - F.col("_lse")))).alias("p_true"))
+        return jll.groupBy(key, *keep).agg(*aggs)
