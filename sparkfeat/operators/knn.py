@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 CAND_SCHEMA = "qid long, cid long, clabel int, dist double"
 
 
@@ -73,7 +75,9 @@ def neighbours(ref: DataFrame, query: DataFrame, k: int, key: str = "id", label:
     matches a reference row of its own group (cross-validation folds).
     """
     nr, nq = ref.count(), query.count()
-    rb = max(1, -(-nr // ref_block))
+    par = int(ref.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # enough reference blocks for the cluster once there is real work (>= 512 rows each)
+    rb = max(1, -(-nr // ref_block), min(par, nr // 512))
     qb = max(1, -(-nq // query_block))
     g_ref = [F.col(group).cast("long").alias("g")] if group else []
     r = (ref.select(F.col(key).cast("long").alias("cid"), F.col(label).cast("int").alias("clabel"),
@@ -109,7 +113,8 @@ def knn_grid(train: DataFrame, ks: Sequence[int] = (3, 5, 7, 9), fold: str = "fo
     against the other folds, every k is scored from the same lists.
     (k, mean_accuracy, std_accuracy, rank)."""
     kmax = max(ks)
-    nb = neighbours(train, train, kmax, key, label, features, group=fold)
+    # one neighbour search, written once and read by the vote of every k
+    nb = materialize(neighbours(train, train, kmax, key, label, features, group=fold), "knn-grid-neighbours")
     truth = train.select(F.col(key).alias("qid"), F.col(label).alias("y"), F.col(fold).alias("f"))
     per = None
     for k in ks:
