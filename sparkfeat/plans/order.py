@@ -36,10 +36,18 @@ MAX_BUCKETS = 200_000
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (bytes), if available."""
+    """Bytes the plan reads: the sum of Catalyst's size estimates of its leaf
+    relations (file scans, cached or local relations).  Unlike the estimate of
+    the root, this does not inflate through joins."""
     try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(v if isinstance(v, int) else v.toString())
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            v = leaves.apply(i).stats().sizeInBytes()
+            v = int(v if isinstance(v, int) else v.toString())
+            if v < (1 << 62):  # Long.MaxValue means "unknown" (e.g. a driver-side table)
+                total += v
+        return total
     except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
         return None
 
