@@ -1,17 +1,15 @@
 """Small helpers of this subpackage: tables, row keys, sizes and scratch."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.order import plan_bytes
 from ..session import materialize
 
-__all__ = ["materialize", "table", "parts_for", "wide", "fresh"]
+__all__ = ["materialize", "parts_for", "fresh", "row_key", "bitmap", "maybe"]
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+BITMAP_WORDS = 1 << 17  # rows of a bitmap table at most: 1 MB of bits, safe to broadcast
 
 
 def parts_for(df: DataFrame, part_bytes: int = 32 << 20) -> int:
@@ -21,11 +19,6 @@ def parts_for(df: DataFrame, part_bytes: int = 32 << 20) -> int:
     return max(base, -(-(plan_bytes(df) or 0) // part_bytes))
 
 
-def wide(column: Column | str) -> Column:
-    """An unsigned 32-bit view of a hash, spread over 0 .. 2**32-1."""
-    return F.xxhash64(column).bitwiseAND(F.lit((1 << 32) - 1))
-
-
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not use yet (inputs may hold clashing names)."""
     taken = {c.lower() for c in df.columns}
@@ -33,3 +26,31 @@ def fresh(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def row_key(*columns: Column) -> Column:
+    """A 64-bit key of a row's values, nulls told from empty strings."""
+    return F.xxhash64(*(x for c in columns for x in (c.isNull(), c)))
+
+
+def _word(key: Column) -> Column:
+    return F.shiftrightunsigned(key, 64 - 17)
+
+
+def _bit(key: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), key.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """Which of 2**23 hash values occur among ``keys``: ``BITMAP_WORDS`` rows at most,
+    however many keys there are.  More keys only make ``maybe`` less sharp."""
+    return (keys.where(F.col(key).isNotNull()).groupBy(_word(F.col(key)).alias("w"))
+            .agg(F.bit_or(_bit(F.col(key))).alias("bits")))
+
+
+def maybe(df: DataFrame, bits: DataFrame, key: Column, out: str) -> DataFrame:
+    """``df`` with a flag: false means that the key is not in the bitmap's table for sure."""
+    w, b = fresh(df, "_w"), fresh(df, "_bits")
+    bits = F.broadcast(bits.select(F.col("w").alias(w), F.col("bits").alias(b)))
+    return (df.withColumn(w, _word(key)).join(bits, w, "left")
+            .withColumn(out, F.coalesce(F.col(b).bitwiseAND(_bit(key)) != 0, F.lit(False))).drop(w, b))

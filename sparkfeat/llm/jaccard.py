@@ -16,8 +16,8 @@ t-subsets of its first k+t partitions, and linked sets share one signature (t is
 small sets, whose single partitions tell little, else 1).  n1 is chosen to give N >= k+t
 with room; a set that misses it also enumerates single elements as partitions, and two
 such sets meet there.  Common passages come last in the global order: partitions whose
-shingles were all frequent in a bounded document sample.  The order is free, so the
-sample affects the work, never the result.
+shingles were all seen in several texts of a bounded sample, and the room lets most sets
+do without them.  The order is free, so the sample affects the work, never the result.
 
 *Candidates.*  Signatures travel as packed arrays, 4 bytes a signature, into hash
 buckets; a bucket emits, for each signature that several sets share, star pairs
@@ -42,16 +42,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts_for
+from .common import bitmap, fresh, materialize, maybe, parts_for, row_key
 from .components import connected_components
 from .textkit import mix, shingle_sets
 
-HOT_SAMPLE = 2_000  # documents sampled for the order of partitions
-HOT_SHARE = 0.01  # a shingle in more than this share of them is frequent
-HOT_LIMIT = 65_536  # frequent shingles held by every task
+HOT_SAMPLE = 8_000  # texts sampled for the order of partitions
+HOT_LEAST = 3  # a shingle of so many of them is common
+HOT_LIMIT = 1 << 18  # common shingles taken at most
+HOT_BITS = 1 << 22  # of the bitmap that holds them in every task
+ROOM = 1.3  # non-empty partitions aimed at, as a multiple of those needed
 FLUSH = 1 << 20  # signatures packed at a time
 BLOCK = 2_048  # members of a signature compared at a time
-FILTER_WORDS = 1 << 17  # 64-bit words of the bitmap that picks texts to read again
+PAIRS = 1 << 20  # pairs of indices held at a time
 
 
 class Bands:
@@ -74,7 +76,7 @@ class Bands:
     @staticmethod
     def _partitions(low: int, top: int, need: int) -> int:
         """Partitions of the domain; 0: every element is its own."""
-        want = 1.05 * need + 1.5 * math.sqrt(need)
+        want = ROOM * need + 1.5 * math.sqrt(need)
         if top <= 64 or want >= 0.9 * low:
             return 0
         x = 4.0
@@ -113,24 +115,10 @@ def parity(u: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def parity_distance(a: bytes, b: bytes) -> int:
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
-
-
-def signatures(u: np.ndarray, bands: Bands, hot: np.ndarray) -> np.ndarray:
+def signatures(u: np.ndarray, bands: Bands, hot: np.ndarray | None = None) -> np.ndarray:
     """Signature hashes (uint64) of the sorted distinct shingle hashes ``u``."""
     out = []
-    if len(hot):
-        at = np.searchsorted(hot, u)
-        at[at == len(hot)] = 0
-        common = hot[at] == u
-    else:
-        common = None
+    common = None if hot is None else hot[(u & np.uint64(HOT_BITS - 1)).astype(np.int64)]
     element = None
     for window, k, t, n1 in bands.windows(len(u)):
         if n1 == 0:
@@ -177,16 +165,14 @@ def _profile(batches):
                 key[i] = set_key(u)
                 par[i] = parity(u)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(1), batch.column(2), pa.array(n), pa.array(key), pa.array(par, pa.binary())],
-            ["id", "tkey", "n", "node", "parity"])
+            [*batch.columns[1:], pa.array(n), pa.array(key), pa.array(par, pa.binary())],
+            ["id", "tkey", "row", "n", "node", "parity"])
 
 
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles frequent in a bounded sample of different texts, sorted."""
+def _frequent(docs: DataFrame) -> np.ndarray | None:
+    """Bitmap of the shingles that several texts of a bounded sample share."""
     total = docs.count()
-    if total == 0:
-        return np.empty(0, np.uint64)
-    share = min(1.0, 2 * HOT_SAMPLE / total)
+    share = min(1.0, 1.2 * HOT_SAMPLE / max(total, 1))
     near = F.pmod(F.xxhash64(F.lit(17), "tkey"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
 
     def each(batches):
@@ -195,13 +181,16 @@ def _frequent(docs: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64))], ["s"])
 
     sample = docs.where(near).dropDuplicates(["tkey"]).limit(HOT_SAMPLE).select("text")
-    least = max(8, math.ceil(HOT_SHARE * min(total, HOT_SAMPLE)))
-    rows = (sample.mapInArrow(each, "s long").groupBy("s").count().where(F.col("count") >= least)
-            .orderBy(F.desc("count"), "s").limit(HOT_LIMIT).collect())
-    return np.sort(np.array([r["s"] for r in rows], np.int64).view(np.uint64))
+    rows = (sample.mapInArrow(each, "s long").groupBy("s").count().where(F.col("count") >= HOT_LEAST)
+            .orderBy(F.desc("count"), "s").limit(HOT_LIMIT).select("s").toPandas())
+    if rows.empty:
+        return None
+    bits = np.zeros(HOT_BITS, bool)
+    bits[rows["s"].to_numpy() & (HOT_BITS - 1)] = True
+    return bits
 
 
-def _pack(bands: Bands, hot: np.ndarray, buckets: int):
+def _pack(bands: Bands, hot, buckets: int):
     """Texts -> rows (bucket, signatures, set positions, sets), many sets to a row."""
     def flush(sigs, owners, nodes):
         sig, own, node = np.concatenate(sigs), np.concatenate(owners), np.array(nodes, np.int64)
@@ -230,7 +219,7 @@ def _pack(bands: Bands, hot: np.ndarray, buckets: int):
             for _, u in shingle_sets(batch.column(0)):
                 if len(u) == 0:
                     continue
-                s = signatures(u, bands, hot)
+                s = signatures(u, bands, hot.value if hot else None)
                 sigs.append(s)
                 owners.append(np.full(len(s), len(nodes), np.int64))
                 nodes.append(set_key(u))
@@ -287,9 +276,9 @@ def _near(bands: Bands):
     def run(batches):
         for batch in batches:
             na, nb = (np.asarray(batch.column(i)) for i in (2, 3))
-            most = bands.reach(na, nb)
-            ok = [parity_distance(x.as_py(), y.as_py()) <= m and bands.linked(int(p), int(q), int(min(p, q)))
-                  for x, y, m, p, q in zip(batch.column(4), batch.column(5), most, na, nb)]
+            at = np.arange(len(batch))
+            apart = _apart(batch.column(4).to_pylist() + batch.column(5).to_pylist(), at, at + len(batch))
+            ok = (apart <= bands.reach(na, nb)) & (bands.num * np.maximum(na, nb) <= bands.den * np.minimum(na, nb))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
     return run
 
@@ -323,39 +312,73 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, bands: Bands)
             .mapInArrow(_near(bands), "a long, b long"))
     near = materialize(near, "jaccard-near")
     nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    word = lambda c: F.shiftrightunsigned(c, 47)
-    bits = (classes.join(nodes, "node").groupBy(word("tkey").alias("w"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(tkey & 63 as int))")).alias("bits")))
-    assert FILTER_WORDS == 1 << (64 - 47)  # so the broadcast table has at most that many rows
-    texts = (docs.withColumn("w", word("tkey")).join(F.broadcast(bits), "w")
-             .where(F.expr("shiftrightunsigned(bits, cast(tkey & 63 as int)) & 1 = 1")).select("text"))
+    texts = maybe(docs, bitmap(classes.join(nodes, "node"), "tkey"), F.col("tkey"), "read").where("read").select("text")
     sets = texts.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"])
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}"))
     return materialize(near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
                        .mapInArrow(_exact(bands), "a long, b long"), "jaccard-links")
 
 
+def _apart(par: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Parity distances of the pairs (par[a], par[b]), by pairs of widths."""
+    width = np.array([len(p) for p in par])
+    out = np.zeros(len(a), np.int64)
+    rows, stacked = np.zeros(len(par), np.int64), {}
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        rows[own] = np.arange(len(own))
+        stacked[w] = np.frombuffer(b"".join(par[i] for i in own), np.uint64).reshape(len(own), -1)
+    both = width[a] * (1 << 40) + width[b]
+    for key in np.unique(both).tolist():
+        at = np.flatnonzero(both == key)
+        for lo in range(0, len(at), 100_000):
+            part = at[lo:lo + 100_000]
+            x, y = stacked[key >> 40][rows[a[part]]], stacked[key & ((1 << 40) - 1)][rows[b[part]]]
+            while x.shape[1] > y.shape[1]:
+                x = x[:, :x.shape[1] // 2] ^ x[:, x.shape[1] // 2:]
+            while y.shape[1] > x.shape[1]:
+                y = y[:, :y.shape[1] // 2] ^ y[:, y.shape[1] // 2:]
+            out[part] = np.bitwise_count(x ^ y).sum(axis=1)
+    return out
+
+
 def _blocks(bands: Bands):
-    """One block pair of a signature's members -> pairs of different components that
-    sizes and bitmaps allow."""
-    def run(table: pa.Table) -> pa.Table:
-        left = table.column("left").to_numpy()
-        node, comp, n = (table.column(c).to_numpy() for c in ("node", "comp", "n"))
-        par = table.column("parity").to_pylist()
-        li, ri = np.flatnonzero(left), np.flatnonzero(~left)
-        a, b = [], []
-        for i in li:
-            far = ri[(comp[ri] != comp[i]) & (node[ri] > node[i])]
-            small, large = np.minimum(n[far], n[i]), np.maximum(n[far], n[i])
-            for j in far[bands.num * large <= bands.den * small]:
-                if parity_distance(par[i], par[j]) <= bands.reach(int(n[i]), int(n[j])):
-                    a.append(node[i])
-                    b.append(node[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    """Blocks of signatures' members -> pairs of different components that sizes and
+    bitmaps allow.  All blocks of a partition together, some pairs of indices at a time."""
+    def run(batches):
+        got = [b for b in batches if len(b)]
+        if not got:
+            return
+        table = pa.Table.from_batches(got)
+        gid, i, j, own, node, comp, n = (table.column(c).to_numpy() for c in ("gid", "i", "j", "own", "node", "comp", "n"))
+        order = np.lexsort((node, own, j, i, gid))
+        gid, i, j, own, node, comp, n = (x[order] for x in (gid, i, j, own, node, comp, n))
+        par = table.column("parity").take(pa.array(order)).to_pylist()
+        new = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        end = np.repeat(np.concatenate([new[1:], [len(gid)]]), np.diff(np.concatenate([new, [len(gid)]])))
+        after = end - np.arange(len(gid)) - 1
+        cut = np.searchsorted(np.cumsum(after), np.arange(0, int(after.sum()) + PAIRS, PAIRS))
+        cut = np.unique(np.concatenate([[0], cut, [len(gid)]]))
+        for lo, hi in zip(cut, cut[1:]):
+            count = after[lo:hi]
+            x = np.repeat(np.arange(lo, hi), count)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
+            ok = comp[x] != comp[y]
+            ok &= (own[x] != own[y]) | (i[x] == j[x])  # across two blocks, or inside one
+            ok &= bands.num * np.maximum(n[x], n[y]) <= bands.den * np.minimum(n[x], n[y])
+            x, y = x[ok], y[ok]
+            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+            pair = np.lexsort((b, a))
+            once = np.ones(len(pair), bool)
+            once[1:] = (a[pair][1:] != a[pair][:-1]) | (b[pair][1:] != b[pair][:-1])
+            pair = pair[once]
+            x, y, a, b = x[pair], y[pair], a[pair], b[pair]
+            near = _apart(par, x, y) <= bands.reach(n[x], n[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near])], ["a", "b"])
     return run
 
 
-def _rest(links: DataFrame, labels: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+def _rest(links: DataFrame, labels: DataFrame, classes: DataFrame, bands: Bands, parts: int) -> DataFrame:
     """Candidate pairs whose sets are in different components after the first pass."""
     comp = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"c{x}"))
     known = lambda x: F.coalesce(F.col(f"c{x}"), F.col(x)).alias(f"c{x}")
@@ -371,39 +394,40 @@ def _rest(links: DataFrame, labels: DataFrame, classes: DataFrame, bands: Bands)
                .join(classes.select("node", "n", "parity"), "node")
                .withColumn("of", F.ceil(F.col("size") / BLOCK).cast("int"))
                .withColumn("own", F.pmod(F.xxhash64("node"), F.col("of")).cast("int")))
-    others = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
-    grid = (members.withColumn("other", others).withColumn("left", F.lit(True))
-            .withColumnRenamed("own", "i").withColumnRenamed("other", "j")
-            .unionByName(members.withColumn("other", others).withColumn("left", F.lit(False))
-                         .withColumnRenamed("own", "j").withColumnRenamed("other", "i")))
-    pairs = (grid.select("gid", "i", "j", "left", "node", "comp", "n", "parity")
-             .groupBy("gid", "i", "j").applyInArrow(_blocks(bands), "a long, b long"))
+    other = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
+    grid = members.withColumn("other", other).select(
+        "gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "node", "comp", "n", "parity")
+    pairs = (grid.repartition(parts, "gid", "i", "j").mapInArrow(_blocks(bands), "a long, b long"))
     return star.union(pairs).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        num: int = 75, den: int = 100) -> DataFrame:
-    """(id, n_shingles, component_id, node) for every row of ``docs``."""
+    """(id, n_shingles, component_id, component, row) for every row of ``docs``; component
+    is null if nothing can link, row is the key of (id, text)."""
     bands = Bands(num, den)
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
-    docs = docs.withColumn("tkey", F.xxhash64("text"))
+    docs = docs.withColumn("tkey", F.xxhash64("text")).withColumn("row", row_key(F.col("id"), F.col("text")))
     id_type = docs.schema["id"].dataType.simpleString()
-    rows = materialize(docs.select("text", "id", "tkey").mapInArrow(
-        _profile, f"id {id_type}, tkey long, n long, node long, parity binary"), "jaccard-rows")
+    rows = materialize(docs.select("text", "id", "tkey", "row").mapInArrow(
+        _profile, f"id {id_type}, tkey long, row long, n long, node long, parity binary"), "jaccard-rows")
     classes = materialize(rows.where("n > 0").groupBy("node").agg(
         F.min("id").alias("id"), F.min("tkey").alias("tkey"), F.min("n").alias("n"),
         F.min("parity").alias("parity")), "jaccard-sets")
 
     parts = parts_for(docs)
+    hot = _frequent(docs)
+    hot = None if hot is None else docs.sparkSession.sparkContext.broadcast(hot)
     packed = docs.select("text").mapInArrow(
-        _pack(bands, _frequent(docs), 4 * parts), "bucket int, sigs binary, owners binary, nodes binary")
+        _pack(bands, hot, 4 * parts), "bucket int, sigs binary, owners binary, nodes binary")
     links = materialize(packed.repartition(parts, "bucket").mapInArrow(_stars, "gid long, a long, b long")
                         .distinct(), "jaccard-stars")
 
     first = links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     edges = _verify(first, classes, docs, bands)
     labels = connected_components(edges)
-    rest = _verify(_rest(links, labels, classes, bands), classes, docs, bands)
+    rest = _verify(_rest(links, labels, classes, bands, parts), classes, docs, bands)
     more = (rest.join(labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
             .join(labels.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
             .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
@@ -412,11 +436,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = classes.select("node", "id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     own = own.join(joined, "root", "left").select("node", "id", F.coalesce("top", "root").alias("root"))
     smallest = own.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = materialize(own.join(smallest, "root").select("node", "component_id"), "jaccard-components")
-    return (rows.join(named.withColumnRenamed("node", "c"), (F.col("n") > 0) & (F.col("node") == F.col("c")), "left")
+    named = materialize(own.join(smallest, "root").select(F.col("node").alias("c"), "component_id", "root"),
+                        "jaccard-components")
+    return (rows.join(named, (F.col("n") > 0) & (F.col("node") == F.col("c")), "left")
             .select("id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-                    "node", "tkey"))
+                    F.col("root").alias("component"), "row"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75, den: int = 100) -> DataFrame:
+    """The documents with their own columns, one of each component: the smallest id (nulls
+    last), one row of it.  Rows without words all stay.  A bitmap of the rows that may
+    go lets the others stay where they are; only the former are shuffled."""
+    found = materialize(jaccard_components(docs, id_col, text_col, num, den).where("component is not null")
+                        .select("component", "id", "row"), "jaccard-rows-found")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    first = first.select(F.col("first.row").alias("row"))
+    often = found.groupBy("row").count().where("count > 1").select("row")
+    go = found.select("row").distinct().join(first, "row", "left_anti").union(often)
+    k, flag = fresh(docs, "_row"), fresh(docs, "_maybe")
+    text = F.col(text_col).cast("string")
+    marked = docs.withColumn(k, row_key(F.col(id_col), text))
+    marked = maybe(marked, bitmap(go, "row"), F.col(k), flag)
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    stay = marked.where(wordless | ~F.col(flag))
+    rest = (marked.where(~wordless & F.col(flag)).join(first.select(F.col("row").alias(k)), k)
+            .dropDuplicates([k]).select(*marked.columns))
+    return stay.unionByName(rest).drop(k, flag)
 
 
 def op8_jaccard_join(spark, sf_dir):
