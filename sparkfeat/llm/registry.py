@@ -3,16 +3,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import decontam, jaccard, mixing, quality, sharding
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_curriculum_mix": mixing.op3_curriculum_mix,
+        "op6_decontamination": decontam.op6_decontamination,
+        "op7_quality_resampling": quality.op7_quality_resampling,
         "op8_jaccard_join": jaccard.op8_jaccard_join,
+        "op10_label_sharding": sharding.op10_label_sharding,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    found = {"op3_curriculum_mix": mixing.ORACLE}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
