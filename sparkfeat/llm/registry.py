@@ -6,22 +6,33 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, jaccard, mixing, quality, sharding
+from . import decontam, embeddings, jaccard, mixing, quality, secret_scan, sharding, token_counts, urls, warc
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pq_neardup": embeddings.op1_pq_neardup,
+        "op2_arc_to_warc": warc.op2_arc_to_warc,
         "op3_curriculum_mix": mixing.op3_curriculum_mix,
+        "op4_secret_ownership": secret_scan.op4_secret_ownership,
+        "op5_edit_aware_counts": token_counts.op5_edit_aware_counts,
         "op6_decontamination": decontam.op6_decontamination,
         "op7_quality_resampling": quality.op7_quality_resampling,
         "op8_jaccard_join": jaccard.op8_jaccard_join,
+        "op9_url_rules": urls.op9_url_rules,
         "op10_label_sharding": sharding.op10_label_sharding,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op3_curriculum_mix": mixing.ORACLE}
+    found = {
+        "op1_pq_neardup": embeddings.ORACLE,
+        "op2_arc_to_warc": warc.ORACLE,
+        "op3_curriculum_mix": mixing.ORACLE,
+        "op4_secret_ownership": secret_scan.ORACLE,
+        "op9_url_rules": urls.ORACLE,
+    }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
