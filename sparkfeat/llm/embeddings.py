@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, parts_for
 from .components import connected_components
+from .jaccard import roots
 from .textkit import mix
 
 TRAIN = 32_768  # classes sampled to fit centroids and codebooks
@@ -153,20 +154,6 @@ def _file(quantiser, width: int):
     return run
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each of n entries over the links (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(quantiser, width: int, threshold: float):
     radius = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-7
 
@@ -210,7 +197,7 @@ def _compare(quantiser, width: int, threshold: float):
                 ends[1].append(b)
         if not ends[0]:
             return None
-        root = _roots(len(node), np.concatenate(ends[0]), np.concatenate(ends[1]))
+        root = roots(len(node), np.concatenate(ends[0]), np.concatenate(ends[1]))
         found = links > 0
         return pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(links[found]), pa.array(node[root][found])],
                                           ["node", "links", "root"])

@@ -20,11 +20,16 @@ shingles were all seen in several texts of a bounded sample, and the room lets m
 do without them.  The order is free, so the sample affects the work, never the result.
 
 *Candidates.*  Signatures travel as packed arrays, 4 bytes a signature, into hash
-buckets; a bucket emits, for each signature that several sets share, star pairs
-(smallest set, other set).  The first pass checks one pair a set, which joins most
-copies; what is still in different components afterwards is checked in full, within a
-signature's members in bounded blocks.  A parity bitmap (2 bits a shingle; its distance
-never exceeds the true one) rejects pairs first, an exact intersection decides.
+buckets; a bucket emits, for each signature that several sets share, its members once.
+Members carry a parity bitmap (2 bits a shingle; the distance of two bitmaps never exceeds
+that of the sets).  Pairs that sizes and bitmaps allow make up clusters; only spanning edges
+of them leave a task, never pairs.  A tight group costs one comparison a member: what is
+connected is not compared again.
+
+*Verification.*  The texts of clustered sets are read once more; a cluster's full sets meet in
+blocks of bounded rows and bytes, where intersection sizes of all pairs come from a matrix
+product over the shingles they share.  Exact links leave as spanning edges, whose components
+are the result.
 
 Equal sets are one node, so copies are never expanded.  Defined results: null or
 wordless text has size 0 and links with nothing; null ids are kept (they take the
@@ -39,21 +44,24 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap, fresh, materialize, maybe, parts_for, row_key
 from .components import connected_components
 from .textkit import mix, shingle_sets
 
-HOT_SAMPLE = 8_000  # texts sampled for the order of partitions
+HOT_SAMPLE = 8_000  # texts sampled for the order of partitions, by a hash (within a few hundred)
 HOT_LEAST = 3  # a shingle of so many of them is common
 HOT_LIMIT = 1 << 18  # common shingles taken at most
 HOT_BITS = 1 << 22  # of the bitmap that holds them in every task
 ROOM = 1.3  # non-empty partitions aimed at, as a multiple of those needed
 FLUSH = 1 << 20  # signatures packed at a time
 BLOCK = 2_048  # members of a signature compared at a time
+SMALL = 48  # groups up to this size are compared pair by pair, many groups at a time
 PAIRS = 1 << 20  # pairs of indices held at a time
+SET_ROWS, SET_BYTES = 1_024, 16 << 20  # of a cluster's block of full sets
+DENSE = 32  # a shingle of more sets of a block goes through the matrix product
 
 
 class Bands:
@@ -93,19 +101,15 @@ class Bands:
             i -= 1
         return out
 
-    def linked(self, a: int, b: int, both: int) -> bool:
-        return self.den * both >= self.num * (a + b - both)
-
     def reach(self, a, b):
         """Most elements by which linked sets of sizes a and b differ."""
         return ((a + b) * (self.den - self.num)) // (self.den + self.num)
 
 
 def set_key(u: np.ndarray) -> int:
-    """A 64-bit key of a set of shingle hashes."""
-    s = np.array([mix(u, 1).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(u, 2)), len(u)], np.uint64)
-    s = mix(s, 3)
-    return int(mix(s[:1] ^ (s[1:2] * np.uint64(3)) ^ (s[2:] * np.uint64(5)), 4).view(np.int64)[0])
+    """A 64-bit key of a set of shingle hashes: their sum (they are uniform), and the size."""
+    key = (int(u.sum(dtype=np.uint64)) * 0x9E3779B97F4A7C15 + len(u)) % 2**64
+    return (key ^ key >> 29) - (2**64 if key >= 2**63 else 0)
 
 
 def parity(u: np.ndarray) -> bytes:
@@ -117,42 +121,36 @@ def parity(u: np.ndarray) -> bytes:
 
 def signatures(u: np.ndarray, bands: Bands, hot: np.ndarray | None = None) -> np.ndarray:
     """Signature hashes (uint64) of the sorted distinct shingle hashes ``u``."""
-    out = []
     common = None if hot is None else hot[(u & np.uint64(HOT_BITS - 1)).astype(np.int64)]
-    element = None
+    out = []
     for window, k, t, n1 in bands.windows(len(u)):
-        if n1 == 0:
-            if element is None:
-                element = mix(u, 7)
-            out.append(_subsets(element, common, k, t, window))
-            continue
-        part = ((u >> np.uint64(32)) * np.uint64(n1)) >> np.uint64(32)
-        start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        if element is None:
-            element = mix(u, 7)
-        content = mix(np.add.reduceat(element, start) ^ (part[start] << np.uint64(20)), 8)
-        last = None if common is None else np.logical_and.reduceat(common, start)
-        out.append(_subsets(content, last, k, t, window))
-        if len(start) < k + t:
-            out.append(_subsets(element, common, k, 1, window + 1_000))
+        if n1:
+            part = ((u >> np.uint64(32)) * np.uint64(n1)) >> np.uint64(32)
+            start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            content = np.add.reduceat(u, start)
+            last = None if common is None else np.logical_and.reduceat(common, start)
+            out.append(_subsets(content, last, k, t, window))
+        if not n1 or len(start) < k + t:
+            out.append(_subsets(u, common, k, 1 if n1 else t, window + 1_000))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def _subsets(content: np.ndarray, last: np.ndarray | None, k: int, t: int, tag: int) -> np.ndarray:
     """Hashes of the t-subsets of the first k+t contents in the global order."""
     first = k + t
+    content = mix(content, tag)
     if len(content) > first:
-        order = mix(content, 9) >> np.uint64(1)
+        order = content >> np.uint64(1)
         if last is not None:
-            order = order | (last.astype(np.uint64) << np.uint64(63))
+            order |= last.astype(np.uint64) << np.uint64(63)
         content = content[np.argpartition(order, first - 1)[:first]]
     if t == 1 or len(content) < t:
-        return mix(content, 100 + tag)
+        return content * np.uint64(0xD6E8FEB86659FD93)  # the first in order are small numbers: spread them
     pick = np.array(list(itertools.combinations(np.sort(content).tolist(), t)), np.uint64)
-    out = pick[:, 0]
+    out = pick[:, 0].copy()
     for j in range(1, t):
         out = mix(out, 10) + pick[:, j]
-    return mix(out, 100 + tag)
+    return mix(out, 11)
 
 
 def _profile(batches):
@@ -172,7 +170,7 @@ def _profile(batches):
 def _frequent(docs: DataFrame) -> np.ndarray | None:
     """Bitmap of the shingles that several texts of a bounded sample share."""
     total = docs.count()
-    share = min(1.0, 1.2 * HOT_SAMPLE / max(total, 1))
+    share = min(1.0, HOT_SAMPLE / max(total, 1))
     near = F.pmod(F.xxhash64(F.lit(17), "tkey"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
 
     def each(batches):
@@ -180,7 +178,7 @@ def _frequent(docs: DataFrame) -> np.ndarray | None:
             for _, u in shingle_sets(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64))], ["s"])
 
-    sample = docs.where(near).dropDuplicates(["tkey"]).limit(HOT_SAMPLE).select("text")
+    sample = docs.where(near).dropDuplicates(["tkey"]).select("text")
     rows = (sample.mapInArrow(each, "s long").groupBy("s").count().where(F.col("count") >= HOT_LEAST)
             .orderBy(F.desc("count"), "s").limit(HOT_LIMIT).select("s").toPandas())
     if rows.empty:
@@ -271,30 +269,6 @@ def _stars(batches):
             ["gid", "a", "b"])
 
 
-def _near(bands: Bands):
-    """Pairs with parity bitmaps -> the pairs that the bitmaps allow."""
-    def run(batches):
-        for batch in batches:
-            na, nb = (np.asarray(batch.column(i)) for i in (2, 3))
-            at = np.arange(len(batch))
-            apart = _apart(batch.column(4).to_pylist() + batch.column(5).to_pylist(), at, at + len(batch))
-            ok = (apart <= bands.reach(na, nb)) & (bands.num * np.maximum(na, nb) <= bands.den * np.minimum(na, nb))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-    return run
-
-
-def _exact(bands: Bands):
-    def run(batches):
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(bands.linked(len(x), len(y), both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-    return run
-
-
 def _sets(batches):
     for batch in batches:
         seen: dict[int, bytes] = {}
@@ -305,20 +279,6 @@ def _sets(batches):
             [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.binary())], ["node", "set"])
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs of sets that really link, written to scratch."""
-    side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb")
-            .mapInArrow(_near(bands), "a long, b long"))
-    near = materialize(near, "jaccard-near")
-    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    texts = maybe(docs, bitmap(classes.join(nodes, "node"), "tkey"), F.col("tkey"), "read").where("read").select("text")
-    sets = texts.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"])
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}"))
-    return materialize(near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
-                       .mapInArrow(_exact(bands), "a long, b long"), "jaccard-links")
-
-
 def _apart(par: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Parity distances of the pairs (par[a], par[b]), by pairs of widths."""
     width = np.array([len(p) for p in par])
@@ -342,64 +302,180 @@ def _apart(par: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(bands: Bands):
-    """Blocks of signatures' members -> pairs of different components that sizes and
-    bitmaps allow.  All blocks of a partition together, some pairs of indices at a time."""
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each of n entries over the links (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
+def _spanning(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """(a, b): every linked node and the first of its component; a, b index ``node``."""
+    name, at = np.unique(node, return_inverse=True)
+    root = roots(len(name), at[a], at[b])
+    own = np.flatnonzero(root != np.arange(len(name)))
+    return pa.RecordBatch.from_arrays([pa.array(name[root[own]]), pa.array(name[own])], ["a", "b"])
+
+
+def _folded(par: list[bytes]) -> np.ndarray:
+    """Bitmaps of one width (the least), a row each."""
+    width = min(map(len, par))
+    rows = np.empty((len(par), width), np.uint8)
+    for i, p in enumerate(par):
+        x = np.frombuffer(p, np.uint8)
+        while len(x) > width:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        rows[i] = x
+    return rows.view(np.uint64)
+
+
+def _close(bands: Bands, n: np.ndarray, par: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning edges of the pairs that sizes and bitmaps allow among one group: from each
+    member reached, what is not reached yet."""
+    bits, a, b = _folded(par), [], []
+    rest, queue = np.arange(len(n)), []
+    while len(rest):
+        if not queue:
+            queue, rest = [int(rest[0])], rest[1:]
+        i = queue.pop()
+        if not len(rest):
+            break
+        near = bands.num * np.maximum(n[rest], n[i]) <= bands.den * np.minimum(n[rest], n[i])
+        near[near] = np.bitwise_count(bits[rest[near]] ^ bits[i]).sum(axis=1) <= bands.reach(n[rest[near]], n[i])
+        found = rest[near]
+        a.append(np.full(len(found), i))
+        b.append(found)
+        queue += found.tolist()
+        rest = rest[~near]
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, int), np.empty(0, int))
+
+
+def _clusters(bands: Bands):
+    """Blocks of signatures' members -> spanning edges of the pairs that sizes and bitmaps
+    allow, over all blocks of a partition."""
     def run(batches):
         got = [b for b in batches if len(b)]
         if not got:
             return
         table = pa.Table.from_batches(got)
-        gid, i, j, own, node, comp, n = (table.column(c).to_numpy() for c in ("gid", "i", "j", "own", "node", "comp", "n"))
-        order = np.lexsort((node, own, j, i, gid))
-        gid, i, j, own, node, comp, n = (x[order] for x in (gid, i, j, own, node, comp, n))
+        gid, i, j, node, n = (table.column(c).to_numpy() for c in ("gid", "i", "j", "node", "n"))
+        order = np.lexsort((node, j, i, gid))
+        gid, i, j, node, n = (x[order] for x in (gid, i, j, node, n))
         par = table.column("parity").take(pa.array(order)).to_pylist()
         new = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        end = np.repeat(np.concatenate([new[1:], [len(gid)]]), np.diff(np.concatenate([new, [len(gid)]])))
-        after = end - np.arange(len(gid)) - 1
+        size = np.diff(np.concatenate([new, [len(gid)]]))
+        left, right = [], []
+        for lo, m in zip(new[size > SMALL].tolist(), size[size > SMALL].tolist()):
+            a, b = _close(bands, n[lo:lo + m], par[lo:lo + m])
+            left.append(a + lo)
+            right.append(b + lo)
+        after = np.repeat(new + size, size) - np.arange(len(gid)) - 1
+        after[np.repeat(size > SMALL, size)] = 0
         cut = np.searchsorted(np.cumsum(after), np.arange(0, int(after.sum()) + PAIRS, PAIRS))
         cut = np.unique(np.concatenate([[0], cut, [len(gid)]]))
         for lo, hi in zip(cut, cut[1:]):
             count = after[lo:hi]
             x = np.repeat(np.arange(lo, hi), count)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
-            ok = comp[x] != comp[y]
-            ok &= (own[x] != own[y]) | (i[x] == j[x])  # across two blocks, or inside one
-            ok &= bands.num * np.maximum(n[x], n[y]) <= bands.den * np.minimum(n[x], n[y])
+            ok = bands.num * np.maximum(n[x], n[y]) <= bands.den * np.minimum(n[x], n[y])
             x, y = x[ok], y[ok]
-            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-            pair = np.lexsort((b, a))
+            pair = np.lexsort((node[y], node[x]))  # the members of a group are in order of their names
             once = np.ones(len(pair), bool)
-            once[1:] = (a[pair][1:] != a[pair][:-1]) | (b[pair][1:] != b[pair][:-1])
-            pair = pair[once]
-            x, y, a, b = x[pair], y[pair], a[pair], b[pair]
+            once[1:] = (node[x[pair]][1:] != node[x[pair]][:-1]) | (node[y[pair]][1:] != node[y[pair]][:-1])
+            x, y = x[pair[once]], y[pair[once]]
             near = _apart(par, x, y) <= bands.reach(n[x], n[y])
-            yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near])], ["a", "b"])
+            left.append(x[near])
+            right.append(y[near])
+        yield _spanning(node, np.concatenate(left), np.concatenate(right))
     return run
 
 
-def _rest(links: DataFrame, labels: DataFrame, classes: DataFrame, bands: Bands, parts: int) -> DataFrame:
-    """Candidate pairs whose sets are in different components after the first pass."""
-    comp = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"c{x}"))
-    known = lambda x: F.coalesce(F.col(f"c{x}"), F.col(x)).alias(f"c{x}")
-    rows = (links.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
-            .select("gid", "a", "b", known("a"), known("b")))
-    rows = materialize(rows, "jaccard-open")
-    star = rows.where("ca <> cb").select("a", "b").distinct()
-    split = rows.where("gid is not null").groupBy("gid").agg(
-        F.max(F.col("ca") != F.col("cb")).alias("open"), (F.count("*") + 1).alias("size")).where("open")
-    group = rows.join(split.select("gid", "size"), "gid")
-    members = (group.select("gid", "size", F.col("b").alias("node"), F.col("cb").alias("comp"))
-               .union(group.select("gid", "size", F.col("a").alias("node"), F.col("ca").alias("comp")).distinct())
-               .join(classes.select("node", "n", "parity"), "node")
-               .withColumn("of", F.ceil(F.col("size") / BLOCK).cast("int"))
-               .withColumn("own", F.pmod(F.xxhash64("node"), F.col("of")).cast("int")))
-    other = F.explode(F.sequence(F.lit(0), F.col("of") - 1))
-    grid = members.withColumn("other", other).select(
-        "gid", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        "own", "node", "comp", "n", "parity")
-    pairs = (grid.repartition(parts, "gid", "i", "j").mapInArrow(_blocks(bands), "a long, b long"))
-    return star.union(pairs).distinct()
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of sorted distinct arrays."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    element = np.concatenate(sets)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
+    held = np.diff(np.concatenate([start, [len(element)]]))
+    both = np.zeros((m, m), np.float32 if max(map(len, sets)) < 1 << 24 else np.float64)
+    for df in range(2, DENSE + 1):  # rare shingles: their pairs, one multiplicity at a time
+        at = start[held == df]
+        if len(at):
+            rows = owner[at[:, None] + np.arange(df)]
+            for p in range(df):
+                for q in range(p + 1, df):
+                    np.add.at(both, (rows[:, p], rows[:, q]), 1)
+    dense = np.flatnonzero(held > DENSE)
+    for lo in range(0, len(dense), 2_048):
+        some = dense[lo:lo + 2_048]
+        hit = np.zeros((m, len(some)), both.dtype)
+        for c, k in enumerate(some):
+            hit[owner[start[k]:start[k] + held[k]], c] = 1
+        part = hit @ hit.T
+        both += np.triu(part, 1)  # owners of a shingle are in order, so all counts are above the diagonal
+    return both
+
+
+def _linked(bands: Bands):
+    """Blocks of clusters' full sets -> spanning edges of the exact links."""
+    def run(batches):
+        held: dict[tuple, list] = {}
+        for batch in batches:
+            for key in zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j", "node", "set"))):
+                held.setdefault(key[:3], []).append(key[3:])
+        nodes, left, right, at = [], [], [], 0
+        for key in list(held):
+            rows = held.pop(key)
+            sets = [np.frombuffer(s, np.uint64) for _, s in rows]
+            n = np.array([len(s) for s in sets])
+            both = _common(sets)
+            a, b = np.nonzero((bands.den + bands.num) * both.astype(np.float64) >= bands.num * (n[:, None] + n[None, :]))
+            left.append(a + at)
+            right.append(b + at)
+            nodes += [k for k, _ in rows]
+            at += len(rows)
+        if nodes:
+            yield _spanning(np.array(nodes, np.int64), np.concatenate(left), np.concatenate(right))
+    return run
+
+
+def _in_blocks(rows: DataFrame, of: Column) -> DataFrame:
+    """Each row once for every pair of blocks (i <= j) of its key that its own block is in."""
+    own = F.pmod(F.xxhash64("node"), F.col("_of")).cast("int")
+    rows = rows.withColumn("_of", of.cast("int")).withColumn("_own", own)
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+    return (rows.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other"))
+            .drop("_of", "_own", "_other"))
+
+
+def _exact_links(links: DataFrame, classes: DataFrame, docs: DataFrame, bands: Bands, parts: int) -> DataFrame:
+    """Spanning edges (a, b) of the links between the sets that share signatures."""
+    links = links.withColumn("gid", F.coalesce("gid", F.xxhash64("a", "b")))
+    groups = links.groupBy("gid").agg((F.count("*") + 1).alias("size"), F.min("a").alias("node"))
+    members = (links.select("gid", F.col("b").alias("node")).join(groups.select("gid", "size"), "gid")
+               .unionByName(groups.select("gid", "node", "size"))
+               .join(classes.select("node", "n", "parity"), "node"))
+    blocks = _in_blocks(members, F.ceil(F.col("size") / BLOCK)).select("gid", "i", "j", "node", "n", "parity")
+    edges = blocks.repartition(parts, "gid", "i", "j").mapInArrow(_clusters(bands), "a long, b long").distinct()
+    clusters = connected_components(edges).withColumnRenamed("root", "cluster")
+
+    wanted = bitmap(classes.join(clusters, "node"), "tkey")
+    texts = maybe(docs, wanted, F.col("tkey"), "read").where("read").select("text")
+    sets = texts.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"]).join(clusters, "node")
+    sizes = (classes.join(clusters, "node").groupBy("cluster")
+             .agg(F.greatest(F.ceil(F.count("*") / SET_ROWS), F.ceil(8 * F.sum("n") / SET_BYTES)).alias("of")))
+    blocks = _in_blocks(sets.join(sizes, "cluster"), F.col("of")).select("cluster", "i", "j", "node", "set")
+    return blocks.repartition(parts, "cluster", "i", "j").mapInArrow(_linked(bands), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -424,17 +500,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = materialize(packed.repartition(parts, "bucket").mapInArrow(_stars, "gid long, a long, b long")
                         .distinct(), "jaccard-stars")
 
-    first = links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    edges = _verify(first, classes, docs, bands)
-    labels = connected_components(edges)
-    rest = _verify(_rest(links, labels, classes, bands, parts), classes, docs, bands)
-    more = (rest.join(labels.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-            .join(labels.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-    joined = connected_components(more).toDF("root", "top")
-    # a set linked in the second pass only has no label yet: it is its own root
+    labels = connected_components(_exact_links(links, classes, docs, bands, parts))
     own = classes.select("node", "id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = own.join(joined, "root", "left").select("node", "id", F.coalesce("top", "root").alias("root"))
     smallest = own.groupBy("root").agg(F.min("id").alias("component_id"))
     named = materialize(own.join(smallest, "root").select(F.col("node").alias("c"), "component_id", "root"),
                         "jaccard-components")

@@ -25,6 +25,8 @@ _LOWER[65:91] += 32
 _BYTE_LOWER = _BYTE[_LOWER]
 _WORD = np.ones(256, dtype=bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
+_30, _27, _31 = np.uint64(30), np.uint64(27), np.uint64(31)
+_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -41,9 +43,15 @@ def _power_tables(n: int) -> list[np.ndarray]:
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), element by element."""
     x = x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    high = x >> _30
+    x ^= high
+    x *= _M1
+    np.right_shift(x, _27, out=high)
+    x ^= high
+    x *= _M2
+    np.right_shift(x, _31, out=high)
+    x ^= high
+    return x
 
 
 def _piece_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +142,8 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = h[:n].copy()
     for i in range(1, width):
-        out = out * np.uint64(0xD6E8FEB86659FD93) + h[i:i + n]
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        out += h[i:i + n]
     return mix(out, width)
 
 
@@ -146,7 +155,8 @@ def shingle_sets(column: pa.Array, width: int = SHINGLE) -> Iterator[tuple[int,
         for i in range(len(off) - 1):
             lo, hi = int(off[i]), int(off[i + 1])
             if hi - lo >= width:
-                yield first + i, np.unique(runs[lo:hi - width + 1])
+                u = np.sort(runs[lo:hi - width + 1])
+                yield first + i, u[np.concatenate([[True], u[1:] != u[:-1]])]
             elif hi > lo:
                 yield first + i, rolling(h[lo:hi], hi - lo)
             else:
