@@ -24,22 +24,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.order import _names, global_index
+from ..plans.order import _names, global_index, null_safe_join
 
 
 def _summaries(spec: DataFrame, keys: Sequence[str], n_col: str) -> DataFrame:
     """(keys, k, mag, n) -> dominant_k, spectral_energy, spectral_entropy."""
     half = F.floor(F.col(n_col) / 2)
     cand = F.when((F.col("k") >= 1) & (F.col("k") <= half), F.struct(F.col("mag"), -F.col("k")))
-    tot = spec.groupBy(*keys).agg(F.sum("mag").alias("_tot"))
-    return (spec.join(tot, list(keys))
-                .groupBy(*keys)
-                .agg(F.first(n_col).alias("n"),
-                     (-F.max(cand)["col2"]).cast("int").alias("dominant_k"),
-                     F.sum(F.col("mag") * F.col("mag")).alias("spectral_energy"),
-                     (-F.sum(F.when(F.col("mag") > 0, (F.col("mag") / F.col("_tot"))
-                                    * F.log(F.col("mag") / F.col("_tot"))).otherwise(F.lit(0.0))))
-                     .alias("spectral_entropy")))
+    mag = F.col("mag")
+    # -sum p ln p with p = m / T is ln T - sum m ln m / T: one pass, no total beforehand
+    weighted = F.sum(F.when(mag > 0, mag * F.log(mag)).otherwise(F.lit(0.0)))
+    total = F.sum("mag")
+    return spec.groupBy(*keys).agg(
+        F.first(n_col).alias("n"), (-F.max(cand)["col2"]).cast("long").alias("dominant_k"),
+        F.sum(mag * mag).alias("spectral_energy"),
+        # below the rounding of the two logarithms there is one line only: no entropy
+        F.when(F.log(total) - weighted / total > 1e-12, F.log(total) - weighted / total)
+        .otherwise(F.lit(0.0)).alias("spectral_entropy"))
 
 
 def spectrum_framed(df: DataFrame, col: str, order: Sequence[str], partition_by=None,
@@ -47,7 +48,7 @@ def spectrum_framed(df: DataFrame, col: str, order: Sequence[str], partition_by=
     keys = _names(partition_by)
     indexed, sizes = global_index(df.select(*keys, *order, col), order, keys, rn="_rn")
     if keys:
-        x = indexed.join(sizes, keys)
+        x = null_safe_join(indexed, sizes, keys)
     else:
         x = indexed.withColumn("n", F.lit(int(sizes.first()["n"])).cast("long"))
     x = x.select(*keys, F.floor(F.col("_rn") / frame).cast("long").alias("frame"),
@@ -107,22 +108,22 @@ def fft_indexed(df: DataFrame, length: int, idx: str = "idx", re: str = "re", im
     return y.groupBy("k2").applyInPandas(second_round, "k long, re double, im double")
 
 
-def _good_factor(n: int, max_group: int) -> bool:
+def _balanced(n: int) -> bool:
+    """Whether n = N1 * N2 with both within a factor of 16 of each other."""
     a, b = _factor(n)
-    return b <= max_group
+    return b <= 16 * a
 
 
 def _chirp(idx, n: int):
-    """angle pi * (idx^2 mod 2n) / n, exact in 64-bit integers for idx < 2^31.5."""
-    return F.lit(math.pi) * F.pmod(F.col(idx) * F.col(idx), F.lit(2 * n)).cast("double") / F.lit(float(n))
+    """angle pi * (idx^2 mod 2n) / n, the square in whole decimals (exact for idx < 10^18)."""
+    whole = F.col(idx).cast("decimal(19,0)")
+    return F.lit(math.pi) * F.pmod(whole * whole, F.lit(2 * n).cast("decimal(20,0)")).cast("double") / F.lit(float(n))
 
 
 def _bluestein(x: DataFrame, n: int) -> DataFrame:
     """Chirp-z transform of (idx, re) of length n via FFTs of a padded
     power-of-two length M >= 2n - 1:  X_k = w_k * IFFT(FFT(a) FFT(b))_k with
     a_j = x_j conj(w_j), b_m = w_m^-1 ... (w_j = e^{-i pi j^2 / n})."""
-    if n > 1_500_000_000:
-        raise ValueError("chirp-z length limited to 1.5e9 (64-bit chirp phases)")
     spark = x.sparkSession
     m = 1 << int(math.ceil(math.log2(2 * n - 1)))
     ang = _chirp("idx", n)
@@ -144,19 +145,18 @@ def _bluestein(x: DataFrame, n: int) -> DataFrame:
                     (F.col("ci") * F.cos(w) - F.col("cr") * F.sin(w)).alias("im"))
 
 
-def spectrum_global(df: DataFrame, col: str, order: Sequence[str], summary: bool = True,
-                    max_group: int = 1 << 22) -> DataFrame:
+def spectrum_global(df: DataFrame, col: str, order: Sequence[str], summary: bool = True) -> DataFrame:
     """|FFT| of the whole ordered column; one row per k, or the summary row.
 
-    A length whose best factor pair still leaves groups above ``max_group``
-    rows (e.g. a large prime) goes through the chirp-z transform on a padded
-    power-of-two length instead.
+    A length without a balanced factor pair (e.g. a prime), which would leave a
+    round with few groups, goes through the chirp-z transform on a padded
+    power-of-two length instead; groups hold about sqrt(n) values at any length.
     """
     indexed, sizes = global_index(df.select(*order, col), order, None, rn="_rn")
     n = int(sizes.first()["n"])
     x = indexed.select(F.col("_rn").alias("idx"), F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("re"),
                        F.lit(0.0).alias("im"))
-    if _good_factor(n, max_group):
+    if _balanced(n):
         z = fft_indexed(x, n)
     else:
         z = _bluestein(x, n)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clamp, half_round
-from ..plans.order import _names, global_index
+from ..plans.order import _names, global_index, null_safe_join
 
 
 # ------------------------------------------------------------------ C1
@@ -52,6 +52,8 @@ def calibrate(df: DataFrame, cols: Sequence[str]) -> Dict[str, tuple]:
                *[F.max(F.col(c).cast("double")).alias(f"mx_{i}") for i, c in enumerate(cols)]).first()
     params = {}
     for i, c in enumerate(cols):
+        if r[f"mn_{i}"] is None:
+            raise ValueError(f"column {c}: no value to calibrate on")
         mn, mx = min(r[f"mn_{i}"], 0.0), max(r[f"mx_{i}"], 0.0)
         scale = (mx - mn) / 255.0
         if scale == 0:
@@ -100,25 +102,33 @@ def prune_counts(n: int, sparsity: float) -> int:
     return int(n - round(n * (1.0 - sparsity)))
 
 
-def prune(df: DataFrame, value: str, group=None, sparsity: float = 0.7, tie: str | None = None,
+def _weight_order(df: DataFrame, tie):
+    """``df`` with a tie column, and the order of its weights by magnitude."""
+    if tie:
+        return df, ["_absw", *_names(tie)]
+    return df.withColumn("_tie", F.xxhash64(*df.columns)), ["_absw", "_tie"]
+
+
+def prune(df: DataFrame, value: str, group=None, sparsity: float = 0.7, tie=None,
           out: str | None = None) -> DataFrame:
     """Zero the n - round(n (1 - s)) smallest |w| per group.
 
     Ranks come from the range-partitioned index on (group, |w|, tie), so a
-    group with a third of all weights is still ranked by many tasks.
+    group with a third of all weights is still ranked by many tasks.  Equal
+    weights are cut in the order of ``tie``, else of a hash of the whole row, so
+    they spread over tasks and reruns agree; rows without a group are one group.
     """
     out = out or value
     keys = _names(group)
     d = df.withColumn("_absw", F.abs(F.col(value).cast("double")))
-    order = ["_absw"] + ([tie] if tie else [])
+    d, order = _weight_order(d, tie)
     ranked, sizes = global_index(d, order, keys, rn="_prn")
     cut = sizes.withColumn("_m", F.col("n") - F.bround(F.col("n") * F.lit(1.0 - sparsity)))
-    # one row per group
-    joined = ranked.join(F.broadcast(cut.select(*keys, "_m")), keys) if keys else \
+    joined = null_safe_join(ranked, cut.select(*keys, "_m"), keys) if keys else \
         ranked.withColumn("_m", F.lit(prune_counts(int(sizes.first()["n"]), sparsity)))
     return (joined.withColumn(out, F.when(F.col("_prn") < F.col("_m"), F.lit(0.0))
                               .otherwise(F.col(value).cast("double")))
-                  .drop("_absw", "_prn", "_m"))
+                  .drop("_absw", "_tie", "_prn", "_m"))
 
 
 def sparsity(df: DataFrame, value: str, group=None) -> DataFrame:
@@ -138,13 +148,14 @@ def sparsity_schedule(n_train: int, batch: int = 8, epochs: int = 10, initial: f
     return end, [(t, final + (initial - final) * (1.0 - t / end) ** power) for t in steps]
 
 
-def sparsity_sweep(df: DataFrame, value: str, group, levels, tie: str | None = None) -> DataFrame:
+def sparsity_sweep(df: DataFrame, value: str, group, levels, tie=None) -> DataFrame:
     """Achieved sparsity for every (group, step, target): pruned count from the
     rank form plus weights that are already zero, in one counting pass."""
     keys = _names(group)
     d = df.withColumn("_absw", F.abs(F.col(value).cast("double")))
-    ranked, sizes = global_index(d, ["_absw"] + ([tie] if tie else []), keys, rn="_prn")
-    j = ranked.join(F.broadcast(sizes), keys) if keys else \
+    d, order = _weight_order(d, tie)
+    ranked, sizes = global_index(d, order, keys, rn="_prn")
+    j = null_safe_join(ranked, sizes, keys) if keys else \
         ranked.withColumn("n", F.lit(int(sizes.first()["n"])).cast("long"))
     aggs = []
     for i, (step, s) in enumerate(levels):

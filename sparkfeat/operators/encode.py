@@ -48,10 +48,16 @@ class LabelEncoderModel:
         return conv.transform(df.withColumn(id_col + "__d", F.col(id_col).cast("double"))).drop(id_col + "__d")
 
 
-def one_hot(df: DataFrame, col: str, values: Sequence | None = None, drop: bool = True) -> DataFrame:
-    """``{col}_{value}`` int columns for every value, in sorted value order."""
+def one_hot(df: DataFrame, col: str, values: Sequence | None = None, drop: bool = True,
+            max_values: int = 1_000) -> DataFrame:
+    """``{col}_{value}`` int columns for every value, in sorted value order.
+
+    Every value is a column of the plan, so more than ``max_values`` are refused."""
     if values is None:
-        values = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+        values = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+                  .limit(max_values + 1).collect()]
+    if len(values) > max_values:
+        raise ValueError(f"column {col} has more than {max_values} values; one column each is too wide a table")
     out = df.withColumns({f"{col}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in values})
     return out.drop(col) if drop else out
 

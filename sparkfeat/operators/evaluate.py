@@ -108,8 +108,8 @@ def best_row(df: DataFrame, metric: str, tie: str) -> DataFrame:
 def relative_change(df: DataFrame, key: str, baseline: str, cols: Sequence[str]) -> DataFrame:
     """Per row: percent change of each column against the baseline row.
 
-    ``{c}_change_pct`` = 100 (x - base) / base, ``{c}_change_pts`` = x - base.
-    The baseline is a single row (filtered by key), broadcast to every row.
+    ``{c}_change_pct`` = 100 (x - base) / base, ``{c}_change_pts`` = 100 (x - base):
+    percentage points of measures on a scale from 0 to 1.  The baseline is a single row (filtered by key), broadcast to every row.
     """
     base = df.where(F.col(key) == F.lit(baseline)).select(*cols).first()  # the one baseline row
     if base is None:
@@ -119,7 +119,7 @@ def relative_change(df: DataFrame, key: str, baseline: str, cols: Sequence[str])
         b = base[c]
         out = out.withColumn(f"{c}_change_pct",
                              (100.0 * (F.col(c) - F.lit(b)) / F.lit(b)) if b else F.lit(None).cast("double"))
-        out = out.withColumn(f"{c}_change_pts", F.col(c) - F.lit(b))
+        out = out.withColumn(f"{c}_change_pts", 100.0 * (F.col(c) - F.lit(b)))
     return out
 
 

@@ -1,8 +1,10 @@
 """Isolation forest (O3): contamination-based outlier flags.
 
-fit: every tree gets its own sample of at most ``sample`` rows (an
-oversampled Bernoulli draw, a random tree id, then the first ``sample`` rows
-per tree); trees grow on executors with ``groupBy(tree).applyInPandas`` (each
+fit: every tree draws ``sample`` rows of its own without replacement, however
+few rows there are: a hash of (seed, row, tree) decides for each tree alone
+whether a row is among slightly more than ``sample`` candidates, and the first
+``sample`` of them by that hash are the tree's.  The draw depends on the rows'
+values (or ``key``), not on files or partitions.  Trees grow on executors with ``groupBy(tree).applyInPandas`` (each
 group is bounded by the oversampled draw).  The forest - at most
 trees x (2 sample - 1) nodes - is the model; it is collected once and
 broadcast.  score: a vectorised descent of all trees per Arrow batch in
@@ -63,20 +65,25 @@ def _grow(X: np.ndarray, rng: np.random.Generator, limit: int):
 
 class IsolationForest:
     def __init__(self, cols: Sequence[str], trees: int = 100, sample: int = 256, contamination: float = 0.02,
-                 seed: int = 42):
+                 seed: int = 42, key: str | None = None):
+        self.key = key
         self.cols, self.trees, self.sample, self.contamination, self.seed = list(cols), trees, sample, contamination, seed
 
     def fit(self, df: DataFrame) -> "IsolationForestModel":
         n = df.count()
         psi = min(self.sample, n)
-        frac = min(1.0, 1.5 * self.trees * psi / max(n, 1))
+        # so many candidates that fewer than psi are drawn once in millions of trees
+        share = min(1.0, (psi + 6.0 * math.sqrt(psi) + 6.0) / max(n, 1))
         cols, seed, limit = self.cols, self.seed, int(math.ceil(math.log2(max(psi, 2))))
-        drawn = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-                   .sample(False, frac, seed)
-                   .withColumn("tree", F.floor(F.rand(seed + 1) * self.trees).cast("int"))
-                   .withColumn("_r", F.rand(seed + 2)))
-        drawn = drawn.withColumn("_k", F.row_number().over(Window.partitionBy("tree").orderBy("_r"))) \
-                     .where(F.col("_k") <= psi).drop("_k", "_r")
+        row = F.xxhash64(F.col(self.key)) if self.key else F.xxhash64(*df.columns)
+        draw = lambda tree: F.pmod(F.xxhash64(F.lit(seed), F.col("_row"), tree), F.lit(1 << 40))
+        limit_draw = F.lit(int(share * (1 << 40)))
+        drawn = (df.select(*[F.col(c).cast("double").alias(c) for c in cols], row.alias("_row"))
+                   .withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(self.trees - 1)),
+                                                          lambda t: draw(t) < limit_draw)))
+                   .withColumn("_r", draw(F.col("tree"))))
+        drawn = drawn.withColumn("_k", F.row_number().over(Window.partitionBy("tree").orderBy("_r", *cols))) \
+                     .where(F.col("_k") <= psi).drop("_k", "_r", "_row")
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             t = int(pdf["tree"].iloc[0])

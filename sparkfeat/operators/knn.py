@@ -6,8 +6,9 @@ distances in numpy and emits only its own top-k candidates per query - never
 all pairs as rows, and no query row passes through the driver.  A window per
 query merges the partial lists (reference blocks x k rows per query) and a
 grouped count votes; vote ties go to the smallest label.
-Distances are exact Euclidean: candidates are pre-selected with the expanded
-form and re-ranked with sum((q - t)^2), ties broken by the reference key.
+Distances are exact Euclidean, ties broken by the reference key: the expanded
+form only rules rows out, beyond its rounding error.  So neither block sizes
+nor the number of partitions change the result.
 """
 from __future__ import annotations
 
@@ -24,41 +25,56 @@ CAND_SCHEMA = "qid long, cid long, clabel int, dist double"
 
 
 def _block_topk(k: int, has_group: bool, chunk: int = 256):
+    """Exact k nearest rows of one block for one block of queries.
+
+    Both sides are centred on the block's mean, so large offsets cancel before
+    the expanded form |q|^2 + |t|^2 - 2qt is taken.  Its rounding error is
+    bounded by eps times the squared lengths; every row whose expanded distance
+    is within twice that bound of the k-th smallest stays a candidate - with ties
+    that is as many as there are - and all candidates are ranked by
+    (sum((q - t)^2), key) in one sort per chunk.
+    """
     def run(ref: pd.DataFrame, qry: pd.DataFrame) -> pd.DataFrame:
         if ref.empty or qry.empty:
-            return pd.DataFrame({"qid": np.array([], np.int64), "cid": np.array([], np.int64),
-                                 "clabel": np.array([], np.int32), "dist": np.array([], np.float64)})
+            return pd.DataFrame({"qid": qry["qid"].iloc[0:0], "cid": ref["cid"].iloc[0:0],
+                                 "clabel": ref["clabel"].iloc[0:0], "dist": np.array([], np.float64)})
         T = np.stack(ref["f"].to_numpy()).astype(np.float64)
-        tid = ref["cid"].to_numpy(np.int64)
-        tlab = ref["clabel"].to_numpy(np.int64)
-        tg = ref["g"].to_numpy(np.int64) if has_group else None
-        T2 = (T * T).sum(1)
         Qall = np.stack(qry["f"].to_numpy()).astype(np.float64)
-        qids_all = qry["qid"].to_numpy(np.int64)
-        qg_all = qry["g"].to_numpy(np.int64) if has_group else None
-        out_q, out_c, out_l, out_d = [], [], [], []
-        m = min(T.shape[0], k + 8)
+        order = np.argsort(ref["cid"].to_numpy(), kind="stable")  # the key decides ties
+        ref, T = ref.iloc[order], T[order]
+        centre = T.mean(0)
+        Tc = T - centre
+        T2 = (Tc * Tc).sum(1)
+        tg = ref["g"].to_numpy() if has_group else None
+        qg = qry["g"].to_numpy() if has_group else None
+        slack = 8.0 * (T.shape[1] + 2) * np.finfo(np.float64).eps
+        at_q, at_t, dist = [], [], []
         for s0 in range(0, Qall.shape[0], chunk):  # bounded distance matrix: chunk x block
             Q = Qall[s0:s0 + chunk]
-            d2 = (Q * Q).sum(1)[:, None] + T2[None, :] - 2.0 * (Q @ T.T)
+            Qc = Q - centre
+            Q2 = (Qc * Qc).sum(1)
+            d2 = Q2[:, None] + T2[None, :] - 2.0 * (Qc @ Tc.T)
             if has_group:
-                d2 = np.where(qg_all[s0:s0 + chunk][:, None] == tg[None, :], np.inf, d2)
-            idx = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < T.shape[0] else \
-                np.tile(np.arange(T.shape[0]), (Q.shape[0], 1))
-            for qi in range(Q.shape[0]):
-                cand = idx[qi][np.isfinite(d2[qi, idx[qi]])]
-                if cand.size == 0:
-                    continue
-                exact = ((T[cand] - Q[qi]) ** 2).sum(1)
-                order = np.lexsort((tid[cand], exact))[:k]
-                out_q.append(np.full(order.size, qids_all[s0 + qi], np.int64))
-                out_c.append(tid[cand][order])
-                out_l.append(tlab[cand][order])
-                out_d.append(np.sqrt(exact[order]))
-        if not out_q:
-            return run(ref.iloc[0:0], qry.iloc[0:0])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
-                             "clabel": np.concatenate(out_l).astype(np.int32), "dist": np.concatenate(out_d)})
+                d2[qg[s0:s0 + chunk][:, None] == tg[None, :]] = np.inf
+            m = min(k, T.shape[0])
+            kth = np.partition(d2, m - 1, axis=1)[:, m - 1]
+            err = slack * (Q2[:, None] + T2[None, :])
+            near = np.isfinite(d2) & ~(d2 - err > (kth + slack * (Q2 + T2.max()))[:, None])
+            qi, ti = np.nonzero(near)
+            exact = np.empty(len(qi))
+            for lo in range(0, len(qi), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                exact[part] = ((T[ti[part]] - Q[qi[part]]) ** 2).sum(1)
+            by = np.lexsort((ti, exact, qi))
+            qi, ti, exact = qi[by], ti[by], exact[by]
+            rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
+            keep = rank < k
+            at_q.append(qi[keep] + s0)
+            at_t.append(ti[keep])
+            dist.append(np.sqrt(exact[keep]))
+        q, t = np.concatenate(at_q), np.concatenate(at_t)
+        return pd.DataFrame({"qid": qry["qid"].to_numpy()[q], "cid": ref["cid"].to_numpy()[t],
+                             "clabel": ref["clabel"].to_numpy()[t], "dist": np.concatenate(dist)})
     return run
 
 

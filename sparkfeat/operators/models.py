@@ -23,11 +23,15 @@ from typing import Callable, Dict
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +45,14 @@ def with_vectors(df: DataFrame, features: str, out: str = "features", label: str
     return d
 
 
+RAW = "_raw_features"
+
+
+def model_input(df: DataFrame, features: str, label: str | None = None) -> DataFrame:
+    """What fitted pipelines take: the features as a vector and as the array ``RAW``."""
+    return with_vectors(df.withColumn(RAW, F.col(features).cast("array<double>")), RAW, "features", label)
+
+
 def rff_gamma(df: DataFrame, features: str) -> float:
     """sklearn's gamma="scale": 1 / (n_features * X.var()) over all values."""
     dims = len(df.select(features).first()[0])
@@ -48,22 +60,35 @@ def rff_gamma(df: DataFrame, features: str) -> float:
     return 1.0 / (dims * var) if var else 1.0
 
 
-def random_fourier(df: DataFrame, features: str, out: str, gamma: float, n_components: int = 256,
-                   seed: int = 42) -> DataFrame:
-    """Random Fourier features of an array column (Arrow-batched, numpy matmul)."""
-    dims = len(df.select(features).first()[0])
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(dims, n_components))
-    b = rng.uniform(0.0, 2 * np.pi, size=n_components)
-    scale = np.sqrt(2.0 / n_components)
+class RandomFourier(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Random Fourier features of an array column as a saveable stage: a fitted pipeline
+    holds its map (gamma, dims, size, seed) and needs nothing else to score new rows."""
+
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    dims = Param(Params._dummy(), "dims", "input length", TypeConverters.toInt)
+    size = Param(Params._dummy(), "size", "number of features", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the map", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None, gamma=None, dims=None, size=256, seed=42):
+        super().__init__()
+        self._setDefault(size=256, seed=42)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        get = self.getOrDefault
+        rng = np.random.default_rng(get(self.seed))
+        n = get(self.size)
+        W = rng.normal(0.0, np.sqrt(2.0 * get(self.gamma)), size=(get(self.dims), n))
+        b = rng.uniform(0.0, 2 * np.pi, size=n)
+        scale = np.sqrt(2.0 / n)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def rff(col: pd.Series) -> pd.Series:
-        X = np.stack(col.to_numpy()).astype(np.float64)
-        Z = scale * np.cos(X @ W + b)
-        return pd.Series(list(Z))
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def rff(col: pd.Series) -> pd.Series:
+            X = np.stack(col.to_numpy()).astype(np.float64)
+            return pd.Series(list(scale * np.cos(X @ W + b)))
 
-    return df.withColumn(out, rff(F.col(features)))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(rff(F.col(self.getInputCol()))))
 
 
 def estimator(name: str, n_train: int, n_features: int, n_classes: int, seed: int = 42):
@@ -122,43 +147,39 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     n = train.count()
     dims = len(train.select(features).first()[0])
     k = train.select(label).distinct().count()
-    gamma = None
+    stages = []
     if name == "rbf_svm":
-        gamma = rff_gamma(train, features)
-        train = random_fourier(train, features, "_rff", gamma, seed=seed)
-        feats = "_rff"
-    else:
-        feats = features
-    d = with_vectors(train, feats, "features", label)
-    # iterative optimisers run one job per iteration: size partitions to the data
-    # (about 200k rows each), never above what the input already has
-    want = max(1, -(-n // 200_000))
-    if d.rdd.getNumPartitions() > want:
-        d = d.coalesce(want)
+        # the map is a stage of the pipeline, from the array column to the feature vector
+        stages.append(RandomFourier(inputCol=RAW, outputCol="features", gamma=rff_gamma(train, features), dims=dims,
+                                    seed=seed))
+    d = model_input(train, features, label)
     d = d.cache()
     d.count()
+    if stages:
+        d = d.drop("features")
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
-    model = Pipeline(stages=[est]).fit(d)
+    model = Pipeline(stages=[*stages, est]).fit(d)
     secs = time.perf_counter() - t0
     d.unpersist()
-    model._rff_gamma = gamma  # the feature map is part of the fitted model
     return model, secs
 
 
 def predict(model: PipelineModel, df: DataFrame, features: str, key: str, label: str, name: str = "",
             seed: int = 42) -> DataFrame:
     """(key, label, pred int)."""
-    src = random_fourier(df, features, "_rff", model._rff_gamma, seed=seed) if name == "rbf_svm" else df
-    feats = "_rff" if name == "rbf_svm" else features
-    out = model.transform(with_vectors(src, feats, "features", label))
-    return out.select(key, label, F.col("prediction").cast("int").alias("pred"))
+    src = model_input(df, features)
+    if isinstance(model.stages[0], RandomFourier):
+        src = src.drop("features")
+    return model.transform(src).select(key, label, F.col("prediction").cast("int").alias("pred"))
 
 
 def history(model: PipelineModel) -> list:
-    """Objective value per iteration."""
+    """Objective value per iteration (M13); empty for models that are not fitted by
+    iterations over an objective (trees, forests, naive Bayes, one-vs-rest)."""
     m = model.stages[-1]
-    try:
-        return list(m.summary.objectiveHistory)
-    except Exception:  # noqa: BLE001
+    summary = getattr(m, "summary", None)
+    if summary is None or not getattr(m, "hasSummary", False):
         return []
+    summary = summary() if callable(summary) else summary
+    return [float(x) for x in summary.objectiveHistory]

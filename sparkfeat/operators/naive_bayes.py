@@ -5,23 +5,17 @@ var_smoothing * max feature variance added to every variance.  The fitted
 statistics are a (class x feature) table - bounded by the model, not the data.
 predict: the joint log-likelihood
     ln prior_c - 1/2 sum_d [ln(2 pi var_cd) + (x_d - mu_cd)^2 / var_cd]
-per (row, class) by a broadcast join on the feature index and one grouped
-sum; the prediction is the arg max (smallest class on ties) and the
+per class in one projection over the row's feature array; the prediction is the arg max (smallest class on ties) and the
 probability of every class comes from a log-sum-exp.
 """
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_features(df: DataFrame, key: str, features: str) -> DataFrame:
-    """(key, d, x) from an array column."""
-    return df.select(key, F.posexplode(features).alias("d", "x")).withColumn("x", F.col("x").cast("double"))
-
-
 class GaussianNB:
     def __init__(self, features: str = "features", label: str = "label", key: str = "id",
                  var_smoothing: float = 1e-9):
@@ -43,46 +37,50 @@ class GaussianNBModel:
     def __init__(self, est: GaussianNB, stats):
         self.est, self.stats = est, stats
 
-    def stats_frame(self, spark) -> DataFrame:
-        return spark.createDataFrame(self.stats, "cls int, d int, mu double, var double, prior double")
+    def _classes(self):
+        """(class, ln prior - 1/2 sum ln(2 pi var), [(mu, 1 / var) by feature]), class order."""
+        by = {}
+        for cls, d, mu, var, prior in self.stats:
+            by.setdefault(cls, []).append((d, mu, var, prior))
+        out = []
+        for cls in sorted(by):
+            rows = sorted(by[cls])
+            const = math.log(rows[0][3]) - 0.5 * sum(math.log(2 * math.pi * var) for _, _, var, _ in rows)
+            out.append((cls, const, [(mu, 1.0 / var) for _, mu, var, _ in rows]))
+        return out
+
+    def _scores(self):
+        """array<double> of joint log-likelihoods in class order: a projection of the row's
+        own features against the model's literal arrays, without an exchange."""
+        x = F.transform(F.col(self.est.features), lambda v: v.cast("double"))
 
-    def joint_log_likelihood(self, df: DataFrame) -> DataFrame:
-        spark = df.sparkSession
-        long = explode_features(df, self.est.key, self.est.features)
-        st = F.broadcast(self.stats_frame(spark))  # classes x features rows
-        term = F.log(F.lit(2 * math.pi) * F.col("var")) + (F.col("x") - F.col("mu")) ** 2 / F.col("var")
-        return (long.join(st, "d").groupBy(self.est.key, "cls")
-                    .agg((F.log(F.first("prior")) - 0.5 * F.sum(term)).alias("jll")))
+        def literal(values):
+            return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
+
+        def score(const, params):
+            off = F.zip_with(x, literal([m for m, _ in params]), lambda v, m: v - m)
+            far = F.zip_with(off, literal([i for _, i in params]), lambda v, i: v * v * i)
+            return F.lit(const) - 0.5 * F.aggregate(far, F.lit(0.0), lambda acc, v: acc + v)
+
+        return F.array(*[score(const, params) for _, const, params in self._classes()])
 
     def class_scores(self, df: DataFrame) -> DataFrame:
-        """(key, scores array<double>): joint log-likelihoods in class order.
-        The array has one entry per class, so collecting it per row is bounded."""
-        key = self.est.key
-        jll = self.joint_log_likelihood(df)
-        return jll.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("cls", "jll"))).alias("_s")) \
-                  .select(key, F.transform("_s", lambda s: s["jll"]).alias("scores"))
+        """(key, scores array<double>): joint log-likelihoods in class order."""
+        return df.select(self.est.key, self._scores().alias("scores"))
 
     def predict(self, df: DataFrame, keep=("label",)) -> DataFrame:
-        """(key, kept columns, pred, p_true?) ; ``p_true`` when the label is kept.
+        """(key, kept columns, pred, p_true?); ``p_true`` when the label is kept.
 
-        The joint log-likelihood is computed once: the long rows are
-        hash-partitioned by the row key, so the (key, ..., class) sums, the
-        per-row log-sum-exp window and the arg max all reuse that one exchange.
-        """
+        One projection: scores, arg max (smallest class on ties) and log-sum-exp are
+        array functions of the row."""
         key, lab = self.est.key, self.est.label
         keep = list(keep)
-        spark = df.sparkSession
-        long = df.select(key, *keep, F.posexplode(self.est.features).alias("d", "x")) \
-                 .withColumn("x", F.col("x").cast("double"))
-        st = F.broadcast(self.stats_frame(spark))  # classes x features rows
-        term = F.log(F.lit(2 * math.pi) * F.col("var")) + (F.col("x") - F.col("mu")) ** 2 / F.col("var")
-        jll = (long.join(st, "d").repartition(key)
-                   .groupBy(key, *keep, "cls")
-                   .agg((F.log(F.first("prior")) - 0.5 * F.sum(term)).alias("jll")))
-        w = Window.partitionBy(key)
-        jll = jll.withColumn("_m", F.max("jll").over(w))
-        jll = jll.withColumn("_lse", F.col("_m") + F.log(F.sum(F.exp(F.col("jll") - F.col("_m"))).over(w)))
-        aggs = [(-F.max(F.struct(F.col("jll"), -F.col("cls")))["col2"]).cast("int").alias("pred")]
+        classes = F.array(*[F.lit(c) for c, _, _ in self._classes()])
+        scored = df.select(key, *keep, self._scores().alias("_s")).withColumn("_m", F.array_max("_s"))
+        out = scored.withColumn("pred", F.element_at(classes, F.array_position("_s", F.col("_m")).cast("int")).cast("int"))
         if lab in keep:
-            aggs.append(F.max(F.when(F.col("cls") == F.col(lab), F.exp(F.col("jll") - F.col("_lse")))).alias("p_true"))
-        return jll.groupBy(key, *keep).agg(*aggs)
+            lse = F.col("_m") + F.log(F.aggregate(F.transform("_s", lambda v: F.exp(v - F.col("_m"))), F.lit(0.0),
+                                                  lambda acc, v: acc + v))
+            own = F.array_position(classes, F.col(lab).cast("int")).cast("int")
+            out = out.withColumn("p_true", F.when(own > 0, F.exp(F.get("_s", own - 1) - lse)))
+        return out.drop("_s", "_m")

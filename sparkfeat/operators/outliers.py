@@ -11,12 +11,16 @@ from .rolling import rolling
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> DataFrame:
-    """Adds ``max_abs_z`` (population sd, ddof=0) and ``is_outlier`` = max |z| > limit (O2)."""
+    """Adds ``max_abs_z`` (population sd, ddof=0) and ``is_outlier`` = max |z| > limit (O2).
+
+    A constant or empty column has no z and takes no part; without any z the
+    maximum is null and the row is no outlier."""
     r = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)],
                *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
-    zs = [F.abs((F.col(c).cast("double") - F.lit(r[f"m_{i}"])) / F.lit(r[f"s_{i}"])) for i, c in enumerate(cols)]
+    zs = [F.abs((F.col(c).cast("double") - F.lit(r[f"m_{i}"])) / F.lit(r[f"s_{i}"]))
+          if r[f"s_{i}"] else F.lit(None).cast("double") for i, c in enumerate(cols)]
     mz = zs[0] if len(zs) == 1 else F.greatest(*zs)
-    return df.withColumn("max_abs_z", mz).withColumn("is_outlier", F.col("max_abs_z") > F.lit(limit))
+    return df.withColumn("max_abs_z", mz).withColumn("is_outlier", F.coalesce(F.col("max_abs_z") > F.lit(limit), F.lit(False)))
 
 
 def smooth(df: DataFrame, cols: Sequence[str], order: Sequence[str], w: int = 3, partition_by=None) -> DataFrame:

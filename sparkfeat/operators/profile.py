@@ -121,20 +121,28 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: s
 
 # ---------------------------------------------------------------- A13, A14, A16, O1
 def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5, qv=None) -> Dict[str, tuple]:
-    """Linear quartiles and fences per column: (q1, q3, iqr, lower, upper)."""
+    """Linear quartiles and fences per column: (q1, q3, iqr, lower, upper); all None for
+    a column without values."""
     qv = qv or quantile_values(df, cols, [0.25, 0.75], "linear")
     out = {}
     for c in cols:
         q1, q3 = qv[(c, 0.25)], qv[(c, 0.75)]
+        if q1 is None or q3 is None:
+            out[c] = (None,) * 5
+            continue
         iqr = q3 - q1
         out[c] = (q1, q3, iqr, q1 - k * iqr, q3 + k * iqr)
     return out
 
 
+def _outside(c: str, fence: tuple):
+    return F.lit(False) if fence[3] is None else (F.col(c) < fence[3]) | (F.col(c) > fence[4])
+
+
 def iqr_counts(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Fences and outlier count per column, one counting pass."""
     fences = iqr_fences(df, cols, k)
-    aggs = [F.count_if((F.col(c) < fences[c][3]) | (F.col(c) > fences[c][4])).alias(c) for c in cols]
+    aggs = [F.count_if(_outside(c, fences[c])).alias(c) for c in cols]
     counts = df.agg(*aggs)
     parts = [F.struct(F.lit(c).alias("column"), F.lit(fences[c][0]).cast("double").alias("q1"),
                       F.lit(fences[c][1]).cast("double").alias("q3"),
@@ -153,7 +161,7 @@ def iqr_cells(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
 def iqr_rows(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Rows outside the fences of at least one column, with how many (O1, P5)."""
     fences = iqr_fences(df, cols, k)
-    flags = [((F.col(c) < fences[c][3]) | (F.col(c) > fences[c][4])).cast("int") for c in cols]
+    flags = [F.coalesce(_outside(c, fences[c]).cast("int"), F.lit(0)) for c in cols]
     n = sum(flags[1:], flags[0])
     return df.withColumn("n_outlier_cols", n).where(F.col("n_outlier_cols") > 0)
 

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.order import _names, choose_chunk, decay_scan, global_index, total_rows, with_halo
+from ..plans.order import (_names, choose_chunk, decay_scan, global_index, null_safe_join, total_rows,
+                           with_halo)
 
 _FNS = {"mean": ("MA", F.avg), "var": ("VAR", F.var_samp), "sum": ("SUM", F.sum),
         "std": ("STD", F.stddev_samp), "min": ("MIN", F.min), "max": ("MAX", F.max)}
@@ -66,9 +67,11 @@ def ema(df: DataFrame, cols: Sequence[str], order: Sequence[str], spans: Sequenc
 
     y_t = sum_i q^(t-i) x_i / sum_i q^(t-i) over non-null x_i, q = 1 - alpha;
     a null keeps decaying (the output repeats the last value), as pandas does.
-    Per chunk the numerator and denominator are linear scans; the carry into a
-    chunk is sum_d S_d (q^C)^(c-1-d) over earlier chunks of the same key, from
-    a one-row-per-chunk table (terms below 2^-80 of the newest are dropped).
+    A chunk's state is the numerator and denominator at its last non-null row,
+    so the denominator is at least 1 however long a null run is; the carry into
+    a chunk is the state at the last non-null row before it, summed from the
+    states of the chunks that hold values (weights below 2^-80 of the newest,
+    which is 1, vanish in double precision).  Only the ratio passes a null run.
     """
     keys = _names(partition_by)
     spans = list(spans)
@@ -77,34 +80,37 @@ def ema(df: DataFrame, cols: Sequence[str], order: Sequence[str], spans: Sequenc
     C = chunk or choose_chunk(n, 0, _parallelism(df))
     d = indexed.withColumn("_chunk", F.floor(F.col("_rn") / F.lit(C)).cast("long"))
     qs = {w: 1.0 - 2.0 / (w + 1.0) for w in spans}
-    end = (F.col("_chunk") + 1) * F.lit(C) - 1
-    aggs, carry_names = [], []
+    inside = Window.partitionBy(*keys, "_chunk")
+    value = {c: F.col(c).cast("double") for c in cols}
+    seen = {c: value[c].isNotNull() & ~F.isnan(value[c]) for c in cols}
+    marked = d.withColumns({f"T__{c}": F.max(F.when(seen[c], F.col("_rn"))).over(inside) for c in cols})
+    aggs = [F.first(f"T__{c}").alias(f"T__{c}") for c in cols]
     for w in spans:
-        wt = F.pow(F.lit(qs[w]), (end - F.col("_rn")).cast("double"))
         for c in cols:
-            x = F.col(c).cast("double")
-            aggs.append(F.sum(F.when(x.isNotNull(), x * wt).otherwise(F.lit(0.0))).alias(f"S__{c}__{w}"))
-            aggs.append(F.sum(F.when(x.isNotNull(), wt).otherwise(F.lit(0.0))).alias(f"D__{c}__{w}"))
-            carry_names += [f"S__{c}__{w}", f"D__{c}__{w}"]
-    summ = d.groupBy(*keys, "_chunk").agg(*aggs)
-    lookback = 1
-    for w in spans:
-        qc = qs[w] ** C
-        if qc > 0:
-            lookback = max(lookback, int(math.ceil(80 * math.log(2) / max(-C * math.log(qs[w]), 1e-300))) + 1)
-    # over the chunk table (one row per chunk of up to MAX_CHUNK rows), per key
-    spec = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-lookback, -1)
-    prev = F.collect_list(F.struct("_chunk", *carry_names)).over(spec)
-    carries = {}
-    for w in spans:
-        qc = F.lit(qs[w] ** C)
-        for kind in ("S", "D"):
-            for c in cols:
+            wt = F.pow(F.lit(qs[w]), (F.col(f"T__{c}") - F.col("_rn")).cast("double"))
+            aggs.append(F.sum(F.when(seen[c], value[c] * wt)).alias(f"S__{c}__{w}"))
+            aggs.append(F.sum(F.when(seen[c], wt)).alias(f"D__{c}__{w}"))
+    states = marked.groupBy(*keys, "_chunk").agg(*aggs)
+    # a chunk further back weighs q^C less; two chunks' last values may be one row apart
+    lookback = 2 + max(math.ceil(80 * math.log(2) / (-C * math.log(qs[w]))) if qs[w] > 0 else 0 for w in spans)
+    carry_tbl = states
+    for c in cols:
+        # windows over the chunk table (one row per chunk), per key, chunks with values only
+        held = Window.partitionBy(*keys, F.col(f"T__{c}").isNotNull()).orderBy("_chunk").rowsBetween(-lookback, 0)
+        before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        for w in spans:
+            for kind in ("S", "D"):
                 nm = f"{kind}__{c}__{w}"
-                carries["C" + nm] = F.aggregate(prev, F.lit(0.0), _carry_step(nm, qc))
+                past = F.collect_list(F.struct(F.col(f"T__{c}").alias("t"), F.col(nm).alias("v"))).over(held)
+                carry_tbl = carry_tbl.withColumn(f"_past_{nm}", F.when(
+                    F.col(f"T__{c}").isNotNull(), F.aggregate(past, F.lit(0.0), _carry_step(f"T__{c}", qs[w]))))
+        carry_tbl = carry_tbl.withColumns(
+            {f"CT__{c}": F.last(f"T__{c}", True).over(before)}
+            | {f"C{k}__{c}__{w}": F.last(f"_past_{k}__{c}__{w}", True).over(before) for w in spans for k in "SD"})
     # renamed keys: the carry table comes from the same lineage as the rows
-    carry_tbl = summ.select(*[F.col(k).alias(f"_ck_{i}") for i, k in enumerate(keys)],
-                            F.col("_chunk").alias("_ck_chunk"), *[v.alias(k) for k, v in carries.items()])
+    carry_tbl = carry_tbl.select(*[F.col(k).alias(f"_ck_{i}") for i, k in enumerate(keys)],
+                                 F.col("_chunk").alias("_ck_chunk"), *[f"CT__{c}" for c in cols],
+                                 *[f"C{k}__{c}__{w}" for w in spans for c in cols for k in "SD"])
 
     out_fields = list(d.schema.fields) + [T.StructField(name.format(col=c, w=w), T.DoubleType(), True)
                                           for w in spans for c in cols]
@@ -117,20 +123,25 @@ def ema(df: DataFrame, cols: Sequence[str], order: Sequence[str], spans: Sequenc
         left = left.sort_values("_rn", kind="stable").reset_index(drop=True)
         start = int(left["_chunk"].iloc[0]) * C
         pos = left["_rn"].to_numpy(dtype=np.int64) - start
-        for w in spans:
-            q = qs[w]
-            decay = np.power(q, pos + 1.0)
-            for c in cols:
-                x = left[c].to_numpy(dtype=np.float64, na_value=np.nan)
-                ok = ~np.isnan(x)
+        carry = None if right.empty else right.iloc[0]
+        for c in cols:
+            x = left[c].to_numpy(dtype=np.float64, na_value=np.nan)
+            ok = ~np.isnan(x)
+            last = None if carry is None or pd.isna(carry[f"CT__{c}"]) else int(carry[f"CT__{c}"]) - start
+            # the newest value at or before each row: -1 is the carry
+            newest = np.maximum.accumulate(np.where(ok, np.arange(len(x)), -1))
+            for w in spans:
+                q = qs[w]
                 num = decay_scan(np.where(ok, x, 0.0), q)
                 den = decay_scan(ok.astype(np.float64), q)
-                if not right.empty:
-                    num = num + float(right[f"CS__{c}__{w}"].iloc[0]) * decay
-                    den = den + float(right[f"CD__{c}__{w}"].iloc[0]) * decay
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    y = np.where(den > 0, num / np.where(den > 0, den, 1.0), np.nan)
-                left[name.format(col=c, w=w)] = y
+                before = np.nan
+                if last is not None:
+                    decay = np.power(q, (pos - last).astype(np.float64))
+                    s0, d0 = float(carry[f"CS__{c}__{w}"]), float(carry[f"CD__{c}__{w}"])
+                    num, den, before = num + s0 * decay, den + d0 * decay, s0 / d0
+                y = np.full(len(x), np.nan)
+                y[ok] = num[ok] / den[ok]
+                left[name.format(col=c, w=w)] = np.where(newest >= 0, y[newest], before)
         return left[col_order]
 
     res = (d.groupBy(*keys, "_chunk")
@@ -139,9 +150,9 @@ def ema(df: DataFrame, cols: Sequence[str], order: Sequence[str], spans: Sequenc
     return res if keep_index else res.drop("_rn")
 
 
-def _carry_step(nm: str, qc):
+def _carry_step(at: str, q: float):
     def step(acc, s):
-        return acc + s[nm] * F.pow(qc, (F.col("_chunk") - 1 - s["_chunk"]).cast("double"))
+        return acc + s["v"] * F.pow(F.lit(q), (F.col(at) - s["t"]).cast("double"))
     return step
 
 
@@ -156,7 +167,7 @@ def sign_changes(df: DataFrame, cols: Sequence[str] | str, order: Sequence[str],
     keys = _names(partition_by)
     means = df.groupBy(*keys).agg(*[F.avg(F.col(c).cast("double")).alias(f"_m__{c}") for c in cols])
     if keys:
-        base = df.join(means, keys)
+        base = null_safe_join(df, means, keys)
     else:
         m = means.first()  # one row: the series mean of each column
         base = df.withColumns({f"_m__{c}": F.lit(m[f"_m__{c}"]).cast("double") for c in cols})

@@ -15,7 +15,7 @@ from typing import Dict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.order import global_index
+from ..plans.order import global_index, null_safe_join
 
 
 def hash_order(key: str, seed: int = 42):
@@ -26,14 +26,14 @@ def hash_order(key: str, seed: int = 42):
 
 def largest_remainder(counts: Dict, total: int) -> Dict:
     """Split ``total`` over classes proportionally to ``counts``; extra units go to
-    the largest remainders, ties to the smaller class value."""
+    the largest remainders, ties to the smaller class value (a null class last)."""
     n = sum(counts.values())
     if n == 0:
         return {k: 0 for k in counts}
     exact = {k: total * c / n for k, c in counts.items()}
     base = {k: int(math.floor(v)) for k, v in exact.items()}
     left = total - sum(base.values())
-    order = sorted(counts, key=lambda k: (-(exact[k] - base[k]), k))
+    order = sorted(counts, key=lambda k: (-(exact[k] - base[k]), k is None, 0 if k is None else k))
     for k in order[:left]:
         base[k] += 1
     return base
@@ -49,9 +49,8 @@ def _class_ranks(df: DataFrame, label: str, key: str, seed: int):
 def _apply_allot(ranked: DataFrame, label: str, alloc: Dict, out: str, yes, no) -> DataFrame:
     spark = ranked.sparkSession
     dtype = ranked.schema[label].dataType.simpleString()
-    # one row per class: bounded by the number of classes
-    tbl = F.broadcast(spark.createDataFrame([(k, int(v)) for k, v in alloc.items()], f"`{label}` {dtype}, _take long"))
-    return (ranked.join(tbl, label)
+    tbl = spark.createDataFrame([(k, int(v)) for k, v in alloc.items()], f"`{label}` {dtype}, _take long")
+    return (null_safe_join(ranked, tbl, [label])
                   .withColumn(out, F.when(F.col("_crn") < F.col("_take"), F.lit(yes)).otherwise(F.lit(no)))
                   .drop("_take", "_crn", "_h"))
 

@@ -75,8 +75,7 @@ def make_variant(wt: DataFrame, variant: str) -> DataFrame:
                               .otherwise((code - F.col("_z")) * F.col("_s")))
                   .drop("_mn", "_mx", "_s", "_z"))
     if variant == "pruned_70":
-        keyed = wt.withColumn("_k", F.col("row") * 100000 + F.col("col"))
-        return C.prune(keyed, "value", "layer", 0.7, tie="_k").drop("_k")
+        return C.prune(wt, "value", "layer", 0.7, tie=["row", "col"])
     raise ValueError(variant)
 
 

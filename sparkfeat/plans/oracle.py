@@ -393,6 +393,18 @@ FROM lineitem""" for c in LCOLS])
     q["rolling_var"] = _rolling_sql(WINDOWS, "var")
     q["rolling_by_user"] = _rolling_sql([5], "mean var", partition="user_id", digits=6)
     q["ema"] = _ema_sql(WINDOWS)
+    q["rolling_null_key"] = _rolling_sql([5], "mean", partition="user_id", digits=6).replace(
+        "FROM events", "FROM (SELECT event_id, ts, value, CASE WHEN event_id % 4 <> 0 THEN user_id END AS user_id FROM events)")
+    qn = {w: D(1.0 - 2.0 / (w + 1.0)) for w in (10, 50)}
+    q["ema_null_runs"] = f"""WITH RECURSIVE o AS (SELECT event_id, CASE WHEN event_id % 1000 < 20 THEN value END AS value,
+    row_number() OVER (ORDER BY ts, event_id) - 1 AS rn FROM events),
+r(rn, event_id, n10, d10, n50, d50) AS (
+  SELECT rn, event_id, coalesce(value, CAST(0 AS DOUBLE)), CAST(CASE WHEN value IS NULL THEN 0 ELSE 1 END AS DOUBLE),
+         coalesce(value, CAST(0 AS DOUBLE)), CAST(CASE WHEN value IS NULL THEN 0 ELSE 1 END AS DOUBLE) FROM o WHERE rn = 0
+  UNION ALL
+  SELECT o.rn, o.event_id, {", ".join(f"r.n{w} * {qn[w]} + coalesce(o.value, 0), r.d{w} * {qn[w]} + CASE WHEN o.value IS NULL THEN 0 ELSE 1 END" for w in qn)}
+  FROM r JOIN o ON o.rn = r.rn + 1)
+SELECT event_id, {", ".join(f"CASE WHEN d{w} > 0 THEN {S(f'n{w} / d{w}')} END AS value_EMA_{w}" for w in qn)} FROM r"""
     q["sign_changes"] = ("WITH s AS (SELECT event_id, ts, sign(value - (SELECT avg(value) FROM events)) AS s FROM events) "
                          "SELECT event_id, coalesce(s <> lag(s) OVER (ORDER BY ts, event_id), false) AS value_sign_change FROM s")
     q["features_statistical"] = _stat_features()
@@ -421,6 +433,12 @@ SELECT event_id, event_type FROM
     q["stratified_folds"] = ("SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY "
                              "CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '|42'), 1, 13)) AS BIGINT), doc_id) - 1) % 5 "
                              "AS INTEGER) AS fold FROM labels")
+    q["folds_null_class"] = q["stratified_folds"].replace(
+        "FROM labels", "FROM (SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN quality END AS quality FROM labels)")
+    models = ", ".join(f"('{m}')" for m in ("logistic", "tree", "forest", "linear_svm", "rbf_svm", "naive_bayes",
+                                           "mlp_small", "mlp_large"))
+    q["model_roundtrip"] = ("SELECT model, CAST(ceil(0.2 * n) AS BIGINT) AS n, CAST(ceil(0.2 * n) AS BIGINT) AS n_equal "
+                            f"FROM (SELECT count(*) AS n FROM embeddings), (VALUES {models}) m(model)")
     q["gnb_sql"] = f"WITH {GNB} SELECT vec_id, label, CAST(pred AS INTEGER) AS pred, {S('p_true')} AS p_true FROM gpred"
     q["knn_sql"] = f"WITH {KNN} SELECT vec_id, label, CAST(pred AS INTEGER) AS pred FROM knn"
     q["accuracy"] = f"WITH {GNB} SELECT {S('avg(CAST(label = pred AS DOUBLE))')} AS accuracy FROM gpred"
@@ -446,9 +464,9 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
                        f"{S('recall')} AS recall, {S('f1')} AS f1 FROM mt ORDER BY accuracy DESC, model LIMIT 1")
     q["relative_change"] = (f"{mt}, b AS (SELECT accuracy AS ba, f1 AS bf FROM mt WHERE model = 'gaussian_nb') "
                             f"SELECT model, {S('CASE WHEN ba <> 0 THEN 100.0 * (accuracy - ba) / ba END')} AS accuracy_change_pct, "
-                            f"{S('accuracy - ba')} AS accuracy_change_pts, "
+                            f"{S('100.0 * (accuracy - ba)')} AS accuracy_change_pts, "
                             f"{S('CASE WHEN bf <> 0 THEN 100.0 * (f1 - bf) / bf END')} AS f1_change_pct, "
-                            f"{S('f1 - bf')} AS f1_change_pts FROM mt, b")
+                            f"{S('100.0 * (f1 - bf)')} AS f1_change_pts FROM mt, b")
     q["fit_limits"] = ("SELECT p_partkey, " + S("p_retailprice * p_size / 16.0") + " AS size_kb, d.device, d.flash_kb, "
                        "CASE WHEN p_retailprice * p_size / 16.0 <= d.flash_kb THEN 'Suitable' ELSE 'Not Suitable' END AS status "
                        "FROM part, (VALUES ('Arduino Nano 33 BLE Sense', 1024), ('ESP32', 4096), ('Raspberry Pi Pico', 2048), "

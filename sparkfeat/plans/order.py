@@ -70,11 +70,20 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which a null key meets a null key."""
+    keys = list(keys)
+    renamed = right.withColumnsRenamed({k: f"_right_{i}" for i, k in enumerate(keys)})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{i}")) for i, k in enumerate(keys)]
+    return left.join(renamed, on).drop(*[f"_right_{i}" for i in range(len(keys))])
+
+
 def global_index(df: DataFrame, order: Sequence[str] | str, partition_by=None,
                  rn: str = "rn", buckets: int | None = None):
     """Add a 0-based row number ``rn`` in ``order`` (within ``partition_by`` keys).
 
-    ``order`` must be a total order (append a unique tie-break column).
+    ``order`` must be a total order (append a unique tie-break column).  Null
+    keys are a key of their own.
     Returns ``(indexed_df, sizes_df)`` where ``sizes_df`` has one row per key
     (one row in total without keys) with the column ``n``.
     """
@@ -97,7 +106,7 @@ def global_index(df: DataFrame, order: Sequence[str] | str, partition_by=None,
     if not keys:
         # one row per range partition: bounded by ``buckets``
         offsets_small = F.broadcast(offsets_small)
-    out = (ranged.join(offsets_small, gcols)
+    out = (null_safe_join(ranged, offsets_small, gcols)
                  .withColumn(rn, (F.col("_off") + F.col("_pos") - F.col("_first")).cast("long"))
                  .drop("_pid", "_pos", "_off", "_first"))
     sizes = counts.groupBy(*keys).agg(F.sum("_cnt").cast("long").alias("n"))

@@ -291,6 +291,21 @@ def q_rolling_by_user(spark, sf):
     return _sig_cols(r.select("event_id", "user_id", "value_MA_5", "value_VAR_5"), ["value_MA_5", "value_VAR_5"], 6)
 
 
+def q_rolling_null_key(spark, sf):
+    """Rolling mean per key where a quarter of the rows have no key: they are one key."""
+    ev = t(spark, sf, "events").select("event_id", "ts", "value", F.expr(
+        "CASE WHEN event_id % 4 <> 0 THEN user_id END").alias("user_id"))
+    r = R.rolling(ev, ["value"], ORDER, [5], ("mean",), partition_by="user_id")
+    return _sig_cols(r.select("event_id", "user_id", "value_MA_5"), ["value_MA_5"], 6)
+
+
+def q_ema_null_runs(spark, sf):
+    """EMA over runs of nulls far longer than the spans remember."""
+    ev = _series(spark, sf).withColumn("value", F.expr("CASE WHEN event_id % 1000 < 20 THEN value END"))
+    r = R.ema(ev, ["value"], ORDER, [10, 50], chunk=300)
+    return _sig_cols(r.select("event_id", "value_EMA_10", "value_EMA_50"), ["value_EMA_10", "value_EMA_50"])
+
+
 def q_ema(spark, sf):
     r = R.ema(_series(spark, sf), ["value"], ORDER, WINDOWS)
     cols = [f"value_EMA_{w}" for w in WINDOWS]
@@ -346,6 +361,12 @@ def q_stratified_folds(spark, sf):
     return L.stratified_folds(lab, "quality", "doc_id", 5, 42).select("doc_id", "quality", "fold")
 
 
+def q_folds_null_class(spark, sf):
+    """Folds where a quarter of the rows have no class: they are a class of their own."""
+    lab = t(spark, sf, "labels").select("doc_id", F.expr("CASE WHEN doc_id % 4 <> 0 THEN quality END").alias("quality"))
+    return L.stratified_folds(lab, "quality", "doc_id", 5, 42).select("doc_id", "quality", "fold")
+
+
 # ------------------------------------------------------------------ models with an SQL form
 def _gnb_pred(spark, sf) -> DataFrame:
     sp = _emb_split(spark, sf)
@@ -562,16 +583,19 @@ def q_model_comparison(spark, sf):
 
 
 def q_training_history(spark, sf):
-    """(iteration, loss) of the logistic regression fit."""
+    """(model, iteration, loss) of the iterative fits, both networks among them."""
     train, _ = _train_test(spark, sf)
-    model, _ = M.fit_model("logistic", train, "embedding", "label")
-    hist = M.history(model)
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
+    rows = []
+    for name in ("logistic", "mlp_small", "mlp_large"):
+        model, _ = M.fit_model(name, train, "embedding", "label")
+        rows += [(name, i, v) for i, v in enumerate(M.history(model))]
+    return spark.createDataFrame(rows, "model string, iteration int, loss double")
 
 
 def q_history_last(spark, sf):
     h = q_training_history(spark, sf)
-    return h.agg(F.max("iteration").alias("last_iteration"), F.max_by("loss", "iteration").alias("last_loss"))
+    return h.groupBy("model").agg(F.max("iteration").alias("last_iteration"),
+                                  F.max_by("loss", "iteration").alias("last_loss"))
 
 
 def q_metrics_store(spark, sf):
@@ -585,13 +609,19 @@ def q_metrics_store(spark, sf):
 
 
 def q_model_roundtrip(spark, sf):
-    """Save a fitted pipeline, load it back and score the test split."""
+    """Save every fitted pipeline, load it back and score the test split with both: rows
+    and equal predictions (S7, M10)."""
     train, test = _train_test(spark, sf)
-    model, _ = M.fit_model("logistic", train, "embedding", "label")
-    path = S.save_model(model, scratch_path(spark, "model-roundtrip"))
-    loaded = S.load_model(path)
-    loaded._rff_gamma = None
-    return M.predict(loaded, test, "embedding", "vec_id", "label", "logistic")
+    out = None
+    for name in M.MODELS:
+        model, _ = M.fit_model(name, train, "embedding", "label")
+        loaded = S.load_model(S.save_model(model, scratch_path(spark, f"model-{name}")))
+        was, now = (M.predict(m, test, "embedding", "vec_id", "label").select("vec_id", F.col("pred").alias(c))
+                    for m, c in ((model, "was"), (loaded, "now")))
+        one = was.join(now, "vec_id").agg(F.lit(name).alias("model"), F.count("*").alias("n"),
+                                          F.count_if(F.col("was") == F.col("now")).alias("n_equal"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def q_model_size(spark, sf):

@@ -35,10 +35,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if none is set (tests)."""
+    """Return the shared checkpoint folder.  Where none is set, a local one is made for a
+    session whose driver and executors are one process (tests, bench); on a cluster that
+    is an error, since executors would not see each other's files."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="sparkfeat-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
