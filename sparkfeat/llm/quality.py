@@ -9,7 +9,8 @@ noise.  The noise is a hash of seed, id and text, so reruns and retries agree.
 
 k is a parameter; by default it is the number of documents whose log weight reaches the
 level that target documents held out of the model (a fifth of the sample) reach: 3 below
-their lowest two thousandths, 3 being all that Gumbel noise takes off a document.
+their lowest two thousandths (or below 0), 3 being all that Gumbel noise takes off a
+document.
 
 The raw counts cover all words of all documents; a task sends at most ``BUCKETS`` rows.
 The k-th largest key comes from a range-partitioned index; what is kept is then a filter
@@ -108,8 +109,9 @@ def with_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 
 def level(weights: list[float], lose: float = LOSE, slack: float = SLACK) -> float | None:
-    """``slack`` below the ``lose`` quantile of held-out target documents' weights."""
-    return float(np.quantile(weights, lose, method="lower")) - slack if weights else None
+    """``slack`` below the ``lose`` quantile of held-out target documents' weights, or below
+    0: what is as likely in the target as in the raw text is never turned down."""
+    return min(0.0, float(np.quantile(weights, lose, method="lower"))) - slack if weights else None
 
 
 def selection(scored: DataFrame, sample: DataFrame, id_col: str, weight: str, key: str,
