@@ -1,7 +1,7 @@
 """Small column-expression builders shared by the operators.
 
-All of them are built from ``pyspark.sql.functions`` so they stay inside
-whole-stage codegen; none is a Python UDF.
+They are built from ``pyspark.sql.functions`` and stay inside whole-stage codegen, but
+for ``sig_columns``, which rounds results for comparison in an Arrow-batched UDF.
 """
 from __future__ import annotations
 
@@ -64,40 +64,6 @@ def _sig_udf(digits: int):
     return F.pandas_udf(rounded, "double")
 
 
-def _sig_stage(df, cols, digits: int):
-    e = {c: f"__e_{i}" for i, c in enumerate(cols)}
-    y = {c: f"__y_{i}" for i, c in enumerate(cols)}
-    r = {c: f"__r_{i}" for i, c in enumerate(cols)}
-    df = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    df = df.withColumns({e[c]: (F.lit(digits - 1) - F.floor(F.log10(F.abs(F.col(c))))).cast("double") for c in cols})
-    p = {c: F.pow(F.lit(10.0), F.abs(F.col(e[c]))) for c in cols}
-    df = df.withColumns({y[c]: F.when(F.col(e[c]) >= 0, F.col(c) * p[c]).otherwise(F.col(c) / p[c]) for c in cols})
-    df = df.withColumns({r[c]: round_half_away(y[c]) for c in cols})
-    res = {}
-    for c in cols:
-        x = F.col(c)
-        res[c] = (F.when(x.isNull(), F.lit(None).cast("double"))
-                  .when(F.isnan(x), x)
-                  .when(x == 0, F.lit(0.0))
-                  .when(x.isin(float("inf"), float("-inf")), x)
-                  .when(F.col(e[c]) >= 0, F.col(r[c]) / p[c])
-                  .otherwise(F.col(r[c]) * p[c]))
-    return df.withColumns(res).drop(*e.values(), *y.values(), *r.values())
-
-
-def round_half_away(y) -> Column:
-    """round(y) with ties away from zero (SQL ``round``), in plain double ops.
-
-    ``F.round`` on a double goes through BigDecimal per value; here an exact
-    tie (y - floor(y) == 0.5, exact for |y| < 2^52) goes away from zero and
-    everything else uses ``rint``.
-    """
-    y = col(y)
-    fl = F.floor(y).cast("double")
-    return (F.when(y - fl == 0.5, F.when(y > 0, F.ceil(y).cast("double")).otherwise(fl))
-             .otherwise(F.rint(y)))
-
-
 def _sig1(c, digits: int) -> Column:
     """Round a double to ``digits`` significant digits (half away from zero).
 
@@ -142,12 +108,6 @@ def _sig1_sql(x: str, digits: int) -> str:
     )
 
 
-def safe_div(num, den, when_zero=float("nan")) -> Column:
-    """``num / den`` with a chosen value where ``den`` is 0 (ANSI mode raises there)."""
-    n, d = col(num), col(den)
-    return F.when(d == 0, F.lit(when_zero)).otherwise(n / d)
-
-
 def argmax_array(a) -> Column:
     """0-based index of the first maximum of an array (first on ties)."""
     a = col(a)

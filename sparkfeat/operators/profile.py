@@ -277,8 +277,3 @@ def to_long(df: DataFrame, id_cols: Sequence[str], cols: Sequence[str],
             name: str = "feature", value: str = "value") -> DataFrame:
     """Columns to rows."""
     return df.unpivot(list(id_cols), list(cols), name, value)
-
-
-def row_at_max(df: DataFrame, col: str, tie: str) -> DataFrame:
-    """The row with the largest ``col``; the smallest ``tie`` wins ties."""
-    return df.orderBy(F.desc(col), F.asc(tie)).limit(1)

@@ -1,138 +1,41 @@
-"""Exact order statistics without a per-value map in one task.
-
-``F.percentile`` is exact but its buffer is a value->count map, and a global
-``percentile`` merges every distinct value of the column in one task.  Here an
-exact rank is found in two passes that stay distributed:
-
-1. counts per group and a ``percentile_approx`` sketch (relative rank error
-   1/A) give, for each wanted rank r, a bracket [lo, hi] that holds it;
-2. one pass counts the rows below lo, equal to lo, equal to hi and up to hi,
-   and ranks only the rows strictly inside (lo, hi).  The interior is a few
-   n/A rows wide, so a value that repeats a third of the table never enters
-   a window - it is recognised by its count.
-
-The result is verified (below <= r < upto); a bracket that misses falls back
-to the whole range for that target.  Results are bounded metadata: one value
-per (group, rank).
+"""Exact order statistics by narrowing brackets, without a sketch or sort in one task.
+
+Every wanted rank has an open bracket (lo, hi) - at first the whole column - and its
+rank among the values strictly inside.  A round takes two scans for all of them:
+
+1. a random sample of at most ``ACCURACY`` values from inside each bracket gives two
+   splitters around the wanted rank, a few standard errors apart;
+2. one aggregation counts, for each rank, the values inside the bracket below the
+   first splitter, equal to it, between the two and equal to the second.
+
+The counts are exact, so the rank is either one of the splitters or lies in one of the
+three smaller brackets, wherever the sample put them: a poor sample costs a round, never
+the result.  A bracket with at most ``ACCURACY`` values is read whole.  Each round leaves
+about 1 / 80 of a bracket (n = 1e12: four rounds).  A value that repeats a third of the
+table is recognised by its count.  The driver holds samples and counts of bounded size;
+no task merges or sorts more than its own rows.
 """
 from __future__ import annotations
 
-from typing import Dict, Iterable, List, Sequence, Tuple
+import math
+from typing import Dict, Sequence, Tuple
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ACCURACY = None  # None: sized to the data, see ``accuracy_for``
-
-
-def accuracy_for(n: int) -> int:
-    """Sketch accuracy A: the interior of a bracket is about 6 n / A rows.
-
-    A grows with the table so the interior stays near 1e5 rows, capped at 1e6
-    (sketch memory is O(A) per task); at 1e12 rows the interior is ~6e6 rows
-    for one window task.
-    """
-    return int(min(1_000_000, max(10_000, n // 100_000)))
-
-
-def group_counts(long: DataFrame, groups: Sequence[str], value: str) -> Dict[tuple, int]:
-    rows = long.where(F.col(value).isNotNull()).groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()
-    return {tuple(r[g] for g in groups): int(r["n"]) for r in rows}
-
-
-def select_ranks(long: DataFrame, groups: Sequence[str], value: str,
-                 targets: Dict[tuple, Iterable[int]], accuracy: int = ACCURACY) -> Dict[Tuple[tuple, int], float]:
-    """Exact value at 0-based rank r of ``value`` (ascending, nulls dropped)
-    within each group.  ``targets`` maps a group tuple to the wanted ranks;
-    ``counts`` come from the caller via ``group_counts``."""
-    groups = list(groups)
-    if not groups:
-        raise ValueError("select_ranks needs at least one group column")
-    spark = long.sparkSession
-    data = long.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
-    counts = group_counts(data, groups, "_v")
-    if accuracy is None:
-        accuracy = accuracy_for(max(counts.values(), default=0))
-    want: List[tuple] = []  # (group, r, p_lo, p_hi)
-    delta = 3.0 / accuracy
-    for g, rs in targets.items():
-        n = counts.get(g, 0)
-        for r in rs:
-            if not 0 <= r < n:
-                raise ValueError(f"rank {r} outside group {g} of {n} rows")
-            want.append((g, int(r), max(0.0, r / n - delta), min(1.0, (r + 1) / n + delta)))
-    if not want:
-        return {}
-    ps = sorted({w[2] for w in want} | {w[3] for w in want})
-    pidx = {p: i for i, p in enumerate(ps)}
-    sketch = {tuple(row[g] for g in groups): row["_q"] for row in
-              data.groupBy(*groups).agg(F.percentile_approx("_v", ps, accuracy).alias("_q")).collect()}
-    brackets = []
-    for g, r, plo, phi in want:
-        q = sketch[g]
-        brackets.append((g, r, float(q[pidx[plo]]), float(q[pidx[phi]])))
-    out = _resolve(spark, data, groups, brackets)
-    missing = [(g, r, float("-inf"), float("inf")) for (g, r, lo, hi) in brackets if (g, r) not in out]
-    if missing:
-        out.update(_resolve(spark, data, groups, missing))
-    return out
-
-
-def _resolve(spark, data: DataFrame, groups: List[str], brackets) -> Dict[Tuple[tuple, int], float]:
-    schema = ", ".join([f"`{g}` {data.schema[g].dataType.simpleString()}" for g in groups] +
-                       ["_t long", "_r long", "_lo double", "_hi double"])
-    rows = [tuple(g) + (i, r, lo, hi) for i, (g, r, lo, hi) in enumerate(brackets)]
-    # one row per wanted rank: bounded by the number of targets
-    bt = F.broadcast(spark.createDataFrame(rows, schema))
-    joined = data.join(bt, groups)
-    v = F.col("_v")
-    stats = joined.groupBy("_t", "_r", "_lo", "_hi").agg(
-        F.count_if(v < F.col("_lo")).alias("_below"),
-        F.count_if(v == F.col("_lo")).alias("_at_lo"),
-        F.count_if(v == F.col("_hi")).alias("_at_hi"),
-        F.count_if(v <= F.col("_hi")).alias("_upto"),
-    ).collect()
-    result, inner_need = {}, {}
-    for s in stats:
-        t, r = s["_t"], s["_r"]
-        lo, hi = s["_lo"], s["_hi"]
-        below, upto = s["_below"], s["_upto"]
-        if not (below <= r < upto):
-            continue  # bracket missed: caller retries with the full range
-        if r < below + s["_at_lo"]:
-            result[t] = lo
-        elif r >= upto - s["_at_hi"]:
-            result[t] = hi
-        else:
-            inner_need[t] = r - below - s["_at_lo"]
-    if inner_need:
-        w = Window.partitionBy("_t").orderBy("_v")
-        inner = (joined.where((v > F.col("_lo")) & (v < F.col("_hi")) & F.col("_t").isin(list(inner_need)))
-                 .withColumn("_k", F.row_number().over(w) - 1))
-        need = spark.createDataFrame([(t, k) for t, k in inner_need.items()], "_t long, _k long")
-        for row in inner.join(F.broadcast(need), ["_t", "_k"]).select("_t", "_v").collect():
-            result[row["_t"]] = row["_v"]
-    return {(brackets[t][0], brackets[t][1]): val for t, val in result.items()}
-
-
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value) long form of the chosen numeric columns."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    return df.select(F.inline(pairs))
+ACCURACY = 50_000  # values sampled from an open bracket; one with fewer is read whole
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
-                    method: str = "linear", accuracy: int | None = ACCURACY) -> Dict[Tuple[str, float], float]:
+                    method: str = "linear", accuracy: int = ACCURACY) -> Dict[Tuple[str, float], float]:
     """Exact quantiles per column, on the wide table (no reshaping, no joins).
 
     ``linear``: v[floor(p)] + (v[ceil(p)] - v[floor(p)]) * (p - floor(p)), p = (n-1)q
     (numpy / pandas default, DuckDB ``quantile_cont``, Spark ``percentile``).
     ``nearest``: v[round_half_even((n-1)q)].  Nulls are dropped.
 
-    Passes: (1) non-null counts, (2) one sketch per column around the wanted
-    ranks, (3) per wanted rank: rows below / at the bracket ends, as
-    conditional counts, (4) only if needed, the bracket interiors gathered in
-    one scan and ranked per target.
+    ``accuracy``: values sampled per open bracket (see the module's text).
     """
     cols = list(cols)
     x = {c: F.col(c).cast("double") for c in cols}
@@ -170,57 +73,82 @@ def quantile_values(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
 
 
 def wide_select(df: DataFrame, ranks: Dict[str, Sequence[int]], n: Dict[str, int],
-                accuracy: int | None = None) -> Dict[Tuple[str, int], float]:
-    """Exact value at 0-based rank r of each column (ascending, nulls dropped)."""
-    if not ranks:
-        return {}
-    A = accuracy or accuracy_for(max(n[c] for c in ranks))
-    delta = 3.0 / A
-    x = {c: F.col(c).cast("double") for c in ranks}
-    ps = {c: sorted({max(0.0, r / n[c] - delta) for r in rs} | {min(1.0, (r + 1) / n[c] + delta) for r in rs})
-          for c, rs in ranks.items()}
-    cols = list(ranks)
-    sk = df.agg(*[F.percentile_approx(x[c], ps[c], A).alias(f"s{i}") for i, c in enumerate(cols)]).first()
-    brackets = []
-    for i, c in enumerate(cols):
-        qv = dict(zip(ps[c], sk[f"s{i}"]))
-        for r in ranks[c]:
-            brackets.append((c, r, float(qv[max(0.0, r / n[c] - delta)]), float(qv[min(1.0, (r + 1) / n[c] + delta)])))
-    out = _resolve_wide(df, brackets)
-    missing = [(c, r, float("-inf"), float("inf")) for (c, r, lo, hi) in brackets if (c, r) not in out]
-    if missing:
-        out.update(_resolve_wide(df, missing))
-    return out
+                accuracy: int = ACCURACY) -> Dict[Tuple[str, int], float]:
+    """Exact value at 0-based rank r of each column (ascending, nulls dropped, NaN last)."""
+    found: Dict[Tuple[str, int], float] = {}
+    # (column, rank) -> (lo, hi, rank inside, values inside); None: no bound
+    todo = {(c, r): (None, None, r, n[c]) for c, rs in ranks.items() for r in rs}
+    seed = 0
+    while todo:
+        seed += 1
+        samples = _samples(df, {(c, lo, hi): m for (c, _), (lo, hi, _, m) in todo.items()}, accuracy, seed)
+        asks = {}
+        for (c, r), (lo, hi, k, m) in list(todo.items()):
+            s = samples.get((c, lo, hi), np.empty(0))
+            if m <= accuracy:
+                found[(c, r)] = float(s[k])
+                del todo[(c, r)]
+                continue
+            at, spread = k / m * len(s), 2.0 * math.sqrt(len(s)) + 2.0
+            i, j = int(at - spread), int(at + spread) + 1
+            if i < 0 and j >= len(s) > 0:
+                i = j = len(s) // 2  # a sample too small for a bracket halves the values
+            asks[(c, r)] = (float(s[i]) if 0 <= i < len(s) else None, float(s[j]) if 0 <= j < len(s) else None)
+        for key, counts in _counts(df, {k: (*todo[k][:2], *v) for k, v in asks.items()}).items():
+            lo, hi, k, m = todo[key]
+            a, b = asks[key]
+            at = [lo, lo if a is None else a, hi if b is None else b, hi]
+            for part, size in enumerate(counts):  # below a, equal to a, between, equal to b, above b
+                if k < size:
+                    break
+                k -= size
+            if part in (1, 3):
+                found[key] = a if part == 1 else b
+                del todo[key]
+            else:
+                todo[key] = (at[part // 2], at[part // 2 + 1], k, size)
+    return found
 
 
-def _resolve_wide(df: DataFrame, brackets) -> Dict[Tuple[str, int], float]:
-    aggs = []
-    for t, (c, r, lo, hi) in enumerate(brackets):
+def _inside(v, lo, hi):
+    ok = v.isNotNull()
+    if lo is not None:
+        ok &= v > F.lit(lo)
+    if hi is not None:
+        ok &= v < F.lit(hi)
+    return ok
+
+
+def _samples(df: DataFrame, brackets: Dict[tuple, int], most: int, seed: int) -> Dict[tuple, np.ndarray]:
+    """Sorted values from inside each bracket: all, or about ``most`` at random."""
+    names, picks = list(brackets), []
+    for t, (c, lo, hi) in enumerate(names):
         v = F.col(c).cast("double")
-        aggs += [F.count_if(v < F.lit(lo)).alias(f"b{t}"), F.count_if(v == F.lit(lo)).alias(f"l{t}"),
-                 F.count_if(v == F.lit(hi)).alias(f"h{t}"), F.count_if(v <= F.lit(hi)).alias(f"u{t}")]
-    st = df.agg(*aggs).first()
-    result, inner_need = {}, {}
-    for t, (c, r, lo, hi) in enumerate(brackets):
-        below, at_lo, at_hi, upto = st[f"b{t}"], st[f"l{t}"], st[f"h{t}"], st[f"u{t}"]
-        if not (below <= r < upto):
-            continue  # bracket missed: the caller retries with the full range
-        if r < below + at_lo:
-            result[t] = lo
-        elif r >= upto - at_hi:
-            result[t] = hi
-        else:
-            inner_need[t] = r - below - at_lo
-    if inner_need:
-        spark = df.sparkSession
-        picks = []
-        for t in inner_need:
-            c, r, lo, hi = brackets[t]
-            v = F.col(c).cast("double")
-            picks.append(F.when((v > F.lit(lo)) & (v < F.lit(hi)), F.struct(F.lit(t).alias("_t"), v.alias("_v"))))
-        inner = (df.select(F.explode(F.array(*picks)).alias("_p")).where(F.col("_p").isNotNull()).select("_p.*")
-                   .withColumn("_k", F.row_number().over(Window.partitionBy("_t").orderBy("_v")) - 1))
-        need = spark.createDataFrame([(t, k) for t, k in inner_need.items()], "_t int, _k long")  # one row per target
-        for row in inner.join(F.broadcast(need), ["_t", "_k"]).select("_t", "_v").collect():
-            result[row["_t"]] = row["_v"]
-    return {(brackets[t][0], brackets[t][1]): v for t, v in result.items()}
+        take = _inside(v, lo, hi)
+        if brackets[names[t]] > most:
+            take &= F.rand(seed * 1_009 + t) < F.lit(most / brackets[names[t]])
+        picks.append(F.when(take, F.struct(F.lit(t).alias("t"), v.alias("v"))))
+    rows = (df.select(F.array(*picks).alias("p")).select(F.explode("p").alias("p")).where("p is not null")
+            .select("p.t", "p.v").toPandas())
+    value, own = rows["v"].to_numpy(np.float64), rows["t"].to_numpy()
+    return {name: np.sort(value[own == t]) for t, name in enumerate(names)}
+
+
+def _counts(df: DataFrame, asks: Dict[tuple, tuple]) -> Dict[tuple, list]:
+    """Per ask (lo, hi, a, b): values inside (lo, hi) below a, equal to a, between a and b,
+    equal to b, above b.  A missing splitter has nothing on its far side."""
+    if not asks:
+        return {}
+    aggs, keys = [], list(asks)
+    for t, key in enumerate(keys):
+        lo, hi, a, b = asks[key]
+        v = F.col(key[0]).cast("double")
+        ok = _inside(v, lo, hi)
+        no = F.lit(False)
+        one = a is not None and a == b  # both splitters are one value: nothing between
+        parts = [no if a is None else v < F.lit(a), no if a is None else v == F.lit(a),
+                 no if one else (F.lit(True) if a is None else v > F.lit(a)) & (F.lit(True) if b is None else v < F.lit(b)),
+                 no if b is None or one else v == F.lit(b), no if b is None else v > F.lit(b)]
+        aggs += [F.count_if(ok & p).alias(f"c{t}_{i}") for i, p in enumerate(parts)]
+    row = df.agg(*aggs).first()
+    return {key: [int(row[f"c{t}_{i}"]) for i in range(5)] for t, key in enumerate(keys)}

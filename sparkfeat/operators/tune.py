@@ -54,8 +54,3 @@ def summary(cv_model, table: DataFrame, test: DataFrame, label: str = "label_d")
     spark = test.sparkSession
     return spark.createDataFrame([("best_params", best["params"]), ("best_cv_score", repr(best["mean_score"])),
                                   ("test_accuracy", repr(acc))], "metric string, value string")
-
-
-def expand_grid(grid: Dict[str, Sequence]):
-    keys = list(grid)
-    return [dict(zip(keys, combo)) for combo in itertools.product(*(grid[k] for k in keys))]
