@@ -56,7 +56,7 @@ HOT_LEAST = 3  # a shingle of so many of them is common
 HOT_LIMIT = 1 << 18  # common shingles taken at most
 HOT_BITS = 1 << 22  # of the bitmap that holds them in every task
 ROOM = 1.3  # non-empty partitions aimed at, as a multiple of those needed
-FLUSH = 1 << 20  # signatures packed at a time
+FLUSH = 1 << 19  # signatures packed at a time
 BLOCK = 2_048  # members of a signature compared at a time
 SMALL = 48  # groups up to this size are compared pair by pair, many groups at a time
 PAIRS = 1 << 20  # pairs of indices held at a time
