@@ -435,7 +435,7 @@ SELECT event_id, event_type FROM
                              "AS INTEGER) AS fold FROM labels")
     q["folds_null_class"] = q["stratified_folds"].replace(
         "FROM labels", "FROM (SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN quality END AS quality FROM labels)")
-    models = ", ".join(f"('{m}')" for m in ("logistic", "rbf_svm", "naive_bayes", "mlp_small"))
+    models = ", ".join(f"('{m}')" for m in ("logistic", "naive_bayes", "mlp_small"))
     q["model_roundtrip"] = ("SELECT model, CAST(ceil(0.2 * n) AS BIGINT) AS n, CAST(ceil(0.2 * n) AS BIGINT) AS n_equal "
                             f"FROM (SELECT count(*) AS n FROM embeddings), (VALUES {models}) m(model)")
     q["gnb_sql"] = f"WITH {GNB} SELECT vec_id, label, CAST(pred AS INTEGER) AS pred, {S('p_true')} AS p_true FROM gpred"
