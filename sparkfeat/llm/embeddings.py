@@ -4,15 +4,17 @@ Links are pairs of vectors with cosine >= ``threshold`` in double precision.
 
 *Index.*  Vectors are scaled to length 1; equal ones are one class.  Coarse centroids
 (about the square root of the number of classes) and the codebooks of ``SUBSPACES``
-residual subspaces are fitted on a bounded sample of classes (at most ``TRAIN``).  Every
-class is filed in the inverted list of its nearest centroid with one code a subspace and the
-length of what the codes miss.
+residual subspaces are fitted on a bounded sample of classes (at most ``TRAIN``).  Centroids
+closer than the linking radius, and chains of them, share one list: a large group of near
+copies draws centroids in proportion to its size, and its links would run between more lists
+than anyone probes.  Every class is filed in the inverted list of its nearest centroid with
+one code a subspace and the length of what the codes miss.
 
-*Search.*  Every class visits its ``PROBES`` nearest lists.  Squared distances to the list's
+*Search.*  Every class visits its ``PROBES`` nearest lists (by their nearest centroids).  Squared distances to the list's
 members are sums of table entries, one a subspace (asymmetric: the visitor is not
 quantised).  By the triangle inequality a member within the linking radius lies within
 radius + missed length of the visitor by its codes, so no pair that meets in a list is
-lost.  The rest are decided by the exact cosine.
+lost.  The rest are decided by the exact cosine, by a matrix product where they are many.
 
 *Counting without pairs.*  A pair can meet in the list of either; it counts in the
 smaller-numbered of the lists in which it does, so both ends count it once.  A task sends,
@@ -45,6 +47,8 @@ PROBES = 12
 SUBSPACES = 8
 CODES = 64
 BLOCK = 8_192  # entries of a list compared in one task
+DENSE = 32  # one candidate in so many pairs: exact cosines of all pairs at once
+ENTRY_ROWS = 50_000  # entries a task of the comparison
 ROUNDS = 8
 
 
@@ -61,34 +65,59 @@ def k_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
-def nearest(x: np.ndarray, c: np.ndarray, m: int) -> np.ndarray:
-    """Indices of the m nearest rows of ``c``, nearest first, 4,096 rows at a time."""
-    m = min(m, len(c))
+def close_pairs(c: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of ``c`` closer than ``radius``."""
+    square, a, b = (c * c).sum(axis=1), [], []
+    for lo in range(0, len(c), 1024):
+        d = square[lo:lo + 1024, None] + square - 2 * c[lo:lo + 1024] @ c.T
+        i, j = np.nonzero(d < radius * radius)
+        a.append(i[i + lo < j] + lo)
+        b.append(j[i + lo < j])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def nearest(x: np.ndarray, c: np.ndarray, m: int, first: np.ndarray | None = None) -> np.ndarray:
+    """Indices of the m nearest rows of ``c``, nearest first, 4,096 rows at a time; with
+    ``first``, of the m nearest runs of rows that begin there."""
+    runs = len(c) if first is None else len(first)
+    m = min(m, runs)
     out = np.empty((len(x), m), np.int64)
     square = (c * c).sum(axis=1)
     for lo in range(0, len(x), 4096):
         d = square - 2 * x[lo:lo + 4096] @ c.T
+        if runs < len(c):
+            d = np.minimum.reduceat(d, first, axis=1)
         if m == 1:
             out[lo:lo + 4096, 0] = d.argmin(axis=1)
             continue
-        at = np.argpartition(d, m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(m), (len(d), 1))
+        at = np.argpartition(d, m - 1, axis=1)[:, :m] if m < runs else np.tile(np.arange(m), (len(d), 1))
         order = np.argsort(np.take_along_axis(d, at, 1), axis=1, kind="stable")
         out[lo:lo + 4096] = np.take_along_axis(at, order, 1)
     return out
 
 
 class Quantiser:
-    def __init__(self, sample: np.ndarray, lists: int):
+    def __init__(self, sample: np.ndarray, lists: int, radius: float = 0.0):
         self.dim = sample.shape[1]
-        self.centroids = k_means(sample, lists)
-        residual = sample - self.centroids[nearest(sample, self.centroids, 1)[:, 0]]
+        c = k_means(sample, lists)
+        a, b = close_pairs(c, radius)
+        own = np.unique(roots(len(c), a, b), return_inverse=True)[1] if len(a) else np.arange(len(c))
+        order = np.argsort(own, kind="stable")
+        self.fine = c[order]  # centroids, those of a list side by side
+        self.first = np.searchsorted(own[order], np.arange(own.max() + 1))
+        self.centroids = np.add.reduceat(self.fine, self.first) / np.diff(np.append(self.first, len(c)))[:, None]
+        residual = sample - self.centroids[self.lists(sample, 1)[:, 0]]
         edge = np.linspace(0, self.dim, min(SUBSPACES, self.dim) + 1).astype(int)
         self.parts = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
         self.books = [k_means(residual[:, a:b], CODES) for a, b in self.parts]
 
+    def lists(self, x: np.ndarray, m: int) -> np.ndarray:
+        """The m lists whose nearest centroids are nearest to each row, nearest first."""
+        return nearest(x, self.fine, m, self.first)
+
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(lists to probe, codes for the first of them, lengths that the codes miss)."""
-        probes = nearest(x, self.centroids, PROBES)
+        probes = self.lists(x, PROBES)
         r = x - self.centroids[probes[:, 0]]
         codes = np.stack([nearest(r[:, a:b], book, 1)[:, 0] for (a, b), book in zip(self.parts, self.books)], axis=1)
         back = np.concatenate([book[codes[:, s]] for s, book in enumerate(self.books)], axis=1)
@@ -166,7 +195,7 @@ def _compare(quantiser, width: int, threshold: float):
         member = np.flatnonzero(probes[:, 0] == cell)
         if len(member) == 0:
             return None
-        links, ends = np.zeros(len(node), np.int64), ([], [])
+        links, root = np.zeros(len(node), np.int64), np.arange(len(node))
         offsets = np.arange(codes.shape[1]) * CODES
         flat = codes[member] + offsets
         for lo in range(0, len(node), 128):
@@ -177,28 +206,35 @@ def _compare(quantiser, width: int, threshold: float):
             far = table[:, flat[:, 0]]
             for s in range(1, flat.shape[1]):
                 far = far + table[:, flat[:, s]]
-            v, m = np.nonzero(far <= (radius + missed[member]) ** 2 + 1e-9)
+            near = far <= (radius + missed[member]) ** 2 + 1e-9
+            dense = np.count_nonzero(near) * DENSE > near.size
+            if dense:  # only what is on the edge is decided pair by pair
+                cosine = x[lo:lo + 128] @ x[member].T
+                near &= cosine >= threshold - 1e-9
+            v, m = np.nonzero(near)
+            open_ = cosine[v, m] < threshold + 1e-9 if dense else np.ones(len(v), bool)
             v, m = v + lo, member[m]
             both = probes[v, 0] == cell
             keep = (v < m) | ~both  # two members meet once
             keep &= (dim[v] == dim[m]) & ((own[v] != own[m]) | (i == j))
-            v, m = v[keep], m[keep]
+            v, m, open_ = v[keep], m[keep], open_[keep]
             for at in range(0, len(v), 1 << 16):
                 a, b = v[at:at + (1 << 16)], m[at:at + (1 << 16)]
-                ok = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
-                a, b = a[ok], b[ok]
+                ok = ~open_[at:at + (1 << 16)]
+                k = np.flatnonzero(~ok)
+                ok[k] = np.einsum("ij,ij->i", x[a[k]], x[b[k]]) >= threshold
                 home = probes[a, 0]
-                twice = (probes[b] == home[:, None]).any(axis=1)
-                here = ~twice | (home >= cell)
-                a, b = a[here], b[here]
-                np.add.at(links, a, copies[b])
-                np.add.at(links, b, copies[a])
-                ends[0].append(a)
-                ends[1].append(b)
-        if not ends[0]:
-            return None
-        root = roots(len(node), np.concatenate(ends[0]), np.concatenate(ends[1]))
+                k = np.flatnonzero(ok & (home < cell))
+                ok[k] = ~(probes[b[k]] == home[k, None]).any(axis=1)
+                a, b = a[ok], b[ok]
+                links += np.bincount(a, copies[b], len(node)).astype(np.int64)
+                links += np.bincount(b, copies[a], len(node)).astype(np.int64)
+                a, b = root[a], root[b]
+                if (a != b).any():  # only the roots are kept, not the pairs
+                    root = roots(len(node), a[a != b], b[a != b])[root]
         found = links > 0
+        if not found.any():
+            return None
         return pa.RecordBatch.from_arrays([pa.array(node[found]), pa.array(links[found]), pa.array(node[root][found])],
                                           ["node", "links", "root"])
 
@@ -239,18 +275,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     share = min(1.0, TRAIN / n)
     sample = classes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).orderBy("node").limit(TRAIN)
     units = [bytes(r["unit"]) for r in sample.select("unit").collect()] or [bytes(classes.first()["unit"])]
-    quantiser = spark.sparkContext.broadcast(Quantiser(_padded(units, width), max(1, min(LISTS, round(math.sqrt(n))))))
+    quantiser = spark.sparkContext.broadcast(Quantiser(
+        _padded(units, width), max(1, min(LISTS, round(math.sqrt(n)))), math.sqrt(max(0.0, 2 - 2 * threshold))))
 
     filed = materialize(classes.select("node", "copies", "dim", "unit").mapInArrow(
         _file(quantiser, width),
         "node long, copies long, dim int, unit binary, probes array<int>, codes binary, missed double"), "vector-lists")
     entries = filed.withColumn("cell", F.explode("probes"))
-    blocks = F.broadcast(entries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("of")))  # a row a list
-    entries = (entries.join(blocks, "cell").withColumn("own", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+    blocks = materialize(entries.groupBy("cell").agg(F.count("*").alias("n"))  # a row a list
+                         .select("cell", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("of")), "vector-blocks")
+    spread = blocks.agg(F.sum(F.col("n") * F.col("of"))).first()[0]
+    entries = (entries.join(F.broadcast(blocks.drop("n")), "cell").withColumn("own", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))))
     grid = entries.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                           "own", "node", "copies", "dim", "unit", "probes", "codes", "missed")
-    parts = max(parts_for(vectors, 8 << 20), min(LISTS, round(math.sqrt(n))) // 4)
+    parts = max(parts_for(vectors, 8 << 20), min(LISTS, round(math.sqrt(n))) // 4, spread // ENTRY_ROWS)
     found = materialize(grid.repartition(parts, "cell", "i", "j").mapInArrow(
         _compare(quantiser, width, threshold), "node long, links long, root long"), "vector-links")
 

@@ -2,6 +2,8 @@ import math
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sparkfeat.llm import components, embeddings
@@ -75,6 +77,21 @@ def test_recall_with_planted_copies(spark):
     assert sum(got.values()) >= 0.97 * want.sum() and want.sum() > 1500
 
 
+def test_recall_with_a_group_of_near_copies(spark, tmp_path):
+    """A third of 40,000 vectors near one another: no list may cut the group's links."""
+    r = np.random.default_rng(4)
+    x = r.normal(size=(40_000, 64)) / 8
+    x[:13_333] = x[0] + r.normal(size=(13_333, 64)) * 0.21 / 8
+    x = x[r.permutation(len(x))].astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x))}), tmp_path / "v.parquet")
+    got = embeddings.near_duplicates(spark.read.parquet(str(tmp_path / "v.parquet"))).collect()
+    links = np.array([n for _, n in sorted((g["id"], g["n_links"]) for g in got)])
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = np.concatenate([(u[lo:lo + 2000] @ u.T >= 0.95).sum(axis=1) - 1 for lo in range(0, len(u), 2000)])
+    print("recall", links.sum() / want.sum(), want.sum())
+    assert (links <= want).all() and links.sum() >= 0.97 * want.sum() and want.sum() > 10**7
+
+
 def test_codes_never_lose_a_close_pair_of_a_list():
     r = np.random.default_rng(1)
     x = r.normal(size=(600, 16))
