@@ -110,9 +110,12 @@ def judge(pages: DataFrame, rules=DEFAULT_RULES, id_col: str = "page_id", url_co
 
     fetched = spread.join(side(index.where("token is not null")), "token")
     always = [r for r in rules if not r.tokens]
-    hit = fetched.where(F.expr("text rlike pattern")).select("url", "verdict", "label", "priority")
+    # a (host, path) rule needs a host: bare text is for the pattern rules alone
+    fits = (F.instr("url", "://") > 0) | F.col("label").isNull()
+    hit = fetched.where(F.expr("text rlike pattern") & fits).select("url", "verdict", "label", "priority")
     for r in always:  # a handful of rules that no literal token can file
-        hit = hit.union(urls.where(F.col("text").rlike(r.pattern)).select(
+        tried = urls.where(F.instr("url", "://") > 0) if r.label else urls
+        hit = hit.union(tried.where(F.col("text").rlike(r.pattern)).select(
             "url", F.lit(r.verdict), F.lit(r.label).cast("string"), F.lit(r.priority)))
     order = F.struct("priority", F.col("verdict") == "block", "label", "verdict")
     best = hit.groupBy("url").agg(F.max(order).alias("best")).select("url", "best.label", "best.verdict")

@@ -43,6 +43,18 @@ def test_shuffled_index_agrees(spark, monkeypatch):
     assert sorted(map(repr, urls.judge(pages).collect())) == want
 
 
+def test_bare_text_fits_no_host_rule(spark):
+    bare = ["example.org/es/x", "a.org/x", "com/fr/", "x.com/de/?sessionid=ab12", "spam-farm.example.org/es/", "example.org/es/?u=http:/x"]
+    rows = list(enumerate(bare + ["http://" + u for u in bare]))
+    got = {r["id"]: tuple(r)[1:] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {i: by_hand(u) for i, u in rows}
+    assert all(got[i][2] is None for i in range(len(bare)))
+    # a rule without a literal token is tried on every url
+    rule = urls.Rule(r"^(?:[^/?#]*\.)?é/", (), "block", "é/")
+    got = urls.judge(spark.createDataFrame([(0, "é/x"), (1, "http://é/x")], "page_id long, url string"), rules=[rule]).collect()
+    assert {r["id"]: (r["rule"], r["verdict"]) for r in got} == {0: (None, "allow"), 1: ("é/", "block")}
+
+
 def test_tokens_are_whole():
     assert urls.host_rule("block", "example.org", "/en/1").tokens == ("example", "org", "en")
     assert urls.host_rule("allow", "com", "/fr/").tokens == ("com", "fr")
