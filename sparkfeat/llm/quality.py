@@ -7,7 +7,14 @@ n-grams, of log(target share / raw share).  Documents are drawn without replacem
 proportion to their weights by Gumbel top-k: the k largest of log weight + Gumbel
 noise.  The noise is a hash of seed, id and text, so reruns and retries agree.
 
-k is a parameter; by default it is the number of documents whose log weight reaches the
+A few off-target words in a long text hardly move that sum, so they count by themselves: a
+word's score is the log ratio of its shares of labelled documents, rejected (toxic ones
+included) to target; full hashes of words in ``MIN_BAD`` rejected documents or more are
+kept.  A document whose worst word reaches the bar has weight 0 (key minus infinity).  The
+bar is the lowest that turns down at most two thousandths of the held-out target documents;
+there is none if it catches no held-out rejected one.
+
+k is a parameter; by default it is the number of documents below the bar whose log weight reaches the
 level that target documents held out of the model (a fifth of the sample) reach: 3 below
 their lowest two thousandths (or below 0), 3 being all that Gumbel noise takes off a
 document.
@@ -36,6 +43,7 @@ from .textkit import mix, words
 BUCKETS = 1 << 14
 MAX_LABELS = 20_000  # labelled rows used, by hash order of the id
 SMOOTH = 0.5
+MIN_BAD, MIN_SCORE = 5, 3.0  # rejected documents with a word that counts by itself; its least score
 LOSE, SLACK = 0.002, 3.0  # quantile of the held-out target weights, and room for the noise
 
 
@@ -84,6 +92,59 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.nd
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
+def _distinct_words(batches):
+    """(text, row) -> (row, f): the distinct words of each text, as hashes."""
+    for batch in batches:
+        for first, h, off in words(batch.column(0)):
+            row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))[:len(h)]
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(first + row[new])),
+                                              pa.array(h[new].view(np.int64))], ["id", "f"])
+
+
+def bar(good: list[float], bad: list[float], lose: float = LOSE) -> float:
+    """The lowest score that turns down at most ``lose`` of the held-out target documents."""
+    spare = sorted(good, reverse=True)[int(lose * len(good)):]  # those that must stay
+    caught = [s for s in bad if s > max(spare, default=float("inf"))]
+    return min(caught, default=float("inf"))
+
+
+def off_target(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that turn a document down by themselves, sorted, and their scores."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
+    marked = text.join(F.broadcast(sample.select("id")), "id").select("text", "id")
+    held = materialize(marked.mapInArrow(_distinct_words, f"id {kind}, f long").distinct()
+                       .join(F.broadcast(sample), "id"), "quality-words")
+    size = {(r["good"], r["held"]): r["count"] for r in sample.groupBy("good", "held").count().collect()}
+    bad, good = (size.get((g, False), 0) for g in (False, True))
+    score = F.log((F.col("bad") + SMOOTH) / (bad + 1)) - F.log((F.col("fine") + SMOOTH) / (good + 1))
+    scores = materialize(held.where("not held").groupBy("f").agg(
+        F.count_if(~F.col("good")).alias("bad"), F.count_if("good").alias("fine"))
+        .where(F.col("bad") >= MIN_BAD).select("f", score.alias("score")).where(F.col("score") >= MIN_SCORE), "quality-scores")
+    worst = held.where("held").join(scores, "f", "left").groupBy("id", "good").agg(
+        F.coalesce(F.max("score"), F.lit(0.0)).alias("score")).collect()  # labelled ids at most
+    least = bar([r["score"] for r in worst if r["good"]], [r["score"] for r in worst if not r["good"]])
+    # each row takes MIN_BAD labelled documents, so labelled text bounds them
+    rows = scores.where(F.col("score") >= F.lit(least)).orderBy("f").collect()
+    return np.array([r["f"] for r in rows], np.int64), np.array([r["score"] for r in rows])
+
+
+def _turned_down(stops):
+    @F.arrow_udf("boolean")
+    def turned_down(text: pa.Array) -> pa.Array:
+        out, stop = np.zeros(len(text), bool), stops.value
+        for first, h, off in words(text):
+            if len(stop) and len(h):
+                h = h.view(np.int64)
+                at = np.flatnonzero(stop[np.minimum(np.searchsorted(stop, h), len(stop) - 1)] == h)
+                out[first + np.searchsorted(off, at, side="right") - 1] = True
+        return pa.array(out)
+    return turned_down
+
+
 def _weigh(model):
     @F.arrow_udf("double")
     def weigh(text: pa.Array) -> pa.Array:
@@ -104,8 +165,10 @@ def with_weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     text = F.col(text_col).cast("string")
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), text), 11)
                .cast("double") + 0.5) / float(1 << 53)
+    stops = docs.sparkSession.sparkContext.broadcast(off_target(docs, sample, id_col, text_col)[0])
     scored = docs.withColumn(weight, _weigh(model)(text))
-    return scored.withColumn(key, F.col(weight) - F.log(-F.log(uniform))), sample
+    drawn = F.col(weight) - F.log(-F.log(uniform))
+    return scored.withColumn(key, F.when(_turned_down(stops)(text), F.lit(float("-inf"))).otherwise(drawn)), sample
 
 
 def level(weights: list[float], lose: float = LOSE, slack: float = SLACK) -> float | None:
@@ -126,7 +189,7 @@ def selection(scored: DataFrame, sample: DataFrame, id_col: str, weight: str, ke
         least = level([r["w"] for r in rows])
         if least is None:
             return None
-        k = small.where(F.col("w") >= least).count()
+        k = small.where((F.col("w") >= least) & (F.col("key") > float("-inf"))).count()
     if k <= 0:
         return float("inf")
     ranked, _ = global_index(small.select((-F.col("key")).alias("down")), ["down"])

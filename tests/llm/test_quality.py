@@ -99,3 +99,20 @@ def test_held_out_accuracy(spark):
             if r["doc_id"] not in used]
     good, junk = [k for q, k in rows if q == 1], [k for q, k in rows if q == 0]
     assert sum(good) >= 0.98 * len(good) and sum(junk) <= 0.4 * len(junk)
+
+
+def test_toxic_documents_go(spark):
+    """Held-out labels: clean documents stay, toxic ones with marker words go."""
+    marked = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").join(marked, "doc_id")
+    kept = {r["doc_id"] for r in quality.resample(docs, marked).select("doc_id").collect()}
+    held = {r["id"] for r in quality.label_sample(marked).where("held").collect()}
+    marks = {"trash", "pathetic", "idiot", "disgusting", "worthless", "clown", "loser", "scum", "stupid", "moron"}
+    rows = docs.select("doc_id", "text", "quality", "toxic").collect()
+    clean = [r["doc_id"] in kept for r in rows if r["quality"] == 1 and r["toxic"] == 0 and r["doc_id"] in held]
+    toxic = [(r["doc_id"] in kept, bool(marks & set((r["text"] or "").split()))) for r in rows
+             if r["quality"] == 1 and r["toxic"] == 1 and r["doc_id"] in held]
+    print("clean kept", sum(clean), len(clean), "toxic kept", sum(k for k, _ in toxic), len(toxic),
+          "with a marker", sum(k for k, m in toxic if m), sum(m for _, m in toxic))
+    assert sum(clean) >= 0.99 * len(clean)
+    assert sum(k for k, m in toxic if m) <= 0.05 * sum(m for _, m in toxic)
