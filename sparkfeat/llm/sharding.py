@@ -4,12 +4,14 @@ Documents that share a group (equal texts by default) are linked.  Every documen
 starts in the shard of its rank by hash modulo the number of shards, so counts differ
 by one at most.  In each round a linked document looks at its neighbours' shards: for
 each of its groups, the members by shard.  It asks to move to the open shard with most
-neighbours if that has more than its own (ties by a hash of group and shard, so that a
-group agrees and never swaps back and forth).  A shard admits as many as it has
-unlinked documents left to give away, the largest gains first; those change places with
+neighbours if that has more than its own (ties by a hash of round, group and shard, so
+that a group agrees).  Asks are admitted by pair of shards, the largest gains first: as
+many each way as close a cycle (linked documents change places with each other), then as
+many as the shard asked for has unlinked documents to give away; those change places with
 the documents that moved, at no cost in links.  So counts stay as they were in every
-round, cut links only fall, and a group larger than a shard fills one and goes on with
-the next.  It ends when nobody may move, or after ``rounds``.
+round.  In every other round the only shards open are those with unlinked documents and
+those that somebody still asks to leave; so a group larger than a shard fills one and goes on with the next.  It ends when
+nobody may move, or after ``rounds``.
 
 A round is: counts by (group, shard), one row for each that occurs; a join of the
 members with them; an arg-max; a range-partitioned rank if a quota is short.  Nothing is
@@ -33,20 +35,63 @@ SHARDS = 8
 ROUNDS = 12
 
 
+def _cycle(asks: dict[tuple[int, int], int]) -> list[tuple[int, int]] | None:
+    """A shortest closed chain of asks (left, shard)."""
+    best = None
+    for start in sorted({a for a, _ in asks}):
+        way, front = {start: []}, [start]
+        while front:
+            found = []
+            for a in front:
+                for x, y in sorted(k for k in asks if k[0] == a):
+                    if y == start and (best is None or len(way[a]) + 1 < len(best)):
+                        best = [*way[a], (x, y)]
+                    if y not in way:
+                        way[y] = [*way[a], (x, y)]
+                        found.append(y)
+            front = found
+    return best
+
+
+def admitted(wanted: dict[tuple[int, int], int], room: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many of the asks (left, shard) are met, so that nobody's room falls below 0;
+    ``room`` is updated in place."""
+    left, met = {k: n for k, n in wanted.items() if n > 0}, {}
+
+    def meet(pair, n):
+        met[pair] = met.get(pair, 0) + n
+        left[pair] -= n
+        if not left[pair]:
+            del left[pair]
+
+    while cycle := _cycle(left):
+        n = min(left[p] for p in cycle)
+        for p in cycle:
+            meet(p, n)
+    # no cycles are left, so the room that a move makes in the shard behind it comes to an end
+    while pairs := sorted(p for p in left if room[p[1]] > 0):
+        for a, b in pairs:
+            if n := min(left[a, b], room[b]):
+                meet((a, b), n)
+                room[b] -= n
+                room[a] += n
+    return met
+
+
 def propagate(members: DataFrame, start: DataFrame, room: dict[int, int], shards: int, rounds: int = ROUNDS) -> DataFrame:
     """Final (rn, shard) of the linked documents.
 
     ``members`` (rn, g): the groups of each; ``start`` (rn, shard); ``room``: the unlinked
     documents of each shard, updated in place."""
-    place = start
-    for _ in range(rounds):
-        open_shards = [s for s in range(shards) if room[s] > 0]
+    place, leaving, stalled = start, set(range(shards)), 0
+    for turn in range(rounds):
+        open_shards = [s for s in range(shards) if turn % 2 == 0 or room[s] > 0 or s in leaving]
         if not open_shards:
-            break
+            continue
         here = members.join(place, "rn")
         counts = here.groupBy("g", "shard").agg(F.count("*").alias("n"))
         seen = members.join(counts, "g").groupBy("rn", "shard").agg(
-            F.sum("n").alias("n"), F.max(F.xxhash64("g", "shard")).alias("tie"))
+            F.sum("n").alias("n"), F.max(F.xxhash64(F.lit(turn), "g", "shard")).alias("tie"))
         seen = seen.join(place.withColumnRenamed("shard", "own"), "rn")
         rank = F.struct("n", "tie", "shard")
         best = seen.groupBy("rn").agg(
@@ -56,16 +101,21 @@ def propagate(members: DataFrame, start: DataFrame, room: dict[int, int], shards
                 .select("rn", F.col("to.shard").alias("shard"), F.col("at.shard").alias("left"),
                         (F.col("at.n") - F.col("to.n")).alias("loss"), "g"))
         asks = materialize(asks, "shard-asks")
-        wanted = {r["shard"]: r["count"] for r in asks.groupBy("shard").count().collect()}  # a row a shard
-        if not wanted:
-            break
-        if any(n > room[s] for s, n in wanted.items()):
-            ranked, _ = global_index(asks, ["loss", "g", "rn"], partition_by=["shard"], rn="turn")
-            quota = F.create_map(*(F.lit(int(x)) for s in wanted for x in (s, room[s])))
-            asks = materialize(ranked.where(F.col("turn") < F.element_at(quota, F.col("shard"))), "shard-moves")
-        for r in asks.groupBy("left", "shard").count().collect():  # a row a pair of shards
-            room[r["shard"]] -= r["count"]
-            room[r["left"]] += r["count"]
+        wanted = {(r["left"], r["shard"]): r["count"] for r in asks.groupBy("left", "shard").count().collect()}  # a row a pair of shards
+        met = admitted(wanted, room)
+        if not met:
+            stalled += 1
+            if (not wanted and turn % 2 == 0) or (stalled > 1 and any(room.values())):
+                break
+            leaving = set()  # the shards with room alone, then other ties
+            continue
+        stalled = 0
+        leaving = {a for (a, b), n in wanted.items() if met.get((a, b), 0) < n}
+        if met != wanted:
+            ranked, _ = global_index(asks, ["loss", "g", "rn"], partition_by=["left", "shard"], rn="turn")
+            pair = F.col("left") * shards + F.col("shard")
+            quota = F.create_map(*(F.lit(int(x)) for (a, b), n in met.items() for x in (a * shards + b, n)))
+            asks = materialize(ranked.where(F.col("turn") < F.coalesce(F.try_element_at(quota, pair), F.lit(0))), "shard-moves")
         moved = asks.select("rn", F.col("shard").alias("to"))
         place = materialize(place.join(moved, "rn", "left")
                             .select("rn", F.coalesce("to", "shard").alias("shard")), "shard-places")

@@ -65,3 +65,22 @@ def test_documents_in_several_groups(spark):
     assert cut < sum(i % 4 != j % 4 for i, j in pairs) / 3
     after = Counter(place.values())
     assert {s: room[s] + after.get(s, 0) for s in range(4)} == {s: 40 + 15 for s in range(4)}
+
+
+@pytest.mark.parametrize("unlinked", [0, 8])
+def test_every_text_twice(spark, unlinked):
+    rows = [doc(i, prose(i // 2, 30)) for i in range(800)] + [doc(1000 + i, prose(9000 + i, 30)) for i in range(unlinked)]
+    got = check(spark, rows, 8)
+    places = {}
+    for r in got:
+        if r["id"] < 1000:
+            places.setdefault(r["id"] // 2, set()).add(r["shard"])
+    print("cut pairs", sum(len(p) > 1 for p in places.values()), len(places))
+    assert sum(len(p) > 1 for p in places.values()) <= 0.02 * len(places)
+
+
+def test_admitted_asks_keep_the_counts():
+    room = {0: 0, 1: 0, 2: 0, 3: 2}
+    met = sharding.admitted({(0, 1): 5, (1, 2): 3, (2, 0): 4, (1, 0): 1, (0, 3): 9, (2, 3): 0}, room)
+    assert met == {(0, 1): 4, (1, 0): 1, (1, 2): 3, (2, 0): 3, (0, 3): 2} or sum(met.values()) >= 13
+    assert min(room.values()) >= 0 and sum(room.values()) == 2
