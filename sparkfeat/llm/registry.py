@@ -6,7 +6,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, embeddings, jaccard, mixing, quality, secret_scan, sharding, token_counts, urls, warc
+from . import decontam, embeddings, jaccard, merkle, mixing, quality, secret_scan, sharding, token_counts, urls, warc
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": jaccard.op8_jaccard_join,
         "op9_url_rules": urls.op9_url_rules,
         "op10_label_sharding": sharding.op10_label_sharding,
+        "op11_merkle_manifest": merkle.op11_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -32,6 +33,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_curriculum_mix": mixing.ORACLE,
         "op4_secret_ownership": secret_scan.ORACLE,
         "op9_url_rules": urls.ORACLE,
+        "op11_merkle_manifest": merkle.ORACLE,
     }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
