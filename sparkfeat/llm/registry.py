@@ -6,7 +6,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, embeddings, jaccard, line_dedup, merkle, mixing, quality, secret_scan, sharding, token_counts, urls, warc
+from . import conversations, decontam, embeddings, jaccard, line_dedup, merkle, mixing, quality, secret_scan, sharding, token_counts, urls, warc
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_rules": urls.op9_url_rules,
         "op10_label_sharding": sharding.op10_label_sharding,
         "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op12_block_repair": conversations.op12_block_repair,
         "op13_line_runs": line_dedup.op13_line_runs,
         "pipeline": corpus_pipeline.run,
     }
@@ -35,6 +36,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_secret_ownership": secret_scan.ORACLE,
         "op9_url_rules": urls.ORACLE,
         "op11_merkle_manifest": merkle.ORACLE,
+        "op12_block_repair": conversations.ORACLE,
         "op13_line_runs": line_dedup.ORACLE,
     }
     if corpus_pipeline.ORACLE_SQL is not None:
