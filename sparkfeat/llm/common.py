@@ -1,13 +1,15 @@
 """Small helpers of this subpackage: tables, row keys, sizes and scratch."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.order import plan_bytes
 from ..session import materialize
 
-__all__ = ["materialize", "parts_for", "fresh", "row_key", "bitmap", "maybe"]
+__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "bitmap", "maybe"]
 
 BITMAP_WORDS = 1 << 17  # rows of a bitmap table at most: 1 MB of bits, safe to broadcast
 
@@ -33,6 +35,37 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*(x for c in columns for x in (c.isNull(), c)))
 
 
+def wide_key(*columns: Column) -> Column:
+    """A 128-bit key of a row's values: two hashes of different seeds."""
+    return F.struct(*(row_key(F.lit(seed), *columns).alias(f"h{seed}") for seed in (1, 2)))
+
+
+def running_sum(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """``rows`` (written once) with the sum of ``value`` over the rows of the same keys before
+    each, in an order that should be total.  Range partitions are summed first, so neither a
+    hot key nor a hot place in the order meets in one task."""
+    at, part, base, inner, total = (fresh(rows, c) for c in ("_at", "_part", "_base", "_inner", "_total"))
+    by = keys + order
+    parts = max(parts_for(rows), 1)
+    ranged = materialize(rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                         .withColumn(at, F.monotonically_increasing_id())
+                         .withColumn(part, F.spark_partition_id()), "running-sum")
+    sums = ranged.groupBy(*keys, part).agg(F.sum(value).alias(total))
+    ahead = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, part, F.coalesce(F.sum(total).over(ahead), F.lit(0)).alias(base))
+    inside = Window.partitionBy(*keys, part).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged.withColumn(inner, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = ranged.join(sums, [*keys, part])
+    return joined.withColumn(out, (F.col(base) + F.col(inner)).cast("long")).drop(at, part, base, inner)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets go of finished plans, and with them of the driver's broadcasts and shuffle
+    records, before the next long step."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _word(key: Column) -> Column:
     return F.shiftrightunsigned(key, 64 - 17)
 

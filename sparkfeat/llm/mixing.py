@@ -25,7 +25,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, row_key
+from .common import fresh, materialize, running_sum, wide_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -82,31 +82,27 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.0, most: int =
                     .otherwise(F.least(F.col("limit").cast("double"), F.col("even") * F.col("weight"))).alias("target"))
 
 
+def _row(docs: DataFrame):
+    return wide_key(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def curriculum_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                    weights=WEIGHTS, schedules=SCHEDULES, share: float = 1.0, most: int = 3) -> DataFrame:
     """One row for each row of ``docs``: id, source, size, source_size, target, taken,
     ``positions``, the training time of every copy (empty if nothing is taken), and
-    ``row``, the key of (id, text, source)."""
+    ``row``, the key of the whole row."""
     if len(schedules) != len(weights):
         raise ValueError("one schedule for each weight")
     key = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                         F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0))
                         .cast("long").alias("size"),
-                        row_key(F.col(id_col), F.col(text_col).cast("string"), F.col(source_col)).alias("row"))
+                        _row(docs).alias("row"))
             .withColumn("h", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
-            .withColumn("key", key).withColumn("bucket", F.substring("h", 1, 4)))
-    rows = materialize(rows, "mix-rows")
-    buckets = rows.groupBy("key", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
-    sources = buckets.groupBy("key").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
-    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (buckets.select("key", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-               .join(targets(sources, weights, share, most), "key"))
-    inside = (Window.partitionBy("key", "bucket").orderBy("h", "id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    out = (rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(buckets, ["key", "bucket"])
-           .withColumn("start", F.col("base") + F.col("inner"))
-           .withColumn("words", F.floor("target")))
+            .withColumn("key", key))
+    rows = running_sum(materialize(rows, "mix-rows"), ["key"], ["h", "id", "size", "row"], "size", "start")
+    sources = rows.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
+    out = rows.join(targets(sources, weights, share, most), "key").withColumn("words", F.floor("target"))
     size, total, words = F.col("size"), F.col("source_size"), F.col("words")
     passes = F.when(total > 0, F.floor(words / total)).otherwise(F.lit(0))
     # floor of a double quotient: settle it in whole numbers
@@ -137,8 +133,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     mix = curriculum_mix(docs, id_col, text_col, source_col, **options).where(F.size("positions") > 0)
     k, t = fresh(docs, "_row"), fresh(docs, "_time")
     mix = mix.select(F.col("row").alias(k), F.explode("positions").alias(t))
-    keyed = docs.withColumn(k, row_key(F.col(id_col), F.col(text_col).cast("string"), F.col(source_col)))
-    # equal rows meet in one, which takes the positions of all
+    keyed = docs.withColumn(k, _row(docs))
+    # rows equal in every column meet in one, which takes the positions of all
     return (keyed.dropDuplicates([k]).join(mix, k).orderBy(t, k)
             .select(*(F.col(f"`{c}`") for c in docs.columns)))
 

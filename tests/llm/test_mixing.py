@@ -1,5 +1,7 @@
 import hashlib
 
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -63,6 +65,25 @@ def test_mixed_documents(spark):
     assert out.count() == copies
 
 
+def test_rows_that_differ_in_one_column_stay_apart(spark):
+    """Whole rows as multisets: each row as often as its own positions say."""
+    base = doc(1, "one two three")
+    rows = [base, base[:2] + ("fr",) + base[3:], base[:2] + (None,) + base[3:], base, *edge_docs()[:12],
+            *[doc(None, prose(k, 20)) for k in range(60)], *[doc(77, prose(k, 9), "s2") for k in range(60)]]
+    table = frame(spark, rows)
+    mix = mixing.curriculum_mix(table)
+    assert mix.count() == len(rows)
+    keyed = table.withColumn("row2", mixing._row(table))
+    want = Counter()
+    times = {}
+    for r in mix.collect():
+        times.setdefault(tuple(r["row"]), []).append(len(r["positions"]))
+    for r in keyed.dropDuplicates(["row2"]).collect():
+        want[repr(tuple(r)[:-1])] += sum(times[tuple(r["row2"])])
+    assert Counter(repr(tuple(r)) for r in mixing.mixed(table).collect()) == +want
+    assert {repr(base[:2] + (x,) + base[3:]) for x in ("en", "fr", None)} <= set(want)
+
+
 def test_training_order_is_sorted(spark):
     order = mixing.training_order(mixing.curriculum_mix(frame(spark, edge_docs()))).collect()
     assert [r["position"] for r in order] == sorted(r["position"] for r in order)
