@@ -22,13 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import fresh
 from .textkit import rolling, words
 
 BLOCK_WORDS = 2_000_000  # words of test items held by a task
 BITMAP = 1 << 20
-MATCHES = "array<struct<item:long,distance:int,start:long,stop:long>>"
+MATCHES = "array<struct<item:{},distance:int,start:long,stop:long>>"
 
 
 def budget(n_words: int, num: int = 75, den: int = 100) -> int:
@@ -122,8 +124,8 @@ class Items:
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, num: int, den: int, block_words: int = BLOCK_WORDS):
     """Blocks of items, read partition by partition."""
-    rows = (items.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("text"))
-            .where("item is not null and text is not null").orderBy("item", "text").toLocalIterator())
+    rows = (items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"))
+            .where("text is not null").orderBy("item", "text").toLocalIterator())
     ids, seqs, size = [], [], 0
     for r in rows:
         h = next(words(pa.array([r["text"]], pa.string())))[1]
@@ -139,14 +141,16 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, num: int, den: int
         yield Items(ids, seqs, num, den)
 
 
-def _match(block):
-    @F.arrow_udf(MATCHES)
+def _match(block, item_type: T.DataType):
+    arrow = to_arrow_type(item_type)
+
+    @F.arrow_udf(MATCHES.format(item_type.simpleString()))
     def match(text: pa.Array) -> pa.Array:
         out: list[list] = [[] for _ in range(len(text))]
         for first, h, off in words(text):
             for row, found in block.value.matches(h, off).items():
                 out[first + row] = found
-        return pa.array(out, pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32()),
+        return pa.array(out, pa.list_(pa.struct([("item", arrow), ("distance", pa.int32()),
                                                  ("start", pa.int64()), ("stop", pa.int64())])))
     return match
 
@@ -158,9 +162,10 @@ def with_matches(docs: DataFrame, items: DataFrame, out: str = "matches", text_c
     0; empty if the document is clean."""
     sc = docs.sparkSession.sparkContext
     text = F.col(text_col).cast("string")
-    column = F.array().cast(MATCHES)
+    item_type = items.schema[item_id].dataType
+    column = F.array().cast(MATCHES.format(item_type.simpleString()))
     for block in item_blocks(items, item_id, item_text, num, den, block_words):
-        column = F.concat(column, _match(sc.broadcast(block))(text))
+        column = F.concat(column, _match(sc.broadcast(block), item_type)(text))
     return docs.withColumn(out, column)
 
 

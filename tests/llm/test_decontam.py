@@ -46,7 +46,7 @@ ITEMS = [(1, prose(50, 40)), (2, prose(51, 15)), (3, None), (4, " "), (5, "lone
 def planted():
     r, rows = random.Random(3), edge_docs()
     for n in range(40):
-        item = words(ITEMS[n % 2][1])
+        item = words(ITEMS[n % 2 if n % 7 else 6][1])
         k = r.randrange(0, len(item) // 4 + 3)
         for _ in range(k):
             at = r.randrange(len(item))
@@ -63,7 +63,7 @@ def found(rows):
     for r in rows:
         for i, t in ITEMS:
             w = words(t)
-            if i is not None and w and least_distance(w, words(r[1])[:2000]) <= len(w) // 4:
+            if w and least_distance(w, words(r[1])[:2000]) <= len(w) // 4:
                 out.append((r[0], i))
     return out
 
@@ -82,6 +82,16 @@ def test_against_brute_force(spark):
         repr(r[0]) for r in planted() if r[0] not in dirty)
 
 
+def test_items_keep_their_ids(spark):
+    items = [("mmlu-12", prose(60, 30)), (None, prose(61, 30)), ("x", None)]
+    rows = [doc(1, prose(60, 30)), doc(2, "so: " + prose(61, 30)), doc(3, prose(62, 30)), doc(4, prose(61, 30) + prose(60, 30))]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    got = decontam.with_matches(frame(spark, rows), table, "m").collect()
+    assert {r["doc_id"]: sorted(map(repr, (m["item"] for m in r["m"]))) for r in got} == {
+        1: ["'mmlu-12'"], 2: ["None"], 3: [], 4: ["'mmlu-12'", "None"]}
+    assert [r["doc_id"] for r in decontam.decontaminate(frame(spark, rows), table).collect()] == [3]
+
+
 def test_empty_sides(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     rows = edge_docs()[:8]
