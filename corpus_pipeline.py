@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.llm import decontam, jaccard, mixing, quality, sharding
-from sparkfeat.llm.common import materialize
+from sparkfeat.llm.common import materialize, release
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _stage(stage):
+    """What the stage before left on the driver goes first."""
+    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return stage(spark, docs, sf_dir)
+    step.__name__, step.__doc__ = stage.__name__, stage.__doc__
+    return step
+
+
+STAGES = [(name, _stage(stage)) for name, stage in STAGES]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
