@@ -1,14 +1,17 @@
 """Exact k-nearest-neighbour classification (M2) and its grid search (G1).
 
-Reference rows and queries are hashed into bounded blocks; every (reference
-block, query block) pair meets in one cogroup task that computes the
-distances in numpy and emits only its own top-k candidates per query - never
-all pairs as rows, and no query row passes through the driver.  A window per
-query merges the partial lists (reference blocks x k rows per query) and a
+Reference rows lie in the cells of a metric index (``metric_index``).  A query first
+visits the nearest cells that hold enough rows, then a few cells with the least bounds,
+then every other cell whose bound is within its k-th distance so far; the rest can't hold
+a nearer row.  In a visit a bounded block of queries meets a bounded block of a cell in
+one cogroup task, which computes the distances in numpy and emits only its own top-k
+per query - never all pairs as rows, and no query row passes through the driver.  A
+row is copied once for each cell that is not excluded; where nothing can be excluded
+that is every cell, as in a block grid.  A window per query merges the lists and a
 grouped count votes; vote ties go to the smallest label.
-Distances are exact Euclidean, ties broken by the reference key: the expanded
-form only rules rows out, beyond its rounding error.  So neither block sizes
-nor the number of partitions change the result.
+Distances are exact Euclidean, ties broken by the reference key: the expanded form
+and the bounds only rule rows out, beyond their rounding error.  So neither cells nor
+blocks nor the number of partitions change the result.
 """
 from __future__ import annotations
 
@@ -18,10 +21,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
+from .metric_index import Cells, build_index, cells_to_visit
 
 CAND_SCHEMA = "qid long, cid long, clabel int, dist double"
+CANDIDATE = ("qid", "cid", "clabel", "dist")
+STEP = 8  # cells of the second wave
 
 
 def _block_topk(k: int, has_group: bool, chunk: int = 256):
@@ -78,35 +85,57 @@ def _block_topk(k: int, has_group: bool, chunk: int = 256):
     return run
 
 
+def _meet(rows: DataFrame, index: Cells, visits: DataFrame, k: int, grouped: bool, query_block: int) -> DataFrame:
+    """Top-k lists of every (block of a cell, block of its queries)."""
+    per = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("_of"))  # a row a cell
+    per = F.broadcast(per)
+    r = rows.join(per, "cell").withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))).drop("_of")
+    subs = F.element_at(F.array(*(F.lit(int(b)) for b in index.blocks)), F.col("cell") + 1)
+    q = (visits.join(per, "cell").withColumn("_qb", F.pmod(F.xxhash64("qid"), F.col("_of")).cast("int"))
+         .withColumn("sub", F.explode(F.sequence(F.lit(0), subs - 1))).drop("_of"))
+    return (r.groupBy("cell", "sub", "_qb").cogroup(q.groupBy("cell", "sub", "_qb"))
+            .applyInPandas(_block_topk(k, grouped), CAND_SCHEMA))
+
+
 def neighbours(ref: DataFrame, query: DataFrame, k: int, key: str = "id", label: str = "label",
                features: str = "features", group: str | None = None, ref_block: int = 20000,
-               query_block: int = 2000) -> DataFrame:
+               query_block: int = 2000, cells: int | None = None, seen: dict | None = None) -> DataFrame:
     """(qid, rank, cid, clabel, dist): the k nearest reference rows of every query.
 
-    Reference rows are hashed into R blocks, queries into Q blocks; every
-    reference row is replicated to the Q query blocks and every query to the R
-    reference blocks (``explode(sequence)``), so the cogroup of (r, q) holds one
-    bounded block of each side.  Each group emits its top-k per query; a window
-    per query merges the R partial lists.  With ``group`` set, a query never
-    matches a reference row of its own group (cross-validation folds).
+    With ``group`` set, a query never matches a reference row of its own group
+    (cross-validation folds).  ``seen`` receives the number of (query, cell) visits and of
+    all such pairs.
     """
-    nr, nq = ref.count(), query.count()
-    par = int(ref.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # enough reference blocks for the cluster once there is real work (>= 512 rows each)
-    rb = max(1, -(-nr // ref_block), min(par, nr // 512))
-    qb = max(1, -(-nq // query_block))
-    g_ref = [F.col(group).cast("long").alias("g")] if group else []
-    r = (ref.select(F.col(key).cast("long").alias("cid"), F.col(label).cast("int").alias("clabel"),
-                    F.col(features).alias("f"), *g_ref)
-            .withColumn("_rb", F.pmod(F.xxhash64("cid"), F.lit(rb)))
-            .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long")))))
-    q = (query.select(F.col(key).cast("long").alias("qid"), F.col(features).alias("f"), *g_ref)
-              .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
-              .withColumn("_rb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rb - 1).cast("long")))))
-    cands = (r.groupBy("_rb", "_qb").cogroup(q.groupBy("_rb", "_qb"))
-              .applyInPandas(_block_topk(k, group is not None), CAND_SCHEMA))
-    w = Window.partitionBy("qid").orderBy("dist", "cid")
-    return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    g = [F.col(group).cast("long").alias("g")] if group else []
+    rows = ref.select(F.col(key).cast("long").alias("cid"), F.col(label).cast("int").alias("clabel"),
+                      F.col(features).alias("f"), *g)
+    queries = query.select(F.col(key).cast("long").alias("qid"), F.col(features).alias("f"), *g)
+    n = rows.count()
+    if n == 0:
+        return ref.sparkSession.createDataFrame([], CAND_SCHEMA).withColumn("rank", F.lit(0))
+    rows, index = build_index(rows, n, ref_block, cells)
+    need = k if group is None else 2 * k
+    best, visited = None, 0
+    visit = T.StructType([*queries.schema, T.StructField("cell", T.IntegerType())])
+    by_query = Window.partitionBy("qid").orderBy("dist", "cid")
+    for wave in range(3 if len(index.pivots) > 1 else 1):
+        asking = queries
+        if wave:
+            tau = best.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("tau"), F.max("tau0").alias("tau0"))
+            asking = queries.join(tau, "qid", "left").fillna(float("inf"), ["tau", "tau0"])
+        visits = materialize(asking.mapInPandas(cells_to_visit(index, wave, need, STEP), visit), "knn-visits")
+        visited += visits.count()
+        found = _meet(rows, index, visits, k, group is not None, query_block)
+        if wave:
+            found = best.select(*CANDIDATE).unionByName(found).join(best.groupBy("qid").agg(F.max("tau0").alias("tau0")), "qid", "left")
+        found = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+        if wave == 0:
+            every = Window.partitionBy("qid")
+            found = found.withColumn("tau0", F.when(F.count(F.lit(1)).over(every) >= k, F.max("dist").over(every)).otherwise(float("inf")))
+        best = materialize(found, "knn-best")
+    if seen is not None:
+        seen.update(visits=visited, pairs=queries.count() * int((index.sizes > 0).sum()))
+    return best.select("qid", "rank", "cid", "clabel", "dist")
 
 
 def vote(nb: DataFrame, k: int) -> DataFrame:
@@ -141,3 +170,14 @@ def knn_grid(train: DataFrame, ks: Sequence[int] = (3, 5, 7, 9), fold: str = "fo
     # one row per k: the ranking window below runs over len(ks) rows
     summary = per.groupBy("k").agg(F.avg("acc").alias("mean_accuracy"), F.stddev_pop("acc").alias("std_accuracy"))
     return summary.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_accuracy"), F.asc("k"))).cast("int"))
+
+
+def knn_grid_test(train: DataFrame, test: DataFrame, ks: Sequence[int] = (3, 5, 7, 9), fold: str = "fold",
+                  key: str = "id", label: str = "label", features: str = "features") -> DataFrame:
+    """(best_k, cv_accuracy, test_accuracy, n_test): the best k of the grid, refitted on all
+    of ``train`` and scored on ``test``."""
+    best = knn_grid(train, ks, fold, key, label, features).where("rank = 1").first()  # one row
+    pred = knn_predict(train, test, best["k"], key, label, features)
+    return pred.agg(F.lit(best["k"]).alias("best_k"), F.lit(best["mean_accuracy"]).alias("cv_accuracy"),
+                    F.avg((F.col("pred") == F.col(label)).cast("double")).alias("test_accuracy"),
+                    F.count(F.lit(1)).alias("n_test"))

@@ -296,6 +296,22 @@ SELECT CAST(k AS INTEGER) AS k, """ + S("mean_accuracy") + " AS mean_accuracy, "
         """ AS std_accuracy, CAST(rank() OVER (ORDER BY mean_accuracy DESC, k) AS INTEGER) AS rank FROM sm"""
 
 
+def _grid_knn_test() -> str:
+    """The grid's best k on the whole training part, scored on the test part."""
+    grid = _grid_knn()
+    return grid[:grid.rindex("SELECT CAST(k AS INTEGER)")].rstrip() + """,
+bk AS (SELECT k, mean_accuracy FROM sm ORDER BY mean_accuracy DESC, k LIMIT 1),
+te AS (SELECT l.* FROM emb_long l JOIN emb_s s USING (vec_id) WHERE s.split = 'test'),
+td AS (SELECT q.vec_id AS qid, r.vec_id AS cid, r.label AS clabel, sqrt(sum((q.x - r.x) * (q.x - r.x))) AS dist
+       FROM te q JOIN lf r ON q.d = r.d GROUP BY q.vec_id, r.vec_id, r.label),
+tr2 AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, cid) AS rk FROM td),
+tv AS (SELECT qid, clabel, count(*) AS votes FROM tr2 JOIN bk ON rk <= k GROUP BY ALL),
+tp AS (SELECT qid, clabel AS pred FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, clabel) AS r FROM tv) WHERE r = 1)
+SELECT CAST(any_value(k) AS INTEGER) AS best_k, """ + S("any_value(mean_accuracy)") + " AS cv_accuracy, " + \
+        S("avg(CAST(pred = s.label AS DOUBLE))") + """ AS test_accuracy, count(*) AS n_test
+FROM tp JOIN emb_s s ON s.vec_id = tp.qid CROSS JOIN bk"""
+
+
 def _sparsity_sweep() -> str:
     return f"WITH {EMB_SPLIT}, {_prune_cte()}," + f"""
 nt AS (SELECT count(*) AS n FROM emb_s WHERE split = 'train'),
@@ -471,6 +487,7 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
                        "FROM part, (VALUES ('Arduino Nano 33 BLE Sense', 1024), ('ESP32', 4096), ('Raspberry Pi Pico', 2048), "
                        "('STM32', 1024)) d(device, flash_kb)")
     q["grid_knn"] = "WITH " + _grid_knn()
+    q["grid_knn_test"] = "WITH " + _grid_knn_test()
     q["quantize_symmetric"] = (f"SELECT vec_id, {S('s')} AS scale, d AS dim, CAST(CASE WHEN s = 0 THEN 0 ELSE "
                                "greatest(-127, least(127, round_even(x / s, 0))) END AS TINYINT) AS code FROM "
                                "(SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS d, "

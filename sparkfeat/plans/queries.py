@@ -455,6 +455,14 @@ def q_grid_knn(spark, sf):
     return _sig_cols(g, ["mean_accuracy", "std_accuracy"])
 
 
+def q_grid_knn_test(spark, sf):
+    """The grid's best k, refitted on all training rows and scored on the test rows."""
+    sp = _emb_split(spark, sf)
+    train = L.stratified_folds(sp.where(F.col("split") == "train").drop("split"), "label", "vec_id", 3, 42)
+    g = K.knn_grid_test(train, sp.where(F.col("split") == "test"), (3, 5, 7, 9), "fold", "vec_id", "label", "embedding")
+    return _sig_cols(g, ["cv_accuracy", "test_accuracy"])
+
+
 # ------------------------------------------------------------------ compression
 def _emb_long(spark, sf) -> DataFrame:
     e = t(spark, sf, "embeddings")
