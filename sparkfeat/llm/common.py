@@ -1,15 +1,18 @@
 """Small helpers of this subpackage: tables, row keys, sizes and scratch."""
 from __future__ import annotations
 
+import ctypes
 import gc
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.order import plan_bytes
 from ..session import materialize
 
-__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "bitmap", "maybe"]
+__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "trimmed", "bitmap", "maybe"]
 
 BITMAP_WORDS = 1 << 17  # rows of a bitmap table at most: 1 MB of bits, safe to broadcast
 
@@ -66,6 +69,20 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def trimmed(run: Callable) -> Callable:
+    """A partition function after which the Python worker, which Spark keeps for later tasks,
+    gives its freed memory back to the system."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+            if trim:
+                trim(0)
+    return whole
+
+
 def _word(key: Column) -> Column:
     return F.shiftrightunsigned(key, 64 - 17)
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, fresh, materialize, maybe, parts_for, row_key
+from .common import bitmap, fresh, materialize, maybe, parts_for, row_key, trimmed
 from .components import connected_components
 from .textkit import mix, shingle_sets
 
@@ -179,7 +179,7 @@ def _frequent(docs: DataFrame) -> np.ndarray | None:
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64))], ["s"])
 
     sample = docs.where(near).dropDuplicates(["tkey"]).select("text")
-    rows = (sample.mapInArrow(each, "s long").groupBy("s").count().where(F.col("count") >= HOT_LEAST)
+    rows = (sample.mapInArrow(trimmed(each), "s long").groupBy("s").count().where(F.col("count") >= HOT_LEAST)
             .orderBy(F.desc("count"), "s").limit(HOT_LIMIT).select("s").toPandas())
     if rows.empty:
         return None
@@ -466,16 +466,16 @@ def _exact_links(links: DataFrame, classes: DataFrame, docs: DataFrame, bands: B
                .unionByName(groups.select("gid", "node", "size"))
                .join(classes.select("node", "n", "parity"), "node"))
     blocks = _in_blocks(members, F.ceil(F.col("size") / BLOCK)).select("gid", "i", "j", "node", "n", "parity")
-    edges = blocks.repartition(parts, "gid", "i", "j").mapInArrow(_clusters(bands), "a long, b long").distinct()
+    edges = blocks.repartition(parts, "gid", "i", "j").mapInArrow(trimmed(_clusters(bands)), "a long, b long").distinct()
     clusters = connected_components(edges).withColumnRenamed("root", "cluster")
 
     wanted = bitmap(classes.join(clusters, "node"), "tkey")
     texts = maybe(docs, wanted, F.col("tkey"), "read").where("read").select("text")
-    sets = texts.mapInArrow(_sets, "node long, set binary").dropDuplicates(["node"]).join(clusters, "node")
+    sets = texts.mapInArrow(trimmed(_sets), "node long, set binary").dropDuplicates(["node"]).join(clusters, "node")
     sizes = (classes.join(clusters, "node").groupBy("cluster")
              .agg(F.greatest(F.ceil(F.count("*") / SET_ROWS), F.ceil(8 * F.sum("n") / SET_BYTES)).alias("of")))
     blocks = _in_blocks(sets.join(sizes, "cluster"), F.col("of")).select("cluster", "i", "j", "node", "set")
-    return blocks.repartition(parts, "cluster", "i", "j").mapInArrow(_linked(bands), "a long, b long")
+    return blocks.repartition(parts, "cluster", "i", "j").mapInArrow(trimmed(_linked(bands)), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -497,7 +497,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = None if hot is None else docs.sparkSession.sparkContext.broadcast(hot)
     packed = docs.select("text").mapInArrow(
         _pack(bands, hot, 4 * parts), "bucket int, sigs binary, owners binary, nodes binary")
-    links = materialize(packed.repartition(parts, "bucket").mapInArrow(_stars, "gid long, a long, b long")
+    links = materialize(packed.repartition(parts, "bucket").mapInArrow(trimmed(_stars), "gid long, a long, b long")
                         .distinct(), "jaccard-stars")
 
     labels = connected_components(_exact_links(links, classes, docs, bands, parts))

@@ -31,13 +31,15 @@ gives an empty result.
 """
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.order import global_index
-from .common import fresh, materialize
+from .common import fresh, materialize, trimmed
 from .textkit import mix, words
 
 BUCKETS = 1 << 14
@@ -83,7 +85,7 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.nd
     """log(target share / raw share) of every bucket."""
     text = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     marked = text.join(F.broadcast(sample), "id", "left").select("text", (F.col("good") & ~F.col("held")).alias("good"))
-    rows = (marked.mapInArrow(_count, "f long, raw long, target long").groupBy("f")
+    rows = (marked.mapInArrow(trimmed(_count), "f long, raw long, target long").groupBy("f")
             .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect())  # BUCKETS rows at most
     raw, target = np.full(BUCKETS, SMOOTH), np.full(BUCKETS, SMOOTH)
     for f, r, t in rows:
@@ -116,7 +118,7 @@ def off_target(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -
     kind = docs.schema[id_col].dataType.simpleString()
     text = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
     marked = text.join(F.broadcast(sample.select("id")), "id").select("text", "id")
-    held = materialize(marked.mapInArrow(_distinct_words, f"id {kind}, f long").distinct()
+    held = materialize(marked.mapInArrow(trimmed(_distinct_words), f"id {kind}, f long").distinct()
                        .join(F.broadcast(sample), "id"), "quality-words")
     size = {(r["good"], r["held"]): r["count"] for r in sample.groupBy("good", "held").count().collect()}
     bad, good = (size.get((g, False), 0) for g in (False, True))
@@ -182,6 +184,7 @@ def selection(scored: DataFrame, sample: DataFrame, id_col: str, weight: str, ke
     """The smallest key that is kept (None: all are)."""
     small = materialize(scored.select(F.col(id_col).alias("id"), F.col(weight).alias("w"), F.col(key).alias("key")),
                         "quality-keys")
+    drawn = F.col("key") > F.lit(float("-inf"))
     if k is None:
         # one row a labelled id, so the number of rows is bounded by the sample
         rows = (small.join(F.broadcast(sample.where("good and held")), "id").groupBy("id")
@@ -189,12 +192,13 @@ def selection(scored: DataFrame, sample: DataFrame, id_col: str, weight: str, ke
         least = level([r["w"] for r in rows])
         if least is None:
             return None
-        k = small.where((F.col("w") >= least) & (F.col("key") > float("-inf"))).count()
+        k = small.where((F.col("w") >= least) & drawn).count()
     if k <= 0:
         return float("inf")
-    ranked, _ = global_index(small.select((-F.col("key")).alias("down")), ["down"])
+    # documents that are turned down share one key: they are not ranked, and never kept
+    ranked, _ = global_index(small.where(drawn).select((-F.col("key")).alias("down")), ["down"])
     last = ranked.where(F.col("rn") == k - 1).first()
-    return None if last is None else -last["down"]
+    return -sys.float_info.max if last is None else -last["down"]
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
