@@ -7,14 +7,14 @@ Calibration parameters are bounded metadata (two numbers per column).
 """
 from __future__ import annotations
 
-import math
 from typing import Dict, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clamp, half_round
-from ..plans.order import _names, global_index, null_safe_join
+from ..plans.order import _names
+from .group_select import first_rows, group_sizes
 
 
 # ------------------------------------------------------------------ C1
@@ -97,38 +97,20 @@ def quantization_error(df: DataFrame, params: Dict[str, tuple]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C6 - C8
-def prune_counts(n: int, sparsity: float) -> int:
-    """How many of n weights are zeroed: n - round(n (1 - s))."""
-    return int(n - round(n * (1.0 - sparsity)))
-
-
-def _weight_order(df: DataFrame, tie):
-    """``df`` with a tie column, and the order of its weights by magnitude."""
-    if tie:
-        return df, ["_absw", *_names(tie)]
-    return df.withColumn("_tie", F.xxhash64(*df.columns)), ["_absw", "_tie"]
-
-
 def prune(df: DataFrame, value: str, group=None, sparsity: float = 0.7, tie=None,
           out: str | None = None) -> DataFrame:
     """Zero the n - round(n (1 - s)) smallest |w| per group.
 
-    Ranks come from the range-partitioned index on (group, |w|, tie), so a
-    group with a third of all weights is still ranked by many tasks.  Equal
+    One cut value a group is found without sorting or shuffling a weight.  Equal
     weights are cut in the order of ``tie``, else of a hash of the whole row, so
-    they spread over tasks and reruns agree; rows without a group are one group.
+    reruns agree; rows without a group are one group.
     """
     out = out or value
     keys = _names(group)
-    d = df.withColumn("_absw", F.abs(F.col(value).cast("double")))
-    d, order = _weight_order(d, tie)
-    ranked, sizes = global_index(d, order, keys, rn="_prn")
-    cut = sizes.withColumn("_m", F.col("n") - F.bround(F.col("n") * F.lit(1.0 - sparsity)))
-    joined = null_safe_join(ranked, cut.select(*keys, "_m"), keys) if keys else \
-        ranked.withColumn("_m", F.lit(prune_counts(int(sizes.first()["n"]), sparsity)))
-    return (joined.withColumn(out, F.when(F.col("_prn") < F.col("_m"), F.lit(0.0))
-                              .otherwise(F.col(value).cast("double")))
-                  .drop("_absw", "_tie", "_prn", "_m"))
+    order = [F.abs(F.col(value).cast("double")), *([F.col(c) for c in _names(tie)] or [F.xxhash64(*df.columns)])]
+    wanted = group_sizes(df, keys).withColumn("take", (F.col("n") - F.bround(F.col("n") * F.lit(1.0 - sparsity))).cast("long"))
+    marked = first_rows(df, keys, order, wanted, "_cut")
+    return marked.withColumn(out, F.when(F.col("_cut"), F.lit(0.0)).otherwise(F.col(value).cast("double"))).drop("_cut")
 
 
 def sparsity(df: DataFrame, value: str, group=None) -> DataFrame:
@@ -139,30 +121,14 @@ def sparsity(df: DataFrame, value: str, group=None) -> DataFrame:
                                  (100.0 * F.avg((F.col(value) == 0).cast("double"))).alias("sparsity_pct"))
 
 
-def sparsity_schedule(n_train: int, batch: int = 8, epochs: int = 10, initial: float = 0.0,
-                      final: float = 0.7, every: int = 100, power: int = 3):
-    """Polynomial-decay pruning levels (C7): end step T = ceil(n/batch) * epochs,
-    s(t) = final + (initial - final) (1 - t/T)^power at t = 0, every, 2*every, ... <= T."""
-    end = int(math.ceil(n_train / batch)) * epochs
-    steps = list(range(0, end + 1, every))
-    return end, [(t, final + (initial - final) * (1.0 - t / end) ** power) for t in steps]
-
+def sparsity_sweep(df: DataFrame, value: str, group, levels: Sequence[float]) -> DataFrame:
+    """Achieved sparsity of every (group, target level) (C7), in one counting pass.
 
-def sparsity_sweep(df: DataFrame, value: str, group, levels, tie=None) -> DataFrame:
-    """Achieved sparsity for every (group, step, target): pruned count from the
-    rank form plus weights that are already zero, in one counting pass."""
+    Pruning starts with the weights that are zero already, so what is zero after pruning
+    to a level is the larger of the two counts."""
     keys = _names(group)
-    d = df.withColumn("_absw", F.abs(F.col(value).cast("double")))
-    d, order = _weight_order(d, tie)
-    ranked, sizes = global_index(d, order, keys, rn="_prn")
-    j = null_safe_join(ranked, sizes, keys) if keys else \
-        ranked.withColumn("n", F.lit(int(sizes.first()["n"])).cast("long"))
-    aggs = []
-    for i, (step, s) in enumerate(levels):
-        m = F.col("n") - F.bround(F.col("n") * F.lit(1.0 - s))
-        aggs.append(F.count_if((F.col("_prn") < m) | (F.col(value) == 0)).alias(f"z_{i}"))
-    st = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
-    parts = [F.struct(F.lit(step).alias("step"), F.lit(float(s)).alias("target_sparsity"),
-                      F.col(f"z_{i}").cast("long").alias("n_zero")) for i, (step, s) in enumerate(levels)]
+    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) == 0).alias("_z"))
+    pruned = lambda s: (F.col("n") - F.bround(F.col("n") * F.lit(1.0 - s))).cast("long")
+    parts = [F.struct(F.lit(float(s)).alias("target_sparsity"), F.greatest(pruned(s), F.col("_z")).alias("n_zero")) for s in levels]
     return (st.select(*keys, "n", F.inline(F.array(*parts)))
               .withColumn("achieved_pct", 100.0 * F.col("n_zero") / F.col("n")))

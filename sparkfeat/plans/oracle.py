@@ -314,15 +314,11 @@ FROM tp JOIN emb_s s ON s.vec_id = tp.qid CROSS JOIN bk"""
 
 def _sparsity_sweep() -> str:
     return f"WITH {EMB_SPLIT}, {_prune_cte()}," + f"""
-nt AS (SELECT count(*) AS n FROM emb_s WHERE split = 'train'),
-te AS (SELECT CAST(ceil(n / 8) * 10 AS BIGINT) AS T FROM nt),
-lv AS (SELECT CAST(s.step AS INTEGER) AS step,
-              CAST(0.7 AS DOUBLE) + (CAST(0 AS DOUBLE) - CAST(0.7 AS DOUBLE)) * power(1 - s.step / te.T, 3) AS target
-       FROM te, range(0, (SELECT T FROM te) + 1, 100) s(step))
-SELECT pr.label, any_value(pr.n) AS n, lv.step, {S('lv.target')} AS target_sparsity,
+lv AS (SELECT unnest([0.0, 0.25, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])::DOUBLE AS target)
+SELECT pr.label, any_value(pr.n) AS n, {S('lv.target')} AS target_sparsity,
        count(*) FILTER (WHERE pr.rn < pr.n - round_even(pr.n * (1 - lv.target), 0) OR pr.w = 0) AS n_zero,
        {S('100.0 * count(*) FILTER (WHERE pr.rn < pr.n - round_even(pr.n * (1 - lv.target), 0) OR pr.w = 0) / any_value(pr.n)')} AS achieved_pct
-FROM pr, lv GROUP BY pr.label, lv.step, lv.target"""
+FROM pr CROSS JOIN lv GROUP BY pr.label, lv.target"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,6 +33,7 @@ from ..sources import files as S
 LCOLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 ORDER = ["ts", "event_id"]
 WINDOWS = [10, 20, 50, 100]
+SPARSITY_LEVELS = [0.0, 0.25, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -507,10 +508,7 @@ def q_sparsity(spark, sf):
 
 
 def q_sparsity_sweep(spark, sf):
-    long = _emb_long(spark, sf)
-    n_train = _emb_split(spark, sf).where(F.col("split") == "train").count()
-    _, levels = C.sparsity_schedule(n_train, 8, 10, 0.0, 0.7, 100)
-    s = C.sparsity_sweep(long, "w", "label", levels, tie="wid")
+    s = C.sparsity_sweep(_emb_long(spark, sf), "w", "label", SPARSITY_LEVELS)
     return _sig_cols(s, ["target_sparsity", "achieved_pct"])
 
 
