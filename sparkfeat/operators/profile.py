@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+from .gram import correlations
 from .ranks import quantile_values
 
 FIXED_WIDTH = {  # bytes per non-null value of fixed-width types
@@ -86,15 +88,33 @@ def dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def dedup_report(df: DataFrame) -> DataFrame:
-    """Rows before, after and removed, one aggregation.
+def _fingerprint(columns) -> list:
+    """Two 64-bit hashes of a row of different seeds; null is told from every value."""
+    parts = [x for c in columns for x in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
 
-    ``count(DISTINCT struct(*))`` treats null fields as equal, like
-    ``dropDuplicates``; the distinct keys are hash-partitioned, not collected.
+
+def dedup_report(df: DataFrame, fingerprint=_fingerprint) -> DataFrame:
+    """Rows before, after and removed (D2); null fields compare equal, like ``dropDuplicates``.
+
+    Rows are counted by 128-bit fingerprints, combined before the exchange: 16 bytes of a
+    row and its count move, not the row.  A third hash (other seed, other function) tells
+    fingerprints that different rows share; only the rows of those are compared by value.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("before"), F.count_distinct(row).alias("after")).select(
-        "before", "after", (F.col("before") - F.col("after")).alias("removed"))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    h1, h2 = fingerprint(cols)
+    check = F.hash(*(x for c in cols for x in (c.isNull(), c)))
+    prints = df.select(h1.alias("h1"), h2.alias("h2"), check.alias("c")).groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    prints = materialize(prints, "row-prints")
+    total = prints.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("before"),
+                       F.count_if(F.col("lo") == F.col("hi")).alias("alone"))
+    shared = prints.where("lo < hi").select("h1", "h2")
+    rows = df.select(F.struct(*[c.alias(f"v{i}") for i, c in enumerate(cols)]).alias("row"), h1.alias("h1"), h2.alias("h2"))
+    values = rows.join(shared, ["h1", "h2"]).agg(F.count_distinct("row").alias("values")) if not shared.isEmpty() else \
+        df.sparkSession.range(1).select(F.lit(0).cast("long").alias("values"))
+    after = (F.col("alone") + F.col("values")).cast("long")
+    return total.crossJoin(values).select("before", after.alias("after"), (F.col("before") - after).alias("removed"))
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -222,22 +242,10 @@ def histogram(df: DataFrame, cols: Sequence[str] | str, bins: int) -> DataFrame:
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair in one pass, long (col_a, col_b, corr).
 
-    Nulls are dropped pairwise, like pandas; booleans are cast to int first.
-    """
-    casted = {c: (F.col(c).cast("int") if isinstance(df.schema[c].dataType, T.BooleanType)
-                  else F.col(c)).cast("double") for c in cols}
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = casted[a].isNotNull() & casted[b].isNotNull()
-            aggs.append(F.corr(F.when(both, casted[a]), F.when(both, casted[b])).alias(f"{a}__{b}"))
-    stats = df.agg(*aggs)
-    parts = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            key = f"{a}__{b}" if i <= j else f"{b}__{a}"
-            parts.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(key).alias("corr")))
-    return stats.select(F.inline(F.array(*parts)))
+    Nulls are dropped pairwise, like pandas; booleans are cast to int first.  A pair with
+    fewer than two common rows or a constant column has no correlation (null)."""
+    return correlations(df, {c: (F.col(f"`{c}`").cast("int") if isinstance(df.schema[c].dataType, T.BooleanType)
+                                 else F.col(f"`{c}`")) for c in cols})
 
 
 def correlation_all(df: DataFrame) -> DataFrame:
@@ -251,17 +259,24 @@ def correlation_all(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- A20
 def column_bytes(df: DataFrame) -> DataFrame:
-    """Logical bytes per column: width x non-null count, UTF-8 bytes for strings."""
+    """Logical bytes per column (A20): width x non-null count, UTF-8 bytes for strings, 8 or
+    16 bytes a decimal, width x elements for arrays of fixed width; null for other types."""
     aggs, parts = [], []
     for f in df.schema.fields:
         t = f.dataType.simpleString()
         c = F.col(f"`{f.name}`")
+        element = f.dataType.elementType.simpleString() if isinstance(f.dataType, T.ArrayType) else None
         if t in FIXED_WIDTH:
-            aggs.append((F.count(c) * FIXED_WIDTH[t]).cast("long").alias(f.name))
+            size = (F.count(c) * FIXED_WIDTH[t]).cast("long")
+        elif isinstance(f.dataType, T.DecimalType):
+            size = (F.count(c) * (8 if f.dataType.precision <= 18 else 16)).cast("long")
         elif t in ("string", "binary"):
-            aggs.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).cast("long").alias(f.name))
+            size = F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).cast("long")
+        elif element in FIXED_WIDTH:
+            size = F.coalesce(F.sum(F.when(c.isNotNull(), F.size(c))), F.lit(0)).cast("long") * FIXED_WIDTH[element]
         else:
-            continue
+            size = F.max(F.lit(None).cast("long"))
+        aggs.append(size.alias(f.name))
         parts.append(F.struct(F.lit(f.name).alias("column"), F.lit(t).alias("data_type"),
                               F.col(f"`{f.name}`").alias("bytes")))
     return df.agg(*aggs).select(F.inline(F.array(*parts)))
