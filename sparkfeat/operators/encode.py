@@ -1,7 +1,7 @@
 """Categorical encoders.
 
-* ``LabelEncoder``: ids 0..k-1 in sorted class order (``StringIndexer`` with
-  ``alphabetAsc``); an unseen label at transform time is an error.
+* ``LabelEncoder``: ids 0..k-1 in sorted class order, kept as a dictionary table of any
+  size and joined; an unseen label at transform time is an error.
 * ``one_hot``: one int column per category value, originals dropped, none
   left out; the category list is bounded metadata collected once.
 * ``frequency_encode``: the absolute count of the value, by a partial
@@ -11,41 +11,75 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.order import global_index, total_rows
+from ..session import materialize
+
 
 class LabelEncoder:
     def __init__(self, col: str, out: str | None = None):
         self.col, self.out = col, out or f"{col}_id"
 
     def fit(self, df: DataFrame) -> "LabelEncoderModel":
-        model = StringIndexer(inputCol=self.col, outputCol=self.out + "__d",
-                              stringOrderType="alphabetAsc", handleInvalid="error").fit(df)
-        return LabelEncoderModel(self.col, self.out, model)
+        """The dictionary: distinct labels, combined before the exchange, with their
+        positions from the range-partitioned index; a written table, never the driver's."""
+        labels = df.select(F.col(self.col).cast("string").alias("class_name")).where("class_name IS NOT NULL").distinct()
+        ranked, sizes = global_index(labels, ["class_name"], rn="class_id")
+        table = materialize(ranked.select(F.col("class_id").cast("int").alias("class_id"), "class_name"), "label-dictionary")
+        return LabelEncoderModel(self.col, self.out, table, total_rows(sizes))
 
 
 class LabelEncoderModel:
-    def __init__(self, col: str, out: str, model):
-        self.col, self.out, self.model = col, out, model
+    """Labels and ids as a table (class_id, class_name) of ``n`` rows.
+
+    Up to ``SMALL`` labels the table is broadcast; beyond, rows meet it in a join that
+    adaptive execution splits where a label is hot."""
+
+    SMALL = 100_000
+
+    def __init__(self, col: str, out: str, table: DataFrame, n: int):
+        self.col, self.out, self.table, self.n = col, out, table, n
 
     @property
     def classes(self):
-        return list(self.model.labels)
+        """The labels in order of their ids, for dictionaries of at most ``SMALL``."""
+        if self.n > self.SMALL:
+            raise ValueError(f"{self.n} labels: use class_table")
+        return [r["class_name"] for r in self.table.orderBy("class_id").collect()]
+
+    def _side(self, key: str, value: str) -> DataFrame:
+        side = self.table.select(F.col(key).alias("_label_key"), F.col(value).alias("_label_value"))
+        return F.broadcast(side) if self.n <= self.SMALL else side
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return (self.model.transform(df.withColumn(self.col, F.col(self.col).cast("string")))
-                    .withColumn(self.out, F.col(self.out + "__d").cast("int")).drop(self.out + "__d"))
+        """``df`` with the id; a label that was not fitted, or none, is an error."""
+        label = F.col(self.col).cast("string")
+        out = df.withColumn(self.col, label).join(self._side("class_name", "class_id"), label == F.col("_label_key"), "left")
+        unseen = F.raise_error(F.concat(F.lit(f"unseen label in column {self.col}: "), F.coalesce(label, F.lit("null")))).cast("int")
+        return out.withColumn(self.out, F.coalesce(F.col("_label_value"), unseen)).drop("_label_key", "_label_value")
 
     def class_table(self, spark) -> DataFrame:
         """(class_id, class_name) (E5)."""
-        return spark.createDataFrame(list(enumerate(self.classes)), "class_id int, class_name string")
+        return self.table
 
     def decode(self, df: DataFrame, id_col: str, out: str) -> DataFrame:
-        """Class id back to its name."""
-        conv = IndexToString(inputCol=id_col + "__d", outputCol=out, labels=self.classes)
-        return conv.transform(df.withColumn(id_col + "__d", F.col(id_col).cast("double"))).drop(id_col + "__d")
+        """Class id back to its name (P11); null for an id that is none."""
+        side = self._side("class_id", "class_name")
+        return (df.join(side, F.col(id_col) == F.col("_label_key"), "left")
+                  .withColumn(out, F.col("_label_value")).drop("_label_key", "_label_value"))
+
+    def save(self, path: str) -> None:
+        self.table.withColumns({"col": F.lit(self.col), "out": F.lit(self.out)}).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "LabelEncoderModel":
+        table = spark.read.parquet(path)
+        head = table.select("col", "out", F.lit(1)).first()
+        if head is None:
+            raise ValueError(f"no labels in {path}")
+        return LabelEncoderModel(head["col"], head["out"], table.select("class_id", "class_name"), table.count())
 
 
 def one_hot(df: DataFrame, col: str, values: Sequence | None = None, drop: bool = True,

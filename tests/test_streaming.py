@@ -18,3 +18,12 @@ def test_stream_scoring_appends_metrics(spark):
     q.awaitTermination(120)
     rows = spark.read.parquet(out).collect()
     assert len(rows) >= 1 and 0.0 <= rows[0]["accuracy"] <= 1.0
+
+
+def test_a_repeated_batch_leaves_one_record(spark):
+    from sparkfeat.sources import files as S
+    path = scratch_path(spark, "metrics-again")
+    for run, value in (("batch-0", 0.5), ("batch-1", 0.7), ("batch-0", 0.5), ("batch-0", 0.6)):
+        S.append_metrics(spark.createDataFrame([(value,)], "accuracy double"), path, run)
+    assert {(r["run"], r["accuracy"]) for r in S.read_metrics(spark, path).collect()} == {("batch-0", 0.6), ("batch-1", 0.7)}
+    assert S.read_metrics(spark, path).count() == 2
