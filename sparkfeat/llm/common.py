@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..plans.order import plan_bytes
 from ..session import materialize
 
-__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "trimmed", "bitmap", "maybe"]
+__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "text_batches", "trimmed", "bitmap", "maybe"]
 
 BITMAP_WORDS = 1 << 17  # rows of a bitmap table at most: 1 MB of bits, safe to broadcast
 
@@ -69,6 +69,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def text_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Arrow batches of at most ``rows`` rows from now on: whole texts are wide rows, and the
+    JVM and Python each hold a batch or two a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def trimmed(run: Callable) -> Callable:
     """A partition function after which the Python worker, which Spark keeps for later tasks,
     gives its freed memory back to the system."""
