@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.llm import decontam, jaccard, mixing, quality, sharding
-from sparkfeat.llm.common import materialize, release
+from sparkfeat.llm.common import materialize, release, text_batches
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,10 @@ ORACLE_SQL = None
 
 
 def _stage(stage):
-    """What the stage before left on the driver goes first."""
+    """What the stage before left on the driver goes first; Arrow batches of texts are small."""
     def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark)
+        text_batches(spark)
         return stage(spark, docs, sf_dir)
     step.__name__, step.__doc__ = stage.__name__, stage.__doc__
     return step
