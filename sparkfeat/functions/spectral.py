@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.order import _names, global_index, null_safe_join
+from ..plans.order import _names, global_index, null_safe_join, total_rows
 
 
 def _summaries(spec: DataFrame, keys: Sequence[str], n_col: str) -> DataFrame:
@@ -165,3 +165,25 @@ def spectrum_global(df: DataFrame, col: str, order: Sequence[str], summary: bool
         return spec
     return _summaries(spec.withColumn("column", F.lit(col)).withColumn("_n", F.lit(n).cast("long")),
                       ["column"], "_n")
+
+
+def spectrum_at(df: DataFrame, col: str, order: Sequence[str], ks: Sequence[int]) -> DataFrame:
+    """(k, re, im, mag) of chosen bins of the whole ordered column, without a transform.
+
+    Every row adds x e^(-2 pi i k j / n) to each bin, with k j reduced modulo n in whole
+    numbers, so phases are exact at any length; sums are combined before the exchange.
+    It answers questions on single bins and checks ``spectrum_global`` at any size."""
+    indexed, sizes = global_index(df.select(*order, col), order, None, rn="_rn")
+    n = total_rows(sizes)
+    x, ks = F.coalesce(F.col(col).cast("double"), F.lit(0.0)), sorted({int(k) for k in ks if 0 <= k < max(n, 1)})
+
+    def angle(k):
+        whole = "long" if k * n < 1 << 62 else "decimal(19,0)"
+        return F.lit(2.0 * math.pi / n) * ((F.lit(k).cast(whole) * F.col("_rn")) % F.lit(n)).cast("double")
+
+    if not ks or n == 0:
+        return df.sparkSession.createDataFrame([], "k long, re double, im double, mag double")
+    sums = [F.sum(x * f(angle(k))).alias(f"{name}{k}") for k in ks for name, f in (("c", F.cos), ("s", F.sin))]
+    parts = [F.struct(F.lit(k).cast("long").alias("k"), F.col(f"c{k}").alias("re"), (-F.col(f"s{k}")).alias("im"),
+                      F.hypot(f"c{k}", f"s{k}").alias("mag")) for k in ks]
+    return indexed.agg(*sums).select(F.inline(F.array(*parts)))

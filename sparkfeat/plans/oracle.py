@@ -429,6 +429,19 @@ SELECT event_id, {", ".join(f"CASE WHEN d{w} > 0 THEN {S(f'n{w} / d{w}')} END AS
         f"SELECT 'value' AS \"column\", {S('count(value) * sum(value * value)')} AS spectral_energy, "
         f"{S('count(value) * var_pop(value) / (floor(count(value) / 2) + 1)')} AS mean_psd FROM events")
     q["spectrum_framed"] = _spectrum_framed()
+    # the direct transform; the other half of the bins mirrors this one
+    whole = """WITH o AS (SELECT coalesce(value, 0.0) AS x, row_number() OVER (ORDER BY ts, event_id) - 1 AS j, count(*) OVER () AS n FROM events),
+kk AS (SELECT unnest({ks}) AS k),
+z AS (SELECT k, any_value(n) AS n, sum(x * cos(2 * pi() * ((k * j) % n) / n)) AS re, sum(x * sin(2 * pi() * ((k * j) % n) / n)) AS im
+      FROM o CROSS JOIN kk GROUP BY k),
+m AS (SELECT k, n, sqrt(re * re + im * im) AS mag FROM z)"""
+    q["spectrum_global"] = whole.format(ks="range(0, (SELECT count(*) // 2 + 1 FROM events))") + f""",
+w AS (SELECT *, CASE WHEN k = 0 OR 2 * k = n THEN 1 ELSE 2 END AS c FROM m), t AS (SELECT sum(c * mag) AS tot FROM w)
+SELECT 'value' AS "column", any_value(n)::BIGINT AS n, (SELECT k FROM m WHERE k >= 1 ORDER BY mag DESC, k LIMIT 1)::BIGINT AS dominant_k,
+{S('sum(c * mag * mag)')} AS spectral_energy, {S('-sum(CASE WHEN mag > 0 THEN c * mag / tot * ln(mag / tot) ELSE 0 END)')} AS spectral_entropy
+FROM w, t"""
+    q["spectrum_bins"] = (whole.format(ks="[0, 1, 2, 3, 5, 8, 13, 50, 100, 333, 1000]")
+                          + f" SELECT k::BIGINT AS k, {S('mag', 6)} AS mag FROM m WHERE k < n")
     q["stratified_split"] = f"WITH {EMB_SPLIT} SELECT vec_id, label, split FROM emb_s"
     q["stratified_subset"] = """WITH h AS (SELECT event_id, event_type,
         CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|42'), 1, 13)) AS BIGINT) AS h FROM events),

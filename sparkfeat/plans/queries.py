@@ -340,7 +340,15 @@ def q_spectrum_framed(spark, sf):
 
 
 def q_spectrum_global(spark, sf):
-    return SP.spectrum_global(_series(spark, sf), "value", ORDER)
+    out = SP.spectrum_global(_series(spark, sf), "value", ORDER)
+    return _sig_cols(out.select("column", "n", "dominant_k", "spectral_energy", "spectral_entropy"),
+                     ["spectral_energy", "spectral_entropy"])
+
+
+def q_spectrum_bins(spark, sf):
+    """Chosen bins of the whole series by one aggregation."""
+    out = SP.spectrum_at(_series(spark, sf), "value", ORDER, [0, 1, 2, 3, 5, 8, 13, 50, 100, 333, 1000])
+    return _sig_cols(out.select("k", "mag"), ["mag"], 6)
 
 
 # ------------------------------------------------------------------ splits

@@ -101,3 +101,18 @@ def test_partitioned_rolling(spark):
         exp = g["x"].rolling(4).mean().to_numpy()
         got = out.set_index("id").loc[g["id"], "x_MA_4"].to_numpy(dtype=float)
         assert np.allclose(got, exp, equal_nan=True)
+
+
+def test_single_bins_agree_with_the_transform(spark):
+    import numpy as np
+
+    from sparkfeat.functions import spectral as SP
+    for n in (1, 2, 97, 600):
+        x = np.random.default_rng(n).normal(size=n)
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i long, v double").repartition(3)
+        want = np.fft.fft(x)
+        got = SP.spectrum_at(df, "v", ["i"], [0, 1, n // 2, n - 1, n + 5]).collect()
+        assert {r["k"] for r in got} == {k for k in (0, 1, n // 2, n - 1) if k < n}
+        for r in got:
+            assert np.isclose(complex(r["re"], r["im"]), want[r["k"]], atol=1e-9)
+    assert SP.spectrum_at(df.limit(0), "v", ["i"], [0]).count() == 0
