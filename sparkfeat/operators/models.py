@@ -187,6 +187,9 @@ def mlp_param_count(layers) -> int:
     return int(sum((a + 1) * b for a, b in zip(layers[:-1], layers[1:])))
 
 
+ROWS_A_TASK = 10_000  # training rows for which a task of its own pays
+
+
 def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int = 42):
     """Fit one named model on a table with an array feature column; returns (PipelineModel, seconds)."""
     n = train.count()
@@ -199,7 +202,8 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     d = model_input(train, features, label)
     for stage in stages:  # mapped once, not in every pass of the fit
         d = stage.transform(d.drop("features"))
-    d = d.cache()
+    # every iteration is a job over all partitions: a small table has few
+    d = d.coalesce(max(1, -(-n // ROWS_A_TASK))).cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
