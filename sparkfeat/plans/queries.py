@@ -27,7 +27,7 @@ from ..operators import profile as P
 from ..operators import rolling as R
 from ..operators import split as L
 from ..operators.scale import Scaler
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files as S
 
 LCOLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -588,16 +588,42 @@ def q_mlp_large(spark, sf):
     return _zoo_row(spark, sf, "mlp_large")
 
 
+def _knn_row(spark, sf) -> DataFrame:
+    """The nearest-neighbour model's row: what it stores is its training rows."""
+    sp = _emb_split(spark, sf)
+    train = sp.where(F.col("split") == "train").select("vec_id", "label", "embedding")
+    t0 = time.perf_counter()
+    path = scratch_path(spark, "model-knn")
+    train.write.parquet(path)
+    fit_s = time.perf_counter() - t0
+    test = sp.where(F.col("split") == "test")
+    t0 = time.perf_counter()
+    pred = K.knn_predict(spark.read.parquet(path), test, 5, "vec_id", "label", "embedding")
+    pred.write.format("noop").mode("overwrite").save()
+    pred_s = time.perf_counter() - t0
+    values = spark.read.parquet(path).agg(F.sum(F.size("embedding"))).first()[0]
+    return V.weighted_prf(pred).select(
+        F.lit("knn_5").alias("model"), "accuracy", "precision", "recall", "f1", F.lit(values).cast("long").alias("n_params"),
+        F.lit(S.stored_bytes(spark, path).first()["kb"]).cast("double").alias("size_kb"), F.lit(fit_s).alias("fit_seconds"),
+        F.lit(pred_s).alias("predict_seconds"), F.lit(1000.0 * pred_s / max(test.count(), 1)).alias("ms_per_row"))
+
+
 def q_model_comparison(spark, sf):
-    """All models in one table (V7, V12) with the best one flagged (V8)."""
-    rows = None
+    """All models in one table with their stored sizes (V7, V12), the best one flagged (V8)."""
+    rows = _knn_row(spark, sf)
     for name in M.MODELS:
-        r = _zoo_row(spark, sf, name, save=False)
-        rows = r if rows is None else rows.unionByName(r)
+        rows = rows.unionByName(_zoo_row(spark, sf, name))
+    rows = materialize(rows, "model-comparison")  # a row a model
     best = rows.orderBy(F.desc("accuracy"), F.asc("model")).first()["model"]
     return rows.withColumn("is_best", F.col("model") == F.lit(best))
 
 
+def q_training_curve(spark, sf):
+    """Loss, training and validation accuracy of the small network as it is fitted."""
+    train, test = _train_test(spark, sf)
+    return M.training_curve(train, test, "embedding", "label")
+
+
 def q_training_history(spark, sf):
     """(model, iteration, loss) of the iterative fits, both networks among them."""
     train, _ = _train_test(spark, sf)
@@ -675,16 +701,26 @@ def q_grid_forest(spark, sf):
     return table
 
 
-def q_grid_mlp(spark, sf):
+def _grid_mlp(spark, sf):
     tr, te = _cv_frames(spark, sf, 5)
     d = len(tr.select("embedding").first()[0])
     k = int(tr.agg(F.max("label")).first()[0]) + 1
     est = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_d", seed=42)
     layers = [[d, a, b, k] for a in (16, 32) for b in (8, 16)]
-    model, table = G.grid_search(est, {"layers": layers, "blockSize": [8, 16], "maxIter": [50, 75]}, tr)
+    return G.grid_search(est, {"layers": layers, "blockSize": [8, 16], "maxIter": [50, 75]}, tr), te
+
+
+def q_grid_mlp(spark, sf):
+    (model, table), _ = _grid_mlp(spark, sf)
     return table
 
 
+def q_grid_mlp_table(spark, sf):
+    """The network grid's best parameters, their score and the refitted model's test score."""
+    (model, table), te = _grid_mlp(spark, sf)
+    return G.summary(model, table, te)
+
+
 def q_grid_table(spark, sf):
     (model, table), te = _grid_forest(spark, sf)
     return G.summary(model, table, te)

@@ -60,3 +60,13 @@ def test_models_learn_a_separable_table(spark, name):
     model, _ = M.fit_model(name, train, "x", "label")
     assert V.accuracy(M.predict(model, test, "x", "id", "label")).first()["accuracy"] >= 0.97
     assert M.n_params(model) > 0
+
+
+def test_training_curve_rises(spark):
+    r = np.random.default_rng(5)
+    y = r.integers(0, 3, 450)
+    X = np.eye(3)[y] * 4.0 + r.normal(0, 0.4, (450, 3))
+    curve = M.training_curve(table(spark, X[:300], y[:300]), table(spark, X[300:], y[300:]), "x", "label", iterations=25, step=10)
+    rows = curve.orderBy("iteration").collect()
+    assert [c["iteration"] for c in rows] == [10, 20, 25]
+    assert rows[-1]["loss"] < rows[0]["loss"] and rows[-1]["accuracy"] >= 0.97 and rows[-1]["val_accuracy"] >= 0.97
