@@ -26,7 +26,6 @@ from . import compress as C
 from . import evaluate as V
 
 VARIANTS = ["float32", "float16", "int8_dynamic", "int8_full", "pruned_70"]
-BYTES = {"float32": 4, "float16": 2, "int8_dynamic": 1, "int8_full": 1}
 
 
 def weights_table(spark, mlp_model) -> DataFrame:
@@ -79,6 +78,70 @@ def make_variant(wt: DataFrame, variant: str) -> DataFrame:
     raise ValueError(variant)
 
 
+_PACKED = "variant string, layer int, n long, n_zero long, codes binary, positions binary, scale double, zero double"
+
+
+def pack(wt: DataFrame, variant: str) -> DataFrame:
+    """A variant as it is stored, a row a layer: codes of the weights in (row, col) order, the
+    scale and zero point of integer codes, and for pruned weights a bitmap of the positions
+    that are kept, whose values alone are stored."""
+    pruned = make_variant(wt, variant) if variant == "pruned_70" else wt
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        w = pdf.sort_values(["row", "col"])["value"].to_numpy(np.float64)
+        positions, scale, zero = b"", 0.0, 0.0
+        if variant == "float32":
+            codes = w.astype("<f4")
+        elif variant == "float16":
+            codes = w.astype("<f2")
+        elif variant == "int8_dynamic":
+            scale = float(np.abs(w).max()) / 127.0
+            codes = np.clip(np.rint(w / scale), -127, 127).astype(np.int8) if scale else np.zeros(len(w), np.int8)
+        elif variant == "int8_full":
+            low, high = min(float(w.min()), 0.0), max(float(w.max()), 0.0)
+            scale = (high - low) / 255.0
+            if not scale:
+                raise ValueError("zero scale")
+            zero = float(np.rint(-128.0 - low / scale))
+            codes = np.clip(np.rint(w / scale + zero), -128, 127).astype(np.int8)
+        else:
+            positions, codes = np.packbits(w != 0).tobytes(), w[w != 0].astype("<f4")
+        return pd.DataFrame({"variant": [variant], "layer": [int(pdf["layer"].iloc[0])], "n": [len(w)], "n_zero": [int((w == 0).sum())],
+                             "codes": [codes.tobytes()], "positions": [positions], "scale": [scale], "zero": [zero]})
+
+    return pruned.groupBy("layer").applyInPandas(run, _PACKED)  # a group is a layer of the model
+
+
+def unpack(packed: DataFrame) -> DataFrame:
+    """(variant, layer, at, value): the weights that a stored variant stands for."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                if r.variant.startswith("int8"):
+                    w = (np.frombuffer(r.codes, np.int8) - r.zero) * r.scale
+                elif r.variant == "pruned_70":
+                    w = np.zeros(r.n)
+                    w[np.unpackbits(np.frombuffer(r.positions, np.uint8))[:r.n] == 1] = np.frombuffer(r.codes, "<f4")
+                else:
+                    w = np.frombuffer(r.codes, "<f2" if r.variant == "float16" else "<f4").astype(np.float64)
+                yield pd.DataFrame({"variant": r.variant, "layer": np.int32(r.layer), "at": np.arange(r.n), "value": w})
+
+    return packed.mapInPandas(run, "variant string, layer int, at long, value double")
+
+
+def stored_sizes(wt: DataFrame, variants=VARIANTS) -> DataFrame:
+    """(variant, n_weights, n_zero, size_bytes) of the stored columns; scale and zero point
+    count where the codes need them."""
+    rows = None
+    for v in variants:
+        one = pack(wt, v)
+        rows = one if rows is None else rows.unionByName(one)
+    extra = F.when(F.col("variant") == "int8_dynamic", 8).when(F.col("variant") == "int8_full", 16).otherwise(0)
+    size = F.octet_length("codes") + F.octet_length("positions") + extra
+    return rows.groupBy("variant").agg(F.sum("n").alias("n_weights"), F.sum("n_zero").alias("n_zero"),
+                                       F.sum(size).cast("long").alias("size_bytes"))
+
+
 def _matrices(rows) -> List[tuple]:
     layers = sorted({r["layer"] for r in rows})
     out = []
@@ -125,12 +188,8 @@ def report(spark, wt: DataFrame, variants: Dict[str, DataFrame], preds: DataFram
            n_rows: int) -> DataFrame:
     """(variant, accuracy, n_weights, n_zero, size_bytes, size_reduction_pct, accuracy_change_pts, ms_per_row)."""
     acc = V.accuracy(preds, "label", "pred", ["variant"])
-    sizes = []
-    for v, w in variants.items():
-        st = w.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") == 0).alias("z")).first()
-        nbytes = (st["n"] - st["z"]) * 4 if v == "pruned_70" else st["n"] * BYTES[v]
-        sizes.append((v, int(st["n"]), int(st["z"]), int(nbytes), 1000.0 * times.get(v, 0.0) / max(n_rows, 1)))
-    sz = spark.createDataFrame(sizes, "variant string, n_weights long, n_zero long, size_bytes long, ms_per_row double")
+    ms = spark.createDataFrame([(v, 1000.0 * times.get(v, 0.0) / max(n_rows, 1)) for v in variants], "variant string, ms_per_row double")
+    sz = stored_sizes(wt, list(variants)).join(ms, "variant")
     out = acc.join(sz, "variant")
     base = out.where(F.col("variant") == "float32").select(F.col("accuracy").alias("_ba"),
                                                              F.col("size_bytes").alias("_bs")).first()

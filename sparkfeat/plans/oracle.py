@@ -518,6 +518,12 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
     q["engineered_features"] = (
         f"WITH RECURSIVE rl AS ({_rolling_sql(WINDOWS, 'mean')}), rv AS ({_rolling_sql(WINDOWS, 'var')}), "
         f"em AS (WITH RECURSIVE {ema}) SELECT * FROM rl JOIN rv USING (event_id) JOIN em USING (event_id)")
+    q["variant_sizes"] = """WITH d AS (SELECT any_value(len(embedding)) AS dims, max(label) + 1 AS k FROM embeddings),
+l AS (SELECT unnest([(dims + 1) * 16, 17 * 8, 9 * k])::BIGINT AS n FROM d),
+v AS (SELECT 'float32' AS variant, n, 4 * n AS b FROM l UNION ALL SELECT 'float16', n, 2 * n FROM l
+UNION ALL SELECT 'int8_dynamic', n, n + 8 FROM l UNION ALL SELECT 'int8_full', n, n + 16 FROM l
+UNION ALL SELECT 'pruned_70', n, (n + 7) // 8 + 4 * round_even(n * (1 - 0.7::DOUBLE), 0)::BIGINT FROM l)
+SELECT variant, sum(n)::BIGINT AS n_weights, sum(b)::BIGINT AS size_bytes FROM v GROUP BY variant"""
     wide = [f"value_{k}_{w}" for k in ("MA", "VAR", "EMA") for w in WINDOWS]
     base = "(SELECT 8 * (count(event_id) + count(ts) + count(value)) FROM events)"
     q["engineered_size"] = (

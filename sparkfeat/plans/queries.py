@@ -749,6 +749,14 @@ def q_score_variants(spark, sf):
     return VA.score(test, variants, "embedding", "vec_id", "label")
 
 
+def q_variant_sizes(spark, sf):
+    """Weights, zeros and stored bytes of every variant of the small network (C11)."""
+    train, _ = _train_test(spark, sf)
+    model, _ = M.fit_model("mlp_small", train, "embedding", "label")
+    sizes = VA.stored_sizes(VA.weights_table(spark, model))
+    return sizes.select("variant", "n_weights", "size_bytes")
+
+
 def q_variant_report(spark, sf):
     """Size, accuracy and time per variant against float32."""
     _, wt, variants, test = _variant_setup(spark, sf)
