@@ -10,7 +10,9 @@
   once and broadcast to the scorer.
 * scoring is a forward pass in numpy inside ``mapInPandas`` over Arrow
   batches (sigmoid hidden layers, softmax output, as the MLP was trained),
-  one ``variant`` column, no per-row loop.
+  one ``variant`` column, no per-row loop;
+* full int8 can also be scored in whole numbers (``integer_net``), with the ranges of
+  inputs and sums that ``calibrate`` finds in one pass over a calibration table.
 """
 from __future__ import annotations
 
@@ -19,7 +21,7 @@ from typing import Dict, Iterator, List
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import compress as C
@@ -131,15 +133,16 @@ def unpack(packed: DataFrame) -> DataFrame:
 
 def stored_sizes(wt: DataFrame, variants=VARIANTS) -> DataFrame:
     """(variant, n_weights, n_zero, size_bytes) of the stored columns; scale and zero point
-    count where the codes need them."""
+    count where the codes need them, those of the calibrated points included."""
     rows = None
     for v in variants:
         one = pack(wt, v)
         rows = one if rows is None else rows.unionByName(one)
     extra = F.when(F.col("variant") == "int8_dynamic", 8).when(F.col("variant") == "int8_full", 16).otherwise(0)
     size = F.octet_length("codes") + F.octet_length("positions") + extra
+    points = F.when(F.col("variant") == "int8_full", 16 * (F.count("*") + 1)).otherwise(0)
     return rows.groupBy("variant").agg(F.sum("n").alias("n_weights"), F.sum("n_zero").alias("n_zero"),
-                                       F.sum(size).cast("long").alias("size_bytes"))
+                                       (F.sum(size) + points).cast("long").alias("size_bytes"))
 
 
 def _matrices(rows) -> List[tuple]:
@@ -160,10 +163,115 @@ def _matrices(rows) -> List[tuple]:
     return out
 
 
-def score(df: DataFrame, variants: Dict[str, DataFrame], features: str, key: str, label: str) -> DataFrame:
-    """(variant, key, label, pred) for every variant and row."""
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-z))
+
+
+def _affine(low: Column, high: Column) -> tuple[Column, Column]:
+    """Scale and zero point of int8 codes over a range that holds 0; a range of 0 alone has scale 1."""
+    scale = F.when(high > low, (high - low) / 255.0).otherwise(1.0)
+    return scale, F.rint(F.lit(-128.0) - low / scale).cast("long")
+
+
+def input_range(df: DataFrame, features: str) -> DataFrame:
+    """(point 0, low, high, scale, zero) of all values of an array column; nulls and NaN are left out."""
+    x = df.select(F.explode(features).alias("x")).select(F.col("x").cast("double").alias("x")).where(~F.isnan("x"))
+    return _ranges(x.groupBy(F.lit(0).alias("point")).agg(F.min("x").alias("low"), F.max("x").alias("high")))
+
+
+def _ranges(found: DataFrame) -> DataFrame:
+    low, high = F.least("low", F.lit(0.0)), F.greatest("high", F.lit(0.0))
+    scale, zero = _affine(low, high)
+    return found.select("point", low.alias("low"), high.alias("high"), scale.alias("scale"), zero.alias("zero"))
+
+
+def calibrate(df: DataFrame, wt: DataFrame, features: str) -> DataFrame:
+    """(point, low, high, scale, zero): ranges that full int8 needs, over all rows of ``df``.
+
+    Point 0 is the input, point i + 1 the sums of weight layer i.  Each task runs the network
+    over its batches and sends one row a point; rows without features are left out."""
+    bc = df.sparkSession.sparkContext.broadcast(_matrices(wt.collect()))  # bounded by the model size
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        layers = bc.value
+        low, high = np.full(len(layers) + 1, np.inf), np.full(len(layers) + 1, -np.inf)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            h = np.stack(pdf[features].to_numpy()).astype(np.float64)
+            for point in range(len(layers) + 1):
+                z = h if point == 0 else h @ layers[point - 1][0] + layers[point - 1][1]
+                low[point], high[point] = np.fmin(low[point], np.nanmin(z)), np.fmax(high[point], np.nanmax(z))
+                h = z if point == 0 else _sigmoid(z)
+        seen = np.isfinite(low)
+        yield pd.DataFrame({"point": np.arange(len(low), dtype=np.int32)[seen], "low": low[seen], "high": high[seen]})
+
+    found = df.where(F.col(features).isNotNull()).select(features).mapInPandas(run, "point int, low double, high double")
+    return _ranges(found.groupBy("point").agg(F.min("low").alias("low"), F.max("high").alias("high")))
+
+
+def input_codes(x: Column, scale: float, zero: int) -> Column:
+    """int8 codes of an array of values, clamped to the calibrated range."""
+    code = lambda v: F.rint(v.cast("double") / F.lit(scale) + F.lit(zero))
+    return F.transform(x, lambda v: F.least(F.greatest(code(v), F.lit(-128.0)), F.lit(127.0)).cast("tinyint"))
+
+
+class IntegerNet:
+    """A dense network on int8 codes: inputs, weights, sums and hidden units.
+
+    Products of codes less their zero points are summed as whole numbers (in doubles, which
+    hold them exactly and multiply fast), with biases in units of input scale x weight scale.
+    Sums are brought to the int8 codes of their calibrated point; a hidden unit is a lookup of
+    its sum's code in a table of 256 sigmoid codes (scale 1/256, zero point -128)."""
+
+    UNIT = (1.0 / 256.0, -128)
+
+    def __init__(self, layers: List[tuple], points: List[tuple]):
+        """layers: (weight codes, bias codes, scale, zero); points: (scale, zero)."""
+        if len(points) != len(layers) + 1:
+            raise ValueError(f"{len(layers)} layers need {len(layers) + 1} calibrated points, got {len(points)}")
+        self.layers, self.points = layers, points
+
+    @staticmethod
+    def _code(x: np.ndarray, scale: float, zero: int) -> np.ndarray:
+        return np.clip(np.rint(x / scale + zero), -128, 127).astype(np.int8)
+
+    def codes(self, X: np.ndarray) -> np.ndarray:
+        """int8 codes of the output sums."""
+        scale, zero = self.points[0]
+        h = self._code(X, scale, zero)
+        for i, (W, b, w_scale, w_zero) in enumerate(self.layers):
+            bias = np.rint((b - w_zero) / scale)
+            sums = (h.astype(np.float64) - zero) @ (W - w_zero) + bias
+            z_scale, z_zero = self.points[i + 1]
+            h = np.clip(np.rint(sums * (scale * w_scale / z_scale)) + z_zero, -128, 127).astype(np.int8)
+            if i < len(self.layers) - 1:
+                scale, zero = self.UNIT
+                unit = self._code(_sigmoid((np.arange(-128, 128) - z_zero) * z_scale), scale, zero)
+                h = unit[h.astype(np.int16) + 128]
+        return h
+
+
+def integer_net(wt: DataFrame, calibration: DataFrame) -> IntegerNet:
+    """The full int8 network from its stored codes and the calibrated points (both bounded by
+    the model)."""
+    shapes = {r["layer"]: (r["rows"], r["cols"]) for r in wt.groupBy("layer").agg(
+        (F.max("row") + 1).alias("rows"), (F.max("col") + 1).alias("cols")).collect()}
+    layers = []
+    for r in pack(wt, "int8_full").orderBy("layer").collect():
+        n_out, n_in = shapes[r["layer"]]
+        # codes lie by (row, col), the bias (col -1) first in its row
+        codes = np.frombuffer(r["codes"], np.int8).astype(np.float64).reshape(n_out, n_in + 1)
+        layers.append((codes[:, 1:].T.copy(), codes[:, 0].copy(), r["scale"], r["zero"]))
+    return IntegerNet(layers, [(r["scale"], r["zero"]) for r in calibration.orderBy("point").collect()])
+
+
+def score(df: DataFrame, variants: Dict[str, DataFrame | IntegerNet], features: str, key: str, label: str) -> DataFrame:
+    """(variant, key, label, pred) for every variant and row; a variant is a weights table or
+    a network in whole numbers."""
     spark = df.sparkSession
-    mats = {v: _matrices(w.collect()) for v, w in variants.items()}  # bounded by the model size
+    whole_numbers = {v: isinstance(w, IntegerNet) for v, w in variants.items()}
+    mats = {v: w if whole_numbers[v] else _matrices(w.collect()) for v, w in variants.items()}  # bounded by the model size
     bc = spark.sparkContext.broadcast(mats)
 
     def forward(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,10 +281,11 @@ def score(df: DataFrame, variants: Dict[str, DataFrame], features: str, key: str
                 continue
             X = np.stack(pdf[features].to_numpy()).astype(np.float64)
             for v, layers in ms.items():
-                h = X
-                for i, (W, b) in enumerate(layers):
+                whole = whole_numbers[v]
+                h = layers.codes(X) if whole else X
+                for i, (W, b) in enumerate([] if whole else layers):
                     z = h @ W + b
-                    h = 1.0 / (1.0 + np.exp(-z)) if i < len(layers) - 1 else z
+                    h = _sigmoid(z) if i < len(layers) - 1 else z
                 yield pd.DataFrame({"variant": v, key: pdf[key].to_numpy(), label: pdf[label].to_numpy(),
                                     "pred": np.argmax(h, axis=1).astype(np.int32)})
 

@@ -522,8 +522,17 @@ UNION ALL SELECT 'weighted avg', {S('sum(precision * support) / sum(support)')},
 l AS (SELECT unnest([(dims + 1) * 16, 17 * 8, 9 * k])::BIGINT AS n FROM d),
 v AS (SELECT 'float32' AS variant, n, 4 * n AS b FROM l UNION ALL SELECT 'float16', n, 2 * n FROM l
 UNION ALL SELECT 'int8_dynamic', n, n + 8 FROM l UNION ALL SELECT 'int8_full', n, n + 16 FROM l
-UNION ALL SELECT 'pruned_70', n, (n + 7) // 8 + 4 * round_even(n * (1 - 0.7::DOUBLE), 0)::BIGINT FROM l)
+UNION ALL SELECT 'int8_full', 0, 16 * 4 UNION ALL SELECT 'pruned_70', n, (n + 7) // 8 + 4 * round_even(n * (1 - 0.7::DOUBLE), 0)::BIGINT FROM l)
 SELECT variant, sum(n)::BIGINT AS n_weights, sum(b)::BIGINT AS size_bytes FROM v GROUP BY variant"""
+    q["int8_inputs"] = f"""WITH {EMB_SPLIT},
+r AS (SELECT least(min(x), 0) AS low, greatest(max(x), 0) AS high FROM emb_long JOIN emb_s USING (vec_id) WHERE split = 'train'),
+p AS (SELECT *, round_even(-128 - low / scale, 0) AS zero FROM (
+    SELECT low, CASE WHEN high > low THEN (high - low) / 255.0::DOUBLE ELSE 1.0::DOUBLE END AS scale FROM r)),
+c AS (SELECT vec_id, least(greatest(round_even(x / scale + zero, 0), -128), 127)::BIGINT AS code
+      FROM emb_long JOIN emb_s USING (vec_id), p WHERE split = 'test')
+SELECT vec_id, sum(code)::BIGINT AS code_sum, count(*) FILTER (code IN (-128, 127)) AS n_at_end FROM c GROUP BY vec_id"""
+    q["bundle_roundtrip"] = ("SELECT CAST(row_number() OVER (ORDER BY class_name) - 1 AS INTEGER) AS class_id, class_name, n, n AS n_equal "
+                             "FROM (SELECT l_returnflag AS class_name, count(*) AS n FROM lineitem GROUP BY l_returnflag)")
     wide = [f"value_{k}_{w}" for k in ("MA", "VAR", "EMA") for w in WINDOWS]
     base = "(SELECT 8 * (count(event_id) + count(ts) + count(value)) FROM events)"
     q["engineered_size"] = (

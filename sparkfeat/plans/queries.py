@@ -527,6 +527,7 @@ def registry() -> Dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # ------------------------------------------------------------------ model zoo (rows-only checks)
 from ..operators import models as M  # noqa: E402
+from ..sources import bundle as B  # noqa: E402
 
 
 def _train_test(spark, sf):
@@ -668,6 +669,18 @@ def q_model_roundtrip(spark, sf):
     return out
 
 
+def q_bundle_roundtrip(spark, sf):
+    """A classifier of the return flag saved with its label dictionary and scaler, loaded and
+    applied to the raw table: rows and equal answers a class (S7, E2, P11)."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = t(spark, sf, "lineitem").select("l_returnflag", *cols)
+    bundle = B.fit_bundle(li, cols, "l_returnflag", "naive_bayes")
+    loaded = B.ModelBundle.load(spark, bundle.save(scratch_path(spark, "bundle")))
+    both = loaded.transform(bundle.transform(li, "was"), "now")
+    per = both.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.col("was") == F.col("now")).alias("n_equal"))
+    return per.join(loaded.labels.table, F.col("l_returnflag") == F.col("class_name")).select("class_id", "class_name", "n", "n_equal")
+
+
 def q_model_size(spark, sf):
     """Stored size of a saved model folder (S8) and its fit against device flash."""
     train, _ = _train_test(spark, sf)
@@ -734,7 +747,8 @@ def _variant_setup(spark, sf):
     train, test = _train_test(spark, sf)
     model, _ = M.fit_model("mlp_small", train, "embedding", "label")
     wt = VA.weights_table(spark, model).cache()
-    variants = {v: VA.make_variant(wt, v).cache() for v in VA.VARIANTS}
+    variants = {v: VA.make_variant(wt, v).cache() for v in VA.VARIANTS if v != "int8_full"}
+    variants["int8_full"] = VA.integer_net(wt, VA.calibrate(train, wt, "embedding"))
     return model, wt, variants, test
 
 
@@ -749,6 +763,17 @@ def q_score_variants(spark, sf):
     return VA.score(test, variants, "embedding", "vec_id", "label")
 
 
+def q_int8_inputs(spark, sf):
+    """Test vectors as int8 codes of the range calibrated on the train split (C10): sum of the
+    codes and how many lie at the ends of the range."""
+    train, test = _train_test(spark, sf)
+    r = VA.input_range(train, "embedding").first()
+    codes = test.select("vec_id", VA.input_codes(F.col("embedding"), r["scale"], r["zero"]).alias("codes"))
+    total = F.aggregate("codes", F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+    at_end = F.size(F.filter("codes", lambda x: (x == -128) | (x == 127))).cast("long")
+    return codes.select("vec_id", total.alias("code_sum"), at_end.alias("n_at_end"))
+
+
 def q_variant_sizes(spark, sf):
     """Weights, zeros and stored bytes of every variant of the small network (C11)."""
     train, _ = _train_test(spark, sf)
