@@ -14,8 +14,9 @@ where an equal, larger payload was seen), SHA-1 block and payload digests (base
 
 Archives are written with Spark's text writer (a record a value, the blank lines after a
 record as the line separator), so they go to any file system Spark reaches, and read with
-its binary-file reader, one archive a row; a file is one shuffle partition, whose size
-adaptive execution bounds.  ``read_warc`` parses by Content-Length and checks digests.
+its binary-file reader, one archive a row.  A file ends after a number of records that the
+mean and largest payload give (``records_a_file``): about ``ARCHIVE_BYTES`` and surely less
+than ``LARGEST_ARCHIVE`` unzipped, however large a partition is.  ``read_warc`` parses by Content-Length and checks digests.
 
 Which records are revisits: payloads of at least ``REVISIT_BYTES`` bytes are grouped by
 digest; the largest page id is the response.  Records are dealt by digest for that, small
@@ -43,6 +44,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 REVISIT_BYTES = 1000
+ARCHIVE_BYTES = 256 << 20
+LARGEST_ARCHIVE = 1 << 30  # an archive is read as one value, which must stay below 2 GiB
+HEAD_BYTES = 1_500  # room for the headers of a record
 # fixed values: field names of the two ARC versions
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -222,10 +226,18 @@ def arc_to_warc(archives: DataFrame) -> DataFrame:
     return archives.select("archive", "refers").mapInArrow(run, "record binary")
 
 
-def write_warc(records: DataFrame, path: str) -> str:
-    """Archives of the records, one a partition, gzip-compressed."""
+def records_a_file(payload_bytes: Column, pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> int:
+    """Records for an archive of about ``archive_bytes`` unzipped: by the mean size, and few
+    enough that even the largest records together stay below ``LARGEST_ARCHIVE``."""
+    size = F.coalesce(payload_bytes, F.lit(0)).cast("double") + HEAD_BYTES
+    mean, most = pages.agg(F.avg(size), F.max(size)).first()
+    return max(1, int(min(archive_bytes // (mean or 1), LARGEST_ARCHIVE // (most or 1))))
+
+
+def write_warc(records: DataFrame, path: str, per_file: int = 0) -> str:
+    """Gzip archives of the records, of ``per_file`` records at most (0: one a partition)."""
     (records.select(F.col("record").cast("string").alias("value")).write
-     .option("lineSep", END).option("compression", "gzip").text(path))
+     .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path))
     return path
 
 
@@ -262,8 +274,9 @@ def read_warc(spark, path: str) -> DataFrame:
     return files.mapInArrow(run, RESULT)
 
 
-def archive_pages(pages: DataFrame, path: str) -> str:
-    """Write a WARC record per page through ARC archives; equal payloads become revisits."""
+def archive_pages(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> str:
+    """Write a WARC record per page through ARC archives; equal payloads become revisits.
+    A WARC file holds about ``archive_bytes``, whatever the partitions hold."""
     html = F.col("html").cast("string").cast("binary")
     page = F.col("page_id").cast("long")
     rows = pages.select(page.alias("page_id"), safe_uri(F.col("url").cast("string"), page).alias("uri"),
@@ -276,7 +289,7 @@ def archive_pages(pages: DataFrame, path: str) -> str:
     rows = rows.join(first, "key", "left").withColumn("refers", F.when(
         F.col("first").isNotNull() & ~F.col("first.page_id").eqNullSafe(F.col("page_id")),
         F.struct(F.col("first.uri").alias("uri"), F.col("first.date").alias("date"), F.col("first.page_id").alias("page_id"))))
-    return write_warc(arc_to_warc(as_arc(rows)), path)
+    return write_warc(arc_to_warc(as_arc(rows)), path, records_a_file(F.octet_length(html), pages, archive_bytes))
 
 
 def op2_arc_to_warc(spark, sf_dir):

@@ -67,6 +67,25 @@ def test_archives_are_plain_warc_files(spark, tmp_path):
     assert warc.read_warc(spark, path).count() == 5
 
 
+def test_archives_end_by_bytes(spark, tmp_path):
+    size = lambda i: 50_000 if i % 40 == 0 else 2_000 + i
+    pages = spark.createDataFrame([(i, f"http://a/{i}", chr(97 + i % 26) * size(i)) for i in range(400)],
+                                  "page_id long, url string, html string").coalesce(1)
+    limit = 100_000
+    path = warc.archive_pages(pages, str(tmp_path / "w"), limit)
+    files = [zlib.decompress(f.read_bytes(), 31) for f in (tmp_path / "w").glob("part-*.gz")]
+    per_file = warc.records_a_file(warc.F.octet_length("html"), pages, limit)
+    total = sum(map(size, range(400)))
+    assert len(files) >= total // limit and per_file == limit // ((total + 400 * warc.HEAD_BYTES) / 400)
+    assert max(len(list(warc.parse_warc(f))) for f in files) <= per_file
+    assert warc.read_warc(spark, path).agg({"payload_bytes": "sum"}).first()[0] == total
+    # the largest record bounds an archive as well
+    huge = spark.createDataFrame([(1,)], "x int").select(warc.F.lit(10**9).alias("n"))
+    assert warc.records_a_file(warc.F.col("n"), huge) == 1
+    none = spark.createDataFrame([], "n int")
+    assert warc.records_a_file(warc.F.col("n"), none) >= 1
+
+
 def test_empty_table(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(spark, warc.archive_pages(none, str(tmp_path / "w"))).count() == 0
