@@ -11,8 +11,9 @@ lower-case letter and a digit, if owner-specific and outside the base spans.
 
 Every candidate value (the assigned value, the key, the digits, the token) is hashed, and the
 hashes are aggregated by distinct repositories and owners over the whole table.  A value that
-more than ``max_owners`` owners hold is a widely copied example; one that stays with its owner
-looks live.
+more than ``max_owners`` owners or more than ``max_repos`` repositories hold is a widely copied
+example; one that stays with its owner, in few repositories, looks live.  By default the owner
+is ``source`` and a repository a (``source``, ``lang``), stand-ins in a table without either.
 
 Positions come from native functions: ``regexp_extract_all`` gives the matches, ``split`` by
 the same pattern the text between them, and a running sum over both the code-point starts.
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .common import materialize, row_key
 
 MAX_OWNERS = 1
+MAX_REPOS = 3
 # fixed values: the patterns of the base kinds (letters of the key words in either case)
 WORDS = ("password", "passwd", "secret", "token", "api_?key")
 _EITHER = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in WORDS)
@@ -86,13 +88,15 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_cols=("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
-    """A row for each row of ``docs``: id, counts by kind, base_sha256, spans, live, copied."""
+         repo_cols=("source", "lang"), max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """A row for each row of ``docs``: id, counts by kind, base_sha256, spans, live, copied, and
+    the most owners and repositories that a value of its spans has (0 without spans)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     owner = F.col(owner_col).cast("string")
     row = row_key(F.col(id_col), text, owner, *(F.col(c) for c in repo_cols))
     spans = candidates(docs, text, row, F.struct(*(F.col(c) for c in repo_cols)), owner)
-    spans = spans.join(ownership(spans), "hash").withColumn("live", F.col("n_owners") <= max_owners)
+    spans = spans.join(ownership(spans), "hash").withColumn(
+        "live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
     # a token inside a base span of its row adds nothing: the base spans' furthest end so far decides
     before = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,7 +109,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     name = F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("stop").cast("string"))
     # the spans of one text: as many as that text holds
     listed = spans.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "rank", name.alias("name"), "live"))).alias("s"))
+        F.sort_array(F.collect_list(F.struct("start", "rank", name.alias("name"), "live"))).alias("s"),
+        F.max("n_owners").alias("n_owners"), F.max("n_repos").alias("n_repos"))
     joined = lambda x: F.array_join(F.transform(x, lambda y: y["name"]), ",")
     count = lambda f: F.size(F.filter("s", f)).cast("long")
     ranked = lambda i: count(lambda y: y["rank"] == i)
@@ -113,9 +118,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     listed = materialize(listed.select(
         "row", *(ranked(i).alias(f"n_{k}") for i, k in enumerate(kinds)),
         F.sha2(joined(F.filter("s", lambda y: y["rank"] < 3)), 256).alias("base_sha256"), joined(F.col("s")).alias("spans"),
-        count(lambda y: y["live"]).alias("n_live"), count(lambda y: ~y["live"]).alias("n_copied")), "secret-rows")
+        count(lambda y: y["live"]).alias("n_live"), count(lambda y: ~y["live"]).alias("n_copied"), "n_owners", "n_repos"), "secret-rows")
     rows = docs.select(F.col(id_col).alias("id"), row.alias("row"))
-    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (*(f"n_{k}" for k in kinds), "n_live", "n_copied")]
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (*(f"n_{k}" for k in kinds), "n_live", "n_copied", "n_owners", "n_repos")]
     return rows.join(listed, "row", "left").select(
         "id", *zero, F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"))
@@ -124,7 +129,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 def op4_secret_ownership(spark, sf_dir):
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.withColumnRenamed("id", "doc_id").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_token", "n_live", "n_copied")
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_token", "n_live", "n_copied",
+        "n_owners", "n_repos")
 
 
 def _oracle() -> str:
@@ -144,19 +150,22 @@ y AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, k
 s AS (SELECT doc_id, source, lang, kind, rank, stop - length(hit) AS start, stop, sha256(val) AS hash FROM y
       WHERE length(val) >= CASE kind {least} END
         AND (kind <> 'token' OR (regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[0-9]')))),
-o AS (SELECT hash, count(DISTINCT coalesce(source, '\\x00')) AS n_owners FROM s GROUP BY hash),
-t AS (SELECT s.*, n_owners <= {MAX_OWNERS} AS live FROM s JOIN o USING (hash)),
+o AS (SELECT hash, count(DISTINCT coalesce(source, '\\x00')) AS n_owners,
+        count(DISTINCT concat(coalesce(hex(source), '-'), ':', coalesce(hex(lang), '-'))) AS n_repos FROM s GROUP BY hash),
+t AS (SELECT s.*, n_owners, n_repos, n_owners <= {MAX_OWNERS} AND n_repos <= {MAX_REPOS} AS live FROM s JOIN o USING (hash)),
 k AS (SELECT * FROM t WHERE kind <> 'token' OR (live AND NOT EXISTS (
         SELECT 1 FROM t b WHERE b.doc_id = t.doc_id AND b.kind <> 'token' AND b.start < t.stop AND b.stop > t.start))),
 n AS (SELECT *, concat(kind, ':', start, ':', stop) AS name FROM k),
 g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
         count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'token') AS n_token,
         count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied,
+        max(n_owners) AS n_owners, max(n_repos) AS n_repos,
         sha256(coalesce(string_agg(name, ',' ORDER BY start, rank) FILTER (kind <> 'token'), '')) AS base_sha256,
         string_agg(name, ',' ORDER BY start, rank) AS spans FROM n GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   coalesce(base_sha256, sha256('')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_token, 0) AS n_token,
-  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied,
+  coalesce(n_owners, 0) AS n_owners, coalesce(n_repos, 0) AS n_repos
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 

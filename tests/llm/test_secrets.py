@@ -54,6 +54,19 @@ def test_ownership_decides(spark):
     assert loose[7]["spans"] == f"token:4:{4 + len(LONG)}"
 
 
+def test_repositories_decide_too(spark):
+    value = "Zx9" * 10
+    rows = [doc(i, f"{i} see {value} end", "one", lang) for i, lang in enumerate(["en", "fr", "de", "es", None])]
+    rows += [doc(50 + i, f"{i} see {value}q end", "two", lang) for i, lang in enumerate(["en", "fr", None])] + [doc(90, "none", "two")]
+    got = {r["id"]: r for r in secret_scan.scan(frame(spark, rows)).collect()}
+    # one owner in five repositories is a copied example, in three it looks live
+    assert all((got[i]["spans"], got[i]["n_owners"], got[i]["n_repos"]) == ("", 0, 0) for i in range(5))
+    assert all((got[i]["n_live"], got[i]["n_owners"], got[i]["n_repos"]) == (1, 1, 3) for i in (50, 51, 52))
+    assert (got[90]["n_owners"], got[90]["n_repos"]) == (0, 0)
+    loose = {r["id"]: r for r in secret_scan.scan(frame(spark, rows), max_repos=5).collect()}
+    assert loose[0]["n_repos"] == 5 and loose[0]["n_live"] == 1
+
+
 def test_no_python_on_the_main_path(spark):
     plan = secret_scan.scan(frame(spark, ROWS))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapIn", plan)
