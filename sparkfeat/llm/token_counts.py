@@ -16,7 +16,8 @@ can be stored with the text and edited later without encoding the text again.
 Defined results: null text is kept as null with no runs and 0 tokens, an edit of it inserts
 into an empty text; positions and lengths beyond the text are cut to it, negative ones are
 0; null parts of an edit are 0 or empty, a null list is no edit; repeated rows are separate;
-an empty table gives an empty result; other columns pass through.
+an empty table gives an empty result; other columns pass through, one with a name that the
+operator gives (in any case of letters) under the next free name with ``_`` in front.
 """
 from __future__ import annotations
 
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 RUN = 256  # characters of a run at least, up to the next safe cut
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pre-token pattern of the vocabulary
@@ -167,8 +170,21 @@ def vocabulary_bytes(spark: SparkSession, path: str = VOCABULARY):
     return spark.sparkContext.broadcast(bytes(rows[0]["content"]))
 
 
+def _aside(df: DataFrame, names: list[str], used: list[str]) -> DataFrame:
+    """``df`` with columns called like one of ``names`` under a free name."""
+    taken = {n.lower() for n in names}
+    for c in used:
+        if c.lower() in taken:
+            raise ValueError(f"column {c} has the name of a result")
+    for c in df.columns:
+        if c.lower() in taken:
+            df = df.withColumnRenamed(c, fresh(df, f"_{c}"))
+    return df
+
+
 def build_trees(docs: DataFrame, vocabulary, text_col: str = "text", run: int = RUN) -> DataFrame:
     """``docs`` with its trees; ``vocabulary``: what ``vocabulary_bytes`` gives."""
+    docs = _aside(docs, [n for n, _, _ in TREE], [text_col])
     schema = T.StructType(docs.schema.fields + [T.StructField(n, T._parse_datatype_string(t)) for n, t, _ in TREE])
 
     def build(batches):
@@ -193,6 +209,7 @@ def apply_edits(trees: DataFrame, vocabulary, edits_col: str = "edits", text_col
                 keep_text: bool = True) -> DataFrame:
     """Apply each row's edits in order: text and tree columns become those of the edited
     text; ``edited_tokens`` is its count, ``encoded_*`` what had to be encoded again."""
+    trees = _aside(trees, [n for n, _ in CHANGES], [text_col, edits_col])
     fields = [f for f in trees.schema.fields if f.name != edits_col and (keep_text or f.name not in (
         text_col, "run_chars", "run_tokens"))]
     schema = T.StructType(fields + [T.StructField(n, T._parse_datatype_string(t)) for n, t in CHANGES])

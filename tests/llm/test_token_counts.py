@@ -75,3 +75,17 @@ def test_empty_table(spark):
     docs = frame(spark, []).withColumn("edits", t.F.lit(None).cast(t.EDITS))
     voc = t.vocabulary_bytes(spark)
     assert t.apply_edits(t.build_trees(docs, voc), voc).count() == 0
+
+
+def test_columns_with_the_names_of_results(spark):
+    docs = spark.createDataFrame([(1, "some text here", "mine", 7, [(0, 4, "any")])],
+                                 f"doc_id long, text string, N_tokens string, edited_chars int, edits {t.EDITS}")
+    voc = t.vocabulary_bytes(spark)
+    trees = t.build_trees(docs, voc)
+    got = t.apply_edits(trees, voc)
+    assert trees.columns == ["doc_id", "text", "_N_tokens", "edited_chars", "edits", "run_chars", "run_tokens", "n_tokens"]
+    r = got.first()
+    assert (r["_N_tokens"], r["_edited_chars"], r["text"], r["edited_chars"]) == ("mine", 7, "any text here", 13)
+    assert (r["n_tokens"], r["edited_tokens"]) == (COUNT("some text here"), COUNT("any text here"))
+    with pytest.raises(ValueError, match="name of a result"):
+        t.build_trees(docs, voc, "N_tokens")
