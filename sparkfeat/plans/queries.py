@@ -531,7 +531,8 @@ from ..sources import bundle as B  # noqa: E402
 
 
 def _train_test(spark, sf):
-    sp = _emb_split(spark, sf).cache()
+    # written once: nothing to unpersist when a query hands its result on
+    sp = materialize(_emb_split(spark, sf), "train-test")
     return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
 
 
@@ -698,7 +699,7 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomFore
 def _cv_frames(spark, sf, folds: int):
     train, test = _train_test(spark, sf)
     tr = L.stratified_folds(train.drop("split"), "label", "vec_id", folds, 42)
-    return (M.with_vectors(tr, "embedding", "features", "label").cache(),
+    return (materialize(M.with_vectors(tr, "embedding", "features", "label"), "fold-vectors"),
             M.with_vectors(test, "embedding", "features", "label"))
 
 
@@ -746,8 +747,8 @@ from ..operators import variants as VA  # noqa: E402
 def _variant_setup(spark, sf):
     train, test = _train_test(spark, sf)
     model, _ = M.fit_model("mlp_small", train, "embedding", "label")
-    wt = VA.weights_table(spark, model).cache()
-    variants = {v: VA.make_variant(wt, v).cache() for v in VA.VARIANTS if v != "int8_full"}
+    wt = VA.weights_table(spark, model)  # a local relation, no more rows than the model has weights
+    variants = {v: VA.make_variant(wt, v) for v in VA.VARIANTS if v != "int8_full"}
     variants["int8_full"] = VA.integer_net(wt, VA.calibrate(train, wt, "embedding"))
     return model, wt, variants, test
 
