@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import materialize, wide_key
 
 MAX_OWNERS = 1
 MAX_REPOS = 3
@@ -93,7 +93,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     the most owners and repositories that a value of its spans has (0 without spans)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     owner = F.col(owner_col).cast("string")
-    row = row_key(F.col(id_col), text, owner, *(F.col(c) for c in repo_cols))
+    row = wide_key(F.col(id_col), text, owner, *(F.col(c) for c in repo_cols))
     spans = candidates(docs, text, row, F.struct(*(F.col(c) for c in repo_cols)), owner)
     spans = spans.join(ownership(spans), "hash").withColumn(
         "live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
