@@ -1,8 +1,8 @@
 import random
 
-import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sparkfeat.llm import decontam
 
@@ -71,7 +71,7 @@ def found(rows):
 def test_against_brute_force(spark):
     rows = [r for r in planted() if r[1] is None or len(r[1]) < 100_000]
     items = spark.createDataFrame([(*x, "clash") for x in ITEMS], "item_id long, text string, matches string")
-    for block in (decontam.BLOCK_WORDS, 1):  # all items at once; an item a block
+    for block in (decontam.BLOCK_WORDS, 1):  # all items with a text at once; an item a block
         got = decontam.with_matches(frame(spark, rows), items, "m", block_words=block).select("doc_id", "m").collect()
         pairs = {(r["doc_id"], m["item"]) for r in got for m in r["m"]}
         assert pairs == set(found(rows))
@@ -100,8 +100,36 @@ def test_empty_sides(spark):
     assert decontam.decontaminate(frame(spark, []), some).count() == 0
 
 
-def test_position_of_a_match():
-    seqs = [next(decontam.words(pa.array([prose(50, 40)])))[1]]
-    block = decontam.Items([9], seqs, 75, 100)
-    h, off = next(decontam.words(pa.array([prose(7, 25) + " " + prose(50, 40) + " tail"])))[1:]
-    assert block.matches(h, off)[0] == [{"item": 9, "distance": 0, "start": 25, "stop": 65}]
+def test_position_of_a_match(spark):
+    items = spark.createDataFrame([(9, prose(50, 40))], "item_id int, text string")
+    text = prose(7, 25) + " " + prose(50, 40) + " tail"
+    got = decontam.with_matches(frame(spark, [doc(1, text), doc(1, text)]), items, "m").collect()
+    assert [[m.asDict() for m in r["m"]] for r in got] == 2 * [[{"item": 9, "distance": 0, "start": 25, "stop": 65}]]
+
+
+def test_places_of_an_item():
+    assert list(decontam.places([5, 6, 200], 210, 20, 5)) == [(0, 31), (195, 210)]
+    assert list(decontam.places([-3], 10, 8, 2)) == [(0, 7)]
+    assert list(decontam.places([], 10, 8, 2)) == []
+
+
+def test_names_that_clash(spark):
+    """Columns named as the operator's own, and a full bitmap, change nothing."""
+    clash = ["t1", "t2", "_t1", "_maybe", "words", "s1", "item", "pos", "a.b"]
+    docs = frame(spark, [doc(1, prose(50, 40)), doc(2, prose(54, 40)), doc(2, prose(54, 40))])
+    for i, name in enumerate(clash):
+        docs = docs.withColumn(name, F.lit(i))
+    items = spark.createDataFrame([(1, prose(50, 40), 7, 8)], "item_id long, text string, s1 int, piece int")
+    got = decontam.decontaminate(docs, items)
+    assert got.columns == docs.columns and [r["doc_id"] for r in got.collect()] == [2, 2]
+    got = decontam.with_matches(docs, items, "m")
+    assert got.columns == [*docs.columns, "m"] and sorted((r["doc_id"], len(r["m"])) for r in got.collect()) == [
+        (1, 1), (2, 0), (2, 0)]
+
+
+def test_a_dense_bitmap_loses_nothing(spark, monkeypatch):
+    rows = [r for r in planted() if r[1] is None or len(r[1]) < 100_000]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    monkeypatch.setattr(decontam, "BITS", (7, 7))
+    got = decontam.with_matches(frame(spark, rows), items, "m").select("doc_id", "m").collect()
+    assert {(r["doc_id"], m["item"]) for r in got for m in r["m"]} == set(found(rows))
