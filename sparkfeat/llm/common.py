@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..plans.order import plan_bytes
 from ..session import materialize
 
-__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "running_sum", "release", "text_batches", "trimmed", "bitmap", "maybe"]
+__all__ = ["materialize", "parts_for", "fresh", "row_key", "wide_key", "shared_keys", "renamed", "running_sum", "release", "text_batches", "trimmed", "bitmap", "maybe"]
 
 BITMAP_WORDS = 1 << 17  # rows of a bitmap table at most: 1 MB of bits, safe to broadcast
 
@@ -43,6 +43,17 @@ def wide_key(*columns: Column) -> Column:
     return F.struct(*(row_key(F.lit(seed), *columns).alias(f"h{seed}") for seed in (1, 2)))
 
 
+def shared_keys(classes: DataFrame, key: str, low: str, high: str) -> list[int]:
+    """64-bit keys that different values share: those whose least and greatest second key
+    differ.  Of n values about n * n / 2**65 share one, some hundreds of 1e11."""
+    return [r[0] for r in classes.where(F.col(low) != F.col(high)).select(key).collect()]
+
+
+def renamed(rows: DataFrame, key: str, second: str, shared: list[int]) -> DataFrame:
+    """``rows`` whose shared keys give way to their second keys."""
+    return rows.withColumn(key, F.when(F.col(key).isin(shared), F.col(second)).otherwise(F.col(key)))
+
+
 def running_sum(rows: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """``rows`` (written once) with the sum of ``value`` over the rows of the same keys before
     each, in an order that should be total.  Range partitions are summed first, so neither a

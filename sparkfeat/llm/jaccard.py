@@ -31,7 +31,8 @@ blocks of bounded rows and bytes, where intersection sizes of all pairs come fro
 product over the shingles they share.  Exact links leave as spanning edges, whose components
 are the result.
 
-Equal sets are one node, so copies are never expanded.  Defined results: null or
+Equal sets are one node, so copies are never expanded.  A node's name is a 64-bit key of its
+set; where a second key shows that different sets share a name, they go by the second key.  Defined results: null or
 wordless text has size 0 and links with nothing; null ids are kept (they take the
 component's smallest non-null id); repeated rows give repeated rows; an empty table
 gives an empty result.  Only the two named columns are read.
@@ -47,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, fresh, materialize, maybe, parts_for, row_key, trimmed
+from .common import bitmap, fresh, materialize, maybe, parts_for, renamed, shared_keys, trimmed, wide_key
 from .components import connected_components
 from .textkit import mix, shingle_sets
 
@@ -112,6 +113,24 @@ def set_key(u: np.ndarray) -> int:
     return (key ^ key >> 29) - (2**64 if key >= 2**63 else 0)
 
 
+class Names:
+    """Names of sets: their keys (the lowest ``bits`` of them; fewer than 64 are for tests), but
+    a second key where different sets share the first."""
+
+    def __init__(self, bits: int = 64, shared=()):
+        self.mask, self.shared = (1 << bits) - 1 if bits < 64 else -1, frozenset(shared)
+
+    def key(self, u: np.ndarray) -> int:
+        return set_key(u) & self.mask
+
+    def second(self, u: np.ndarray) -> int:
+        return set_key(mix(u, 21))
+
+    def __call__(self, u: np.ndarray) -> int:
+        key = self.key(u)
+        return self.second(u) if key in self.shared else key
+
+
 def parity(u: np.ndarray) -> bytes:
     """Parities of the set's counts in about 2 buckets an element (a power of two)."""
     bits = max(64, 1 << math.ceil(math.log2(2 * len(u)))) if len(u) else 64
@@ -153,18 +172,21 @@ def _subsets(content: np.ndarray, last: np.ndarray | None, k: int, t: int, tag:
     return mix(out, 11)
 
 
-def _profile(batches):
-    """Per row: the row's columns, set size, set key and parity bitmap."""
-    for batch in batches:
-        n, key, par = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), [None] * len(batch)
-        for i, u in shingle_sets(batch.column(0)):
-            n[i] = len(u)
-            if len(u):
-                key[i] = set_key(u)
-                par[i] = parity(u)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], pa.array(n), pa.array(key), pa.array(par, pa.binary())],
-            ["id", "tkey", "row", "n", "node", "parity"])
+def _profile(names: Names):
+    """Per row: the row's columns, set size, both keys of the set and parity bitmap."""
+    def run(batches):
+        for batch in batches:
+            n, key, second = (np.zeros(len(batch), np.int64) for _ in range(3))
+            par = [None] * len(batch)
+            for i, u in shingle_sets(batch.column(0)):
+                n[i] = len(u)
+                if len(u):
+                    key[i], second[i] = names.key(u), names.second(u)
+                    par[i] = parity(u)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(n), pa.array(key), pa.array(second), pa.array(par, pa.binary())],
+                ["id", "tkey", "row", "n", "node", "second", "parity"])
+    return run
 
 
 def _frequent(docs: DataFrame) -> np.ndarray | None:
@@ -188,7 +210,7 @@ def _frequent(docs: DataFrame) -> np.ndarray | None:
     return bits
 
 
-def _pack(bands: Bands, hot, buckets: int):
+def _pack(bands: Bands, hot, buckets: int, names: Names):
     """Texts -> rows (bucket, signatures, set positions, sets), many sets to a row."""
     def flush(sigs, owners, nodes):
         sig, own, node = np.concatenate(sigs), np.concatenate(owners), np.array(nodes, np.int64)
@@ -220,7 +242,7 @@ def _pack(bands: Bands, hot, buckets: int):
                 s = signatures(u, bands, hot.value if hot else None)
                 sigs.append(s)
                 owners.append(np.full(len(s), len(nodes), np.int64))
-                nodes.append(set_key(u))
+                nodes.append(names(u))
                 size += len(s)
                 if size >= FLUSH:
                     yield flush(sigs, owners, nodes)
@@ -269,14 +291,16 @@ def _stars(batches):
             ["gid", "a", "b"])
 
 
-def _sets(batches):
-    for batch in batches:
-        seen: dict[int, bytes] = {}
-        for _, u in shingle_sets(batch.column(0)):
-            if len(u) and (k := set_key(u)) not in seen:
-                seen[k] = u.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.binary())], ["node", "set"])
+def _sets(names: Names):
+    def run(batches):
+        for batch in batches:
+            seen: dict[int, bytes] = {}
+            for _, u in shingle_sets(batch.column(0)):
+                if len(u) and (k := names(u)) not in seen:
+                    seen[k] = u.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.binary())], ["node", "set"])
+    return run
 
 
 def _apart(par: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -458,7 +482,7 @@ def _in_blocks(rows: DataFrame, of: Column) -> DataFrame:
             .drop("_of", "_own", "_other"))
 
 
-def _exact_links(links: DataFrame, classes: DataFrame, docs: DataFrame, bands: Bands, parts: int) -> DataFrame:
+def _exact_links(links: DataFrame, classes: DataFrame, docs: DataFrame, bands: Bands, parts: int, names: Names) -> DataFrame:
     """Spanning edges (a, b) of the links between the sets that share signatures."""
     links = links.withColumn("gid", F.coalesce("gid", F.xxhash64("a", "b")))
     groups = links.groupBy("gid").agg((F.count("*") + 1).alias("size"), F.min("a").alias("node"))
@@ -471,36 +495,48 @@ def _exact_links(links: DataFrame, classes: DataFrame, docs: DataFrame, bands: B
 
     wanted = bitmap(classes.join(clusters, "node"), "tkey")
     texts = maybe(docs, wanted, F.col("tkey"), "read").where("read").select("text")
-    sets = texts.mapInArrow(trimmed(_sets), "node long, set binary").dropDuplicates(["node"]).join(clusters, "node")
+    sets = texts.mapInArrow(trimmed(_sets(names)), "node long, set binary").dropDuplicates(["node"]).join(clusters, "node")
     sizes = (classes.join(clusters, "node").groupBy("cluster")
              .agg(F.greatest(F.ceil(F.count("*") / SET_ROWS), F.ceil(8 * F.sum("n") / SET_BYTES)).alias("of")))
     blocks = _in_blocks(sets.join(sizes, "cluster"), F.col("of")).select("cluster", "i", "j", "node", "set")
     return blocks.repartition(parts, "cluster", "i", "j").mapInArrow(trimmed(_linked(bands)), "a long, b long")
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """The different sets, by name."""
+    return materialize(rows.where("n > 0").groupBy("node").agg(
+        F.min("id").alias("id"), F.min("tkey").alias("tkey"), F.min("n").alias("n"), F.min("parity").alias("parity"),
+        F.min("second").alias("low"), F.max("second").alias("high")), "jaccard-sets")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       num: int = 75, den: int = 100) -> DataFrame:
+                       num: int = 75, den: int = 100, key_bits: int = 64) -> DataFrame:
     """(id, n_shingles, component_id, component, row) for every row of ``docs``; component
-    is null if nothing can link, row is the key of (id, text)."""
+    is null if nothing can link, row is the 128-bit key of (id, text)."""
     bands = Bands(num, den)
     docs = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
-    docs = docs.withColumn("tkey", F.xxhash64("text")).withColumn("row", row_key(F.col("id"), F.col("text")))
+    docs = docs.withColumn("tkey", F.xxhash64("text")).withColumn("row", wide_key(F.col("id"), F.col("text")))
     id_type = docs.schema["id"].dataType.simpleString()
+    row_type = docs.schema["row"].dataType.simpleString()
     rows = materialize(docs.select("text", "id", "tkey", "row").mapInArrow(
-        _profile, f"id {id_type}, tkey long, row long, n long, node long, parity binary"), "jaccard-rows")
-    classes = materialize(rows.where("n > 0").groupBy("node").agg(
-        F.min("id").alias("id"), F.min("tkey").alias("tkey"), F.min("n").alias("n"),
-        F.min("parity").alias("parity")), "jaccard-sets")
+        _profile(Names(key_bits)),
+        f"id {id_type}, tkey long, row {row_type}, n long, node long, second long, parity binary"), "jaccard-rows")
+    classes = _classes(rows)
+    shared = shared_keys(classes, "node", "low", "high")
+    if shared:
+        rows = renamed(rows, "node", "second", shared)
+        classes = _classes(rows)
+    names = Names(key_bits, shared)
 
     parts = parts_for(docs)
     hot = _frequent(docs)
     hot = None if hot is None else docs.sparkSession.sparkContext.broadcast(hot)
     packed = docs.select("text").mapInArrow(
-        _pack(bands, hot, 4 * parts), "bucket int, sigs binary, owners binary, nodes binary")
+        _pack(bands, hot, 4 * parts, names), "bucket int, sigs binary, owners binary, nodes binary")
     links = materialize(packed.repartition(parts, "bucket").mapInArrow(trimmed(_stars), "gid long, a long, b long")
                         .distinct(), "jaccard-stars")
 
-    labels = connected_components(_exact_links(links, classes, docs, bands, parts))
+    labels = connected_components(_exact_links(links, classes, docs, bands, parts, names))
     own = classes.select("node", "id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = own.groupBy("root").agg(F.min("id").alias("component_id"))
     named = materialize(own.join(smallest, "root").select(F.col("node").alias("c"), "component_id", "root"),
@@ -523,8 +559,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     go = found.select("row").distinct().join(first, "row", "left_anti").union(often)
     k, flag = fresh(docs, "_row"), fresh(docs, "_maybe")
     text = F.col(text_col).cast("string")
-    marked = docs.withColumn(k, row_key(F.col(id_col), text))
-    marked = maybe(marked, bitmap(go, "row"), F.col(k), flag)
+    marked = docs.withColumn(k, wide_key(F.col(id_col), text))
+    marked = maybe(marked, bitmap(go.select("row.h1"), "h1"), F.col(k)["h1"], flag)
     wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     stay = marked.where(wordless | ~F.col(flag))
     rest = (marked.where(~wordless & F.col(flag)).join(first.select(F.col("row").alias(k)), k)

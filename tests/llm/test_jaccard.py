@@ -119,3 +119,20 @@ def test_word_hashes_follow_the_words():
             assert names.setdefault(name, h) == h
     assert len(set(names.values())) == len(names)
     assert got[0] == got[6]
+
+
+@pytest.mark.parametrize("bits", [2, 9])
+def test_sets_that_share_a_key(spark, bits):
+    """Keys of a few bits, which many different sets share, change nothing."""
+    docs = frame(spark, edge_docs())
+    plain, got = (sorted(map(repr, (tuple(r) for r in jaccard.jaccard_components(docs, key_bits=b).select(
+        "id", "n_shingles", "component_id").collect()))) for b in (64, bits))
+    assert got == plain and len(plain) == len(edge_docs())
+
+
+def test_names_of_sets():
+    u, v = np.arange(1, 40, dtype=np.uint64), np.arange(2, 41, dtype=np.uint64)
+    names = jaccard.Names()
+    assert names(u) == jaccard.set_key(u) != names(v)
+    shared = jaccard.Names(0, [0])
+    assert shared.key(u) == shared.key(v) == 0 and shared(u) != shared(v)
