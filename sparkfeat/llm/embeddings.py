@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts_for
+from .common import materialize, parts_for, renamed, shared_keys
 from .components import connected_components
 from .jaccard import roots
 from .textkit import mix
@@ -137,27 +137,45 @@ def _unit(flat: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _classes(batches):
-    """(id, vector) -> (id, node, dim, unit): node 0 for vectors that link with nothing."""
-    for batch in batches:
-        node, dim, unit = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int32), [None] * len(batch)
-        by_dim: dict[int, list] = {}
-        for i, v in enumerate(batch.column(1)):
-            if not v.is_valid or len(v.values) == 0 or v.values.null_count:
-                continue
-            x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            if np.isfinite(x).all() and np.abs(x).max() > 0:
-                by_dim.setdefault(len(x), []).append((i, x))
-        for d, rows in by_dim.items():
-            at = np.array([i for i, _ in rows])
-            u = _unit(np.stack([x for _, x in rows])) + 0.0  # no negative zeros
-            words = u.view(np.uint64)
-            key = mix(mix(words ^ mix(np.arange(d, dtype=np.uint64), 31), 32).sum(axis=1, dtype=np.uint64), d).view(np.int64)
-            node[at], dim[at] = np.where(key == 0, 1, key), d
-            for i, x in zip(at.tolist(), u):
-                unit[i] = x.tobytes()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(dim), pa.array(unit, pa.binary())],
-                                         ["id", "node", "dim", "unit"])
+def _key(u: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit keys (never 0) of the rows of ``u``."""
+    place = mix(np.arange(u.shape[1], dtype=np.uint64), seed)
+    key = mix(mix(u.view(np.uint64) ^ place, seed + 1).sum(axis=1, dtype=np.uint64), u.shape[1]).view(np.int64)
+    return np.where(key == 0, 1, key)
+
+
+def _keyed(bits: int):
+    """(id, vector) -> (id, node, second, dim, unit): node 0 for vectors that link with nothing,
+    else a key of ``bits`` bits; ``second`` is another key."""
+    def run(batches):
+        for batch in batches:
+            node, second, dim = (np.zeros(len(batch), t) for t in (np.int64, np.int64, np.int32))
+            unit, by_dim = [None] * len(batch), {}
+            for i, v in enumerate(batch.column(1)):
+                if not v.is_valid or len(v.values) == 0 or v.values.null_count:
+                    continue
+                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                if np.isfinite(x).all() and np.abs(x).max() > 0:
+                    by_dim.setdefault(len(x), []).append((i, x))
+            for d, rows in by_dim.items():
+                at = np.array([i for i, _ in rows])
+                u = _unit(np.stack([x for _, x in rows])) + 0.0  # no negative zeros
+                key = _key(u, 31)
+                node[at] = key if bits >= 64 else (key & ((1 << bits) - 1)) + 1
+                second[at], dim[at] = _key(u, 33), d
+                for i, x in zip(at.tolist(), u):
+                    unit[i] = x.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(node), pa.array(second), pa.array(dim), pa.array(unit, pa.binary())],
+                ["id", "node", "second", "dim", "unit"])
+    return run
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """The different vectors, by key."""
+    return materialize(rows.where("node <> 0").groupBy("node").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"), F.min("dim").alias("dim"), F.min("unit").alias("unit"),
+        F.min("second").alias("low"), F.max("second").alias("high")), "vector-classes")
 
 
 def _padded(units, width: int) -> np.ndarray:
@@ -258,15 +276,20 @@ def _compare(quantiser, width: int, threshold: float):
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    threshold: float = 0.95) -> DataFrame:
-    """(id, n_links, component_id, kept) for every row of ``vectors``."""
+                    threshold: float = 0.95, key_bits: int = 64) -> DataFrame:
+    """(id, n_links, component_id, kept) for every row of ``vectors``.  Equal vectors are one
+    node, named by a key of ``key_bits`` bits (fewer than 64 are for tests), or by a second
+    key where different vectors share the first."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     kind = rows.schema["id"].dataType.simpleString()
-    rows = materialize(rows.mapInArrow(_classes, f"id {kind}, node long, dim int, unit binary"), "vectors")
-    classes = materialize(rows.where("node <> 0").groupBy("node").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.min("dim").alias("dim"), F.min("unit").alias("unit")),
-        "vector-classes")
+    rows = materialize(rows.mapInArrow(_keyed(key_bits), f"id {kind}, node long, second long, dim int, unit binary"),
+                       "vectors")
+    classes = _classes(rows)
+    shared = shared_keys(classes, "node", "low", "high")
+    if shared:
+        rows = renamed(rows, "node", "second", shared)
+        classes = _classes(rows)
     n, width = classes.agg(F.count("*"), F.max("dim")).first()
     if not n:
         own = F.col("id")

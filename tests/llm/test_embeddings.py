@@ -59,6 +59,13 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, by_hand(rows)))
 
 
+@pytest.mark.parametrize("bits", [1, 6])
+def test_vectors_that_share_a_key(spark, bits):
+    rows = vectors()
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA), key_bits=bits).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, by_hand(rows)))
+
+
 def test_recall_with_planted_copies(spark):
     """The whole table with near copies at cosines around and above the threshold."""
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
