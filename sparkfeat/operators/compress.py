@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from typing import Dict, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clamp, half_round
-from ..plans.order import _names
+from ..plans.order import _names, global_index, null_safe_join
 from .group_select import first_rows, group_sizes
 
 
@@ -121,14 +121,54 @@ def sparsity(df: DataFrame, value: str, group=None) -> DataFrame:
                                  (100.0 * F.avg((F.col(value) == 0).cast("double"))).alias("sparsity_pct"))
 
 
-def sparsity_sweep(df: DataFrame, value: str, group, levels: Sequence[float]) -> DataFrame:
-    """Achieved sparsity of every (group, target level) (C7), in one counting pass.
-
-    Pruning starts with the weights that are zero already, so what is zero after pruning
-    to a level is the larger of the two counts."""
-    keys = _names(group)
-    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) == 0).alias("_z"))
-    pruned = lambda s: (F.col("n") - F.bround(F.col("n") * F.lit(1.0 - s))).cast("long")
-    parts = [F.struct(F.lit(float(s)).alias("target_sparsity"), F.greatest(pruned(s), F.col("_z")).alias("n_zero")) for s in levels]
-    return (st.select(*keys, "n", F.inline(F.array(*parts)))
-              .withColumn("achieved_pct", 100.0 * F.col("n_zero") / F.col("n")))
+def sparsity_schedule(spark: SparkSession, n_train: int, batch: int = 8, epochs: int = 10, initial: float = 0.0,
+                      final: float = 0.7, every: int = 100, power: int = 3) -> DataFrame:
+    """(step, target_sparsity) of the polynomial ramp (C7): end step T = ceil(n/batch) * epochs,
+    s(t) = final + (initial - final) (1 - t/T)^power at t = 0, every, 2*every, ... <= T."""
+    end = -(-n_train // batch) * epochs
+    left = F.pow(F.lit(1.0) - F.col("id") / F.lit(float(end)), F.lit(float(power))) if end else F.lit(1.0)
+    return spark.range(0, end + 1, every).select(F.col("id").cast("int").alias("step"),
+                                                 (F.lit(final) + F.lit(initial - final) * left).alias("target_sparsity"))
+
+
+RANK_BLOCK = 1_024  # ranks whose counts are summed before levels look at single weights
+
+
+def sparsity_sweep(df: DataFrame, value: str, group, levels: DataFrame | Sequence[float], tie=None) -> DataFrame:
+    """Achieved sparsity of every (group, level) (C7): the weights that are pruned, by their
+    rank, or zero already.  ``levels`` is a table with ``target_sparsity`` or a list of them.
+
+    Weights are ranked by the global index.  Zeros are summed by blocks of ranks; a level
+    takes the sums of the blocks below its cut and looks at the weights of the cut's block."""
+    keys, spark = _names(group), df.sparkSession
+    if not isinstance(levels, DataFrame):
+        levels = spark.createDataFrame([(float(s),) for s in levels], "target_sparsity double")
+    weight = F.col(value).cast("double")
+    order = {"_none": F.isnull(weight), "_abs": F.abs(weight), **({} if tie else {"_tie": F.xxhash64(*df.columns)})}
+    d = df.withColumns(order).withColumn("_zero", F.coalesce(weight == 0, F.lit(False)).cast("long"))
+    ranked, _ = global_index(d.select(*dict.fromkeys([*keys, *_names(tie), *order, "_zero"])),
+                                 [*order, *_names(tie)], keys, rn="_rn")
+    ranked = ranked.withColumn("_block", F.floor(F.col("_rn") / F.lit(RANK_BLOCK)).cast("long"))
+    blocks = ranked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_zero").alias("_zeros"))
+    below = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns({c: F.coalesce(F.sum(c[:-1]).over(below), F.lit(0)) for c in ("_rows_", "_zeros_")})
+    total = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_zero").alias("_all"))
+    wanted = total.crossJoin(levels).withColumn(
+        "_cut", (F.col("n") - F.bround(F.col("n") * (F.lit(1.0) - F.col("target_sparsity")))).cast("long"))
+    # a cut behind the last rank looks into the last block
+    wanted = wanted.withColumn("_block", F.floor(F.least(F.col("_cut"), F.col("n") - 1) / F.lit(RANK_BLOCK)).cast("long"))
+    known = null_safe_join(wanted, blocks.drop("_rows", "_zeros"), [*keys, "_block"])
+    cuts = known.select(*keys, "_block", "_cut").distinct()
+    inside = (null_safe_join(ranked.select(*keys, "_block", "_rn", "_zero"), cuts, [*keys, "_block"])
+              .where(F.col("_rn") < F.col("_cut")).groupBy(*keys, "_cut")
+              .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_zero").alias("_zeros")))
+    on = F.lit(True)
+    for i, k in enumerate([*keys, "_cut"]):
+        inside = inside.withColumnRenamed(k, f"_in_{i}")
+        on = on & F.col(k).eqNullSafe(F.col(f"_in_{i}"))
+    got = lambda c: F.coalesce(F.col(c), F.lit(0)) + F.col(f"{c}_")
+    n_zero = (got("_rows") + F.col("_all") - got("_zeros")).cast("long")
+    steps = [c for c in levels.columns if c != "target_sparsity"]
+    return (known.join(inside, on, "left").withColumn("n_zero", n_zero)
+                 .select(*keys, "n", *steps, "target_sparsity", "n_zero")
+                 .withColumn("achieved_pct", 100.0 * F.col("n_zero") / F.col("n")))

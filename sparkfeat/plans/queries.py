@@ -33,7 +33,6 @@ from ..sources import files as S
 LCOLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 ORDER = ["ts", "event_id"]
 WINDOWS = [10, 20, 50, 100]
-SPARSITY_LEVELS = [0.0, 0.25, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -516,7 +515,9 @@ def q_sparsity(spark, sf):
 
 
 def q_sparsity_sweep(spark, sf):
-    s = C.sparsity_sweep(_emb_long(spark, sf), "w", "label", SPARSITY_LEVELS)
+    n_train = _emb_split(spark, sf).where(F.col("split") == "train").count()
+    levels = C.sparsity_schedule(spark, n_train, 8, 10, 0.0, 0.7, 100)
+    s = C.sparsity_sweep(_emb_long(spark, sf), "w", "label", levels, tie="wid")
     return _sig_cols(s, ["target_sparsity", "achieved_pct"])
 
 

@@ -87,3 +87,19 @@ def test_empty_table_and_extremes(spark):
     nulls = spark.createDataFrame([(i, None if i < 5 else i * 1.0) for i in range(10)], "id long, x double")
     got = L.tail_holdout(nulls, ["x", "id"], 0.5).toPandas().set_index("id")["split"]
     assert (got.sort_index() == ["train"] * 5 + ["val"] * 5).all()
+
+
+def test_sparsity_sweep_follows_the_ramp(spark):
+    import pandas as pd
+    rows = [(g, float(i % 7) - 3.0 if i % 11 else None, i) for g in ("a", None) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, w double, id long")
+    levels = C.sparsity_schedule(spark, 403, every=30)
+    out = C.sparsity_sweep(df, "w", "g", levels, tie="id").toPandas()
+    assert set(out["step"]) == set(range(0, 511, 30)) and len(out) == 2 * 18
+    pdf = pd.DataFrame(rows, columns=["g", "w", "id"]).query("g == 'a'")
+    pdf = pdf.assign(a=pdf["w"].abs()).sort_values(["a", "id"], na_position="last").reset_index(drop=True)
+    for _, r in out.iterrows():
+        target = 0.7 - 0.7 * (1 - r["step"] / 510) ** 3
+        cut = 2500 - np.round(2500 * (1.0 - target))
+        assert abs(r["target_sparsity"] - target) < 1e-12
+        assert r["n"] == 2500 and r["n_zero"] == ((pdf.index < cut) | (pdf["w"] == 0)).sum()
