@@ -49,10 +49,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
-def draws(row: np.ndarray, copies: np.ndarray, tree: int, seed: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the row, draw) of all copies with a draw below ``bound`` in a tree."""
+def first_bound(copies: np.ndarray, bound: float) -> np.ndarray:
+    """What the uniform of a row's least draw stays below where that draw is below ``bound``,
+    with some room for rounding."""
+    if bound >= 1.0:
+        return np.ones(len(copies))
+    return -np.expm1(copies * np.log1p(-bound)) * (1.0 + 1e-9) + 1e-15
+
+
+def draws(row: np.ndarray, copies: np.ndarray, tree: int, seed: int, bound: float,
+          first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the row, draw) of all copies with a draw below ``bound`` in a tree; ``first``
+    is ``first_bound``, where many trees share it."""
     base = row.view(np.uint64) ^ np.uint64((seed * 0x632BE59BD9B4E019 + tree * 0xD6E8FEB86659FD93) % (1 << 64))
-    at, low, j = np.arange(len(row)), np.zeros(len(row)), 0
+    # all but a few rows have no draw below the bound: their first one is seen before its logarithm is taken
+    at = np.flatnonzero(_mix(base) <= first_bound(copies, bound) if first is None else _mix(base) <= first)
+    low, j = np.zeros(len(at)), 0
     index, value = [], []
     while len(at):  # the j-th least draw of each row that still has one below the bound
         u = _mix(base[at] + np.uint64((j * 0xA0761D6478BD642F) % (1 << 64)))
@@ -92,6 +104,29 @@ def _grow(X: np.ndarray, rng: np.random.Generator, limit: int):
     return nodes
 
 
+def descent_table(feat, thr, left, right, size) -> tuple:
+    """A tree for ``path_lengths``: feature, threshold, the next node by (node, goes left),
+    where a leaf leads to itself, path length at a leaf, levels."""
+    leaf, me = feat < 0, np.arange(len(feat))
+    depth = np.zeros(len(feat))
+    for i in np.flatnonzero(~leaf):  # parents come before their children
+        depth[[left[i], right[i]]] = depth[i] + 1
+    after = np.column_stack([np.where(leaf, me, right), np.where(leaf, me, left)]).astype(np.intp).ravel()
+    adj = np.array([c_factor(float(x)) for x in size])  # path-length credit of a leaf
+    return np.where(leaf, 0, feat).astype(np.intp), thr.astype(np.float64), after, depth + adj, int(depth.max(initial=0))
+
+
+def path_lengths(forest, X: np.ndarray) -> np.ndarray:
+    """Sum of the path lengths of each row over the trees: all rows go down a level at a time."""
+    values, start, total = np.ascontiguousarray(X).ravel(), np.arange(len(X)) * X.shape[1], np.zeros(len(X))
+    for feat, thr, after, length, levels in forest:
+        node = np.zeros(len(X), dtype=np.intp)
+        for _ in range(levels):
+            node = after[2 * node + (values[start + feat[node]] < thr[node])]
+        total += length[node]
+    return total
+
+
 class IsolationForest:
     def __init__(self, cols: Sequence[str], trees: int = 100, sample: int = 256, contamination: float = 0.02,
                  seed: int = 42, key: str | None = None):
@@ -114,8 +149,9 @@ class IsolationForest:
             for pdf in batches:
                 r, c = pdf["_row"].to_numpy(np.int64), pdf["_copies"].to_numpy(np.int64)
                 X = pdf[names].to_numpy(np.float64)
+                first = first_bound(c, share)
                 for t in range(trees):
-                    at, u = draws(r, c, t, seed, share)
+                    at, u = draws(r, c, t, seed, share, first)
                     if len(at):
                         got = np.column_stack([u, X[at]])
                         got = got if best[t] is None else np.concatenate([best[t], got])
@@ -155,8 +191,7 @@ class IsolationForestModel:
             rs = sorted(by_tree[t], key=lambda r: r["node"])
             feat, thr, left, right, size = (np.array([r[k] for r in rs]) for k in
                                             ("feature", "threshold", "left", "right", "size"))
-            adj = np.array([c_factor(float(x)) for x in size])  # path-length credit of a leaf
-            self.forest.append((feat, thr, left, right, adj))
+            self.forest.append(descent_table(feat, thr, left, right, size))
 
     def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         spark = df.sparkSession
@@ -168,19 +203,7 @@ class IsolationForestModel:
             forest, psi = bc.value
             cn = c_factor(psi)
             for pdf in batches:
-                X = pdf[cols].to_numpy(np.float64)
-                total = np.zeros(len(pdf))
-                for feat, thr, left, right, adj in forest:
-                    node = np.zeros(len(pdf), dtype=np.int64)
-                    depth = np.zeros(len(pdf))
-                    active = feat[node] >= 0
-                    while active.any():
-                        f = feat[node[active]]
-                        go_left = X[active, f] < thr[node[active]]
-                        node[active] = np.where(go_left, left[node[active]], right[node[active]])
-                        depth[active] += 1
-                        active = feat[node] >= 0
-                    total += depth + adj[node]
+                total = path_lengths(forest, pdf[cols].to_numpy(np.float64))
                 pdf[out] = np.power(2.0, -(total / len(forest)) / cn) if cn > 0 else 0.5
                 yield pdf
 

@@ -10,7 +10,7 @@ from sparkfeat.operators import outliers as O
 from sparkfeat.operators import profile as P
 from sparkfeat.operators import rolling as R
 from sparkfeat.operators import split as L
-from sparkfeat.operators.isoforest import IsolationForest, c_factor
+from sparkfeat.operators.isoforest import IsolationForest, c_factor, descent_table, path_lengths
 from sparkfeat.operators.ranks import wide_select
 
 
@@ -124,3 +124,14 @@ def test_models_learn_and_come_back(spark, tmp_path):
         else:
             assert steps == []
     assert M.mlp_param_count([4, 16, 8, 3]) == 243 and M.mlp_param_count([4, 64, 32, 16, 3]) == 2979
+
+
+def test_path_lengths_match_a_descent_by_hand():
+    feat, thr = np.array([0, -1, 1, -1, -1]), np.array([0.5, 0.0, 2.0, 0.0, 0.0])
+    left, right, size = np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1]), np.array([9, 3, 6, 1, 5])
+    X = np.array([[0.1, 9.0], [0.5, 1.0], [0.7, 2.0], [np.nan, np.nan]])  # what is not less goes right
+    one = descent_table(feat, thr, left, right, size)
+    alone = descent_table(*(np.array(x) for x in ([-1], [0.0], [-1], [-1], [4])))
+    want = np.array([1 + c_factor(3), 2 + c_factor(1), 2 + c_factor(5), 2 + c_factor(5)])
+    assert np.array_equal(path_lengths([one], X), want)
+    assert np.array_equal(path_lengths([one, alone], X), want + c_factor(4))
