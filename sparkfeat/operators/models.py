@@ -188,11 +188,28 @@ def mlp_param_count(layers) -> int:
 
 
 ROWS_A_TASK = 10_000  # training rows for which a task of its own pays
+VALUES_A_TASK = 4_000_000  # feature values that a task holds at most, where a scan's files make fewer tasks
+
+
+def spread(d: DataFrame, n: int, most: int, width: int, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """A training table of ``n`` rows, ``most`` of them in its fullest partition, in partitions
+    for the passes of a fit: a small table in few, a large one in as many as keep them bounded."""
+    full = max(rows_a_task, VALUES_A_TASK // max(width, 1))
+    if most > 2 * full:
+        return d.repartition(-(-n // full))
+    return d.coalesce(max(1, -(-n // rows_a_task)))
+
+
+def fullest_partition(df: DataFrame) -> tuple[int, int]:
+    """Rows, and rows of the fullest partition."""
+    sizes = df.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    r = sizes.agg(F.sum("_n").alias("n"), F.max("_n").alias("most")).first()
+    return int(r["n"] or 0), int(r["most"] or 0)
 
 
 def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int = 42):
     """Fit one named model on a table with an array feature column; returns (PipelineModel, seconds)."""
-    n = train.count()
+    n, most = fullest_partition(train)
     dims = len(train.select(features).first()[0])
     k = train.select(label).distinct().count()
     stages = []
@@ -202,8 +219,8 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     d = model_input(train, features, label)
     for stage in stages:  # mapped once, not in every pass of the fit
         d = stage.transform(d.drop("features"))
-    # every iteration is a job over all partitions: a small table has few
-    d = d.coalesce(max(1, -(-n // ROWS_A_TASK))).cache()
+    # every iteration is a job over all partitions: a small table has few, a large one no large ones
+    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims).cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
