@@ -144,7 +144,9 @@ def estimator(name: str, n_train: int, n_features: int, n_classes: int, seed: in
     if name == "tree":
         return DecisionTreeClassifier(featuresCol="features", labelCol="label_d", maxDepth=20, seed=seed)
     if name == "forest":
-        return RandomForestClassifier(featuresCol="features", labelCol="label_d", numTrees=30, maxDepth=20, seed=seed)
+        # rows keep the ids of their nodes, and more nodes are split in a pass
+        return RandomForestClassifier(featuresCol="features", labelCol="label_d", numTrees=30, maxDepth=20, seed=seed,
+                                      cacheNodeIds=True, maxMemoryInMB=1024)
     if name in ("linear_svm", "rbf_svm"):
         # one binary problem per class, trained concurrently
         return OneVsRest(classifier=LinearSVC(maxIter=100, tol=1e-4, regParam=1.0 / n_train), featuresCol="features",
@@ -188,6 +190,7 @@ def mlp_param_count(layers) -> int:
 
 
 ROWS_A_TASK = 10_000  # training rows for which a task of its own pays
+FOREST_ROWS_A_TASK = 25_000  # in a forest, where each task fills the statistics of all nodes
 VALUES_A_TASK = 4_000_000  # feature values that a task holds at most, where a scan's files make fewer tasks
 
 
@@ -220,7 +223,8 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     for stage in stages:  # mapped once, not in every pass of the fit
         d = stage.transform(d.drop("features"))
     # every iteration is a job over all partitions: a small table has few, a large one no large ones
-    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims).cache()
+    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims,
+               FOREST_ROWS_A_TASK if name == "forest" else ROWS_A_TASK).cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
