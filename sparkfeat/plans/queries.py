@@ -697,16 +697,24 @@ from ..operators import tune as G  # noqa: E402
 from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier  # noqa: E402
 
 
+# candidates and folds are fitted at the same time, so a fit needs few tasks of its own: a
+# task of a forest fills the statistics of all nodes, however few rows it has
+GRID_ROWS_A_TASK = 50_000
+
+
 def _cv_frames(spark, sf, folds: int):
     train, test = _train_test(spark, sf)
     tr = L.stratified_folds(train.drop("split"), "label", "vec_id", folds, 42)
-    return (materialize(M.with_vectors(tr, "embedding", "features", "label"), "fold-vectors"),
+    tr = materialize(M.with_vectors(tr, "embedding", "features", "label"), "fold-vectors")
+    n, most = M.fullest_partition(tr)
+    dims = len(tr.select("embedding").first()[0])
+    return (M.spread(tr.drop("embedding"), n, most, dims, GRID_ROWS_A_TASK),
             M.with_vectors(test, "embedding", "features", "label"))
 
 
 def _grid_forest(spark, sf):
     tr, te = _cv_frames(spark, sf, 3)
-    est = RandomForestClassifier(featuresCol="features", labelCol="label_d", seed=42)
+    est = RandomForestClassifier(featuresCol="features", labelCol="label_d", seed=42, cacheNodeIds=True)
     # "no depth limit" becomes Spark's maximum depth, 30
     return G.grid_search(est, {"numTrees": [20, 30, 50], "maxDepth": [10, 20, 30]}, tr), te
 
@@ -718,7 +726,7 @@ def q_grid_forest(spark, sf):
 
 def _grid_mlp(spark, sf):
     tr, te = _cv_frames(spark, sf, 5)
-    d = len(tr.select("embedding").first()[0])
+    d = len(tr.select("features").first()[0])
     k = int(tr.agg(F.max("label")).first()[0]) + 1
     est = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_d", seed=42)
     layers = [[d, a, b, k] for a in (16, 32) for b in (8, 16)]
