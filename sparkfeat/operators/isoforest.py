@@ -104,7 +104,7 @@ def _grow(X: np.ndarray, rng: np.random.Generator, limit: int):
     return nodes
 
 
-def descent_table(feat, thr, left, right, size) -> tuple:
+def descent_table(feat, thr, left, right, adj) -> tuple:
     """A tree for ``path_lengths``: feature, threshold, the next node by (node, goes left),
     where a leaf leads to itself, path length at a leaf, levels."""
     leaf, me = feat < 0, np.arange(len(feat))
@@ -112,7 +112,6 @@ def descent_table(feat, thr, left, right, size) -> tuple:
     for i in np.flatnonzero(~leaf):  # parents come before their children
         depth[[left[i], right[i]]] = depth[i] + 1
     after = np.column_stack([np.where(leaf, me, right), np.where(leaf, me, left)]).astype(np.intp).ravel()
-    adj = np.array([c_factor(float(x)) for x in size])  # path-length credit of a leaf
     return np.where(leaf, 0, feat).astype(np.intp), thr.astype(np.float64), after, depth + adj, int(depth.max(initial=0))
 
 
@@ -191,11 +190,12 @@ class IsolationForestModel:
             rs = sorted(by_tree[t], key=lambda r: r["node"])
             feat, thr, left, right, size = (np.array([r[k] for r in rs]) for k in
                                             ("feature", "threshold", "left", "right", "size"))
-            self.forest.append(descent_table(feat, thr, left, right, size))
+            adj = np.array([c_factor(float(x)) for x in size])  # path-length credit of a leaf
+            self.forest.append((feat, thr, left, right, adj))
 
     def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         spark = df.sparkSession
-        bc = spark.sparkContext.broadcast((self.forest, self.psi))
+        bc = spark.sparkContext.broadcast(([descent_table(*tree) for tree in self.forest], self.psi))
         cols = self.est.cols
         schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType(), True)])
 

@@ -128,10 +128,11 @@ def test_models_learn_and_come_back(spark, tmp_path):
 
 def test_path_lengths_match_a_descent_by_hand():
     feat, thr = np.array([0, -1, 1, -1, -1]), np.array([0.5, 0.0, 2.0, 0.0, 0.0])
-    left, right, size = np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1]), np.array([9, 3, 6, 1, 5])
+    left, right = np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1])
+    adj = np.array([c_factor(n) for n in (9, 3, 6, 1, 5)])
     X = np.array([[0.1, 9.0], [0.5, 1.0], [0.7, 2.0], [np.nan, np.nan]])  # what is not less goes right
-    one = descent_table(feat, thr, left, right, size)
-    alone = descent_table(*(np.array(x) for x in ([-1], [0.0], [-1], [-1], [4])))
+    one = descent_table(feat, thr, left, right, adj)
+    alone = descent_table(*(np.array(x) for x in ([-1], [0.0], [-1], [-1], [c_factor(4)])))
     want = np.array([1 + c_factor(3), 2 + c_factor(1), 2 + c_factor(5), 2 + c_factor(5)])
     assert np.array_equal(path_lengths([one], X), want)
     assert np.array_equal(path_lengths([one, alone], X), want + c_factor(4))
