@@ -694,11 +694,11 @@ def q_model_size(spark, sf):
 
 # ------------------------------------------------------------------ grid search (rows-only)
 from ..operators import tune as G  # noqa: E402
-from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier  # noqa: E402
+from ..operators.forest import Forest  # noqa: E402
+from pyspark.ml.classification import MultilayerPerceptronClassifier  # noqa: E402
 
 
-# candidates and folds are fitted at the same time, so a fit needs few tasks of its own: a
-# task of a forest fills the statistics of all nodes, however few rows it has
+# candidates are fitted at the same time, so a fit needs few tasks of its own
 GRID_ROWS_A_TASK = 50_000
 
 
@@ -714,7 +714,7 @@ def _cv_frames(spark, sf, folds: int):
 
 def _grid_forest(spark, sf):
     tr, te = _cv_frames(spark, sf, 3)
-    est = RandomForestClassifier(featuresCol="features", labelCol="label_d", seed=42, cacheNodeIds=True)
+    est = Forest(featuresCol="features", labelCol="label_d", seed=42, cacheNodeIds=True)
     # "no depth limit" becomes Spark's maximum depth, 30
     return G.grid_search(est, {"numTrees": [20, 30, 50], "maxDepth": [10, 20, 30]}, tr), te
 
