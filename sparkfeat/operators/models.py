@@ -6,7 +6,7 @@ a ``pyspark.ml`` estimator trained by executors.  Differences that matter:
 * logistic regression: multinomial, L2 with regParam = 1/n (sklearn's C=1 on
   the summed loss), no standardization;
 * decision tree / forest: Spark bins split candidates (maxBins) and caps
-  depth at 30;
+  depth at 30; the forest is grown by ``operators.forest``;
 * linear SVM: one-vs-rest hinge loss (sklearn's LinearSVC uses squared hinge);
 * RBF SVM: Spark has no kernel SVM; landmark features (Nystroem), whose products
   are the kernel with gamma = 1 / (d var(X)) ("scale") on the landmarks' span, followed
@@ -27,8 +27,7 @@ import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
-                                       RandomForestClassifier)
+                                       MultilayerPerceptronClassifier, NaiveBayes, OneVsRest)
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -37,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .forest import Forest
+
 
 def with_vectors(df: DataFrame, features: str, out: str = "features", label: str | None = None) -> DataFrame:
     """array column -> ml vector (and the label as double for pyspark.ml)."""
@@ -144,9 +145,8 @@ def estimator(name: str, n_train: int, n_features: int, n_classes: int, seed: in
     if name == "tree":
         return DecisionTreeClassifier(featuresCol="features", labelCol="label_d", maxDepth=20, seed=seed)
     if name == "forest":
-        # rows keep the ids of their nodes, and more nodes are split in a pass
-        return RandomForestClassifier(featuresCol="features", labelCol="label_d", numTrees=30, maxDepth=20, seed=seed,
-                                      cacheNodeIds=True, maxMemoryInMB=1024)
+        # rows are kept by the nodes in which they lie
+        return Forest(featuresCol="features", labelCol="label_d", numTrees=30, maxDepth=20, seed=seed, cacheNodeIds=True)
     if name in ("linear_svm", "rbf_svm"):
         # one binary problem per class, trained concurrently
         return OneVsRest(classifier=LinearSVC(maxIter=100, tol=1e-4, regParam=1.0 / n_train), featuresCol="features",
@@ -173,7 +173,7 @@ def n_params(model) -> int:
         return int(m.coefficientMatrix.numRows * m.coefficientMatrix.numCols + len(m.interceptVector))
     if cls == "DecisionTreeClassificationModel":
         return int(m.numNodes)
-    if cls == "RandomForestClassificationModel":
+    if cls == "ForestModel":
         return int(m.totalNumNodes)
     if cls == "OneVsRestModel":
         return int(sum(len(x.coefficients) + 1 for x in m.models))
@@ -190,7 +190,6 @@ def mlp_param_count(layers) -> int:
 
 
 ROWS_A_TASK = 10_000  # training rows for which a task of its own pays
-FOREST_ROWS_A_TASK = 25_000  # in a forest, where each task fills the statistics of all nodes
 VALUES_A_TASK = 4_000_000  # feature values that a task holds at most, where a scan's files make fewer tasks
 
 
@@ -223,8 +222,7 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     for stage in stages:  # mapped once, not in every pass of the fit
         d = stage.transform(d.drop("features"))
     # every iteration is a job over all partitions: a small table has few, a large one no large ones
-    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims,
-               FOREST_ROWS_A_TASK if name == "forest" else ROWS_A_TASK).cache()
+    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims).cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
     t0 = time.perf_counter()
