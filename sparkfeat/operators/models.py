@@ -20,14 +20,14 @@ a ``pyspark.ml`` estimator trained by executors.  Differences that matter:
 from __future__ import annotations
 
 import time
-from typing import Callable, Dict
+from typing import Callable, Dict, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, OneVsRest)
+                                       MultilayerPerceptronClassifier, NaiveBayes)
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .forest import Forest
+from .svm import JointSVM
 
 
 def with_vectors(df: DataFrame, features: str, out: str = "features", label: str | None = None) -> DataFrame:
@@ -65,11 +66,17 @@ def scale_gamma(df: DataFrame, features: str) -> float:
 CANDIDATES = 2_048  # rows at most from which landmarks are picked
 LANDMARKS = 512  # and landmarks at most
 RESIDUAL = 0.01  # share of the kernel's trace that may be left
+MAPPED = 1_024  # rows that are mapped at once
 
 
 def rbf_kernel(X: np.ndarray, Z: np.ndarray, gamma: float) -> np.ndarray:
-    d2 = (X * X).sum(1)[:, None] + (Z * Z).sum(1)[None, :] - 2.0 * (X @ Z.T)
-    return np.exp(-gamma * np.maximum(d2, 0.0))
+    d2 = (X * X).sum(1)[:, None] + (Z * Z).sum(1)[None, :]
+    dot = X @ Z.T
+    dot *= 2.0
+    d2 -= dot
+    np.maximum(d2, 0.0, out=d2)
+    d2 *= -gamma
+    return np.exp(d2, out=d2)
 
 
 def pick_landmarks(X: np.ndarray, gamma: float, residual: float = RESIDUAL, most: int = LANDMARKS) -> tuple[np.ndarray, float]:
@@ -103,21 +110,32 @@ class Nystroem(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, De
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def features(self):
-        """The map from rows to features (numpy), and the landmarks that it rests on."""
+    def basis(self):
+        """The map from rows to their kernel values with the landmarks (numpy)."""
         gamma = self.getOrDefault(self.gamma)
         Z = np.array(self.getOrDefault(self.landmarks)).reshape(-1, self.getOrDefault(self.dims))
-        values, vectors = np.linalg.eigh(rbf_kernel(Z, Z, gamma))
+        return lambda X: rbf_kernel(X, Z, gamma)
+
+    def weights(self) -> np.ndarray:
+        """What makes features of kernel values."""
+        Z = np.array(self.getOrDefault(self.landmarks)).reshape(-1, self.getOrDefault(self.dims))
+        values, vectors = np.linalg.eigh(rbf_kernel(Z, Z, self.getOrDefault(self.gamma)))
         keep = values > 1e-10 * values.max()
-        W = vectors[:, keep] / np.sqrt(values[keep])
-        return lambda X: rbf_kernel(X, Z, gamma) @ W
+        return vectors[:, keep] / np.sqrt(values[keep])
+
+    def features(self):
+        """The map from rows to features (numpy)."""
+        basis, W = self.basis(), self.weights()
+        return lambda X: basis(X) @ W
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         phi = self.features()
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def nystroem(col: pd.Series) -> pd.Series:
-            return pd.Series(list(phi(np.stack(col.to_numpy()).astype(np.float64))))
+        def nystroem(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for col in columns:  # a few rows at a time: a row of features is longer than its values
+                for i in range(0, len(col), MAPPED):
+                    yield pd.Series(list(phi(np.stack(col.iloc[i:i + MAPPED].to_numpy()).astype(np.float64))))
 
         return dataset.withColumn(self.getOutputCol(), array_to_vector(nystroem(F.col(self.getInputCol()))))
 
@@ -148,9 +166,9 @@ def estimator(name: str, n_train: int, n_features: int, n_classes: int, seed: in
         # rows are kept by the nodes in which they lie
         return Forest(featuresCol="features", labelCol="label_d", numTrees=30, maxDepth=20, seed=seed, cacheNodeIds=True)
     if name in ("linear_svm", "rbf_svm"):
-        # one binary problem per class, trained concurrently
-        return OneVsRest(classifier=LinearSVC(maxIter=100, tol=1e-4, regParam=1.0 / n_train), featuresCol="features",
-                         labelCol="label_d", parallelism=8)
+        # one binary problem per class, fitted in the same passes
+        return JointSVM(classifier=LinearSVC(maxIter=100, tol=1e-4, regParam=1.0 / n_train), featuresCol="features",
+                        labelCol="label_d")
     if name == "naive_bayes":
         return NaiveBayes(featuresCol="features", labelCol="label_d", modelType="gaussian")
     if name == "mlp_small":
@@ -218,13 +236,12 @@ def fit_model(name: str, train: DataFrame, features: str, label: str, seed: int
     if name == "rbf_svm":
         # the map is a stage of the pipeline, from the array column to the feature vector
         stages.append(fit_nystroem(train, features, scale_gamma(train, features), dims, seed))
-    d = model_input(train, features, label)
-    for stage in stages:  # mapped once, not in every pass of the fit
-        d = stage.transform(d.drop("features"))
     # every iteration is a job over all partitions: a small table has few, a large one no large ones
-    d = spread(d.select("features", "label_d"), n, most, LANDMARKS if stages else dims).cache()
+    d = spread(model_input(train, features, label).select("features", "label_d"), n, most, dims).cache()
     d.count()
     est = estimator(name, n, dims, int(train.agg(F.max(label)).first()[0]) + 1 if name.startswith("mlp") else k, seed)
+    if stages:  # the rows are kept as they are and mapped in the passes of the fit
+        est.through = stages[0]
     t0 = time.perf_counter()
     model = PipelineModel(stages=[*stages, est.fit(d)])
     secs = time.perf_counter() - t0
