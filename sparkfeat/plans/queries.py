@@ -537,8 +537,8 @@ def _train_test(spark, sf):
     return sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
 
 
-def _zoo_row(spark, sf, name: str, save: bool = True) -> DataFrame:
-    train, test = _train_test(spark, sf)
+def _zoo_row(spark, sf, name: str, save: bool = True, split=None) -> DataFrame:
+    train, test = split or _train_test(spark, sf)
     model, fit_s = M.fit_model(name, train, "embedding", "label")
     pred = M.predict(model, test, "embedding", "vec_id", "label", name)
     t0 = time.perf_counter()
@@ -591,15 +591,14 @@ def q_mlp_large(spark, sf):
     return _zoo_row(spark, sf, "mlp_large")
 
 
-def _knn_row(spark, sf) -> DataFrame:
+def _knn_row(spark, split) -> DataFrame:
     """The nearest-neighbour model's row: what it stores is its training rows."""
-    sp = _emb_split(spark, sf)
-    train = sp.where(F.col("split") == "train").select("vec_id", "label", "embedding")
+    train, test = split
+    train = train.select("vec_id", "label", "embedding")
     t0 = time.perf_counter()
     path = scratch_path(spark, "model-knn")
     train.write.parquet(path)
     fit_s = time.perf_counter() - t0
-    test = sp.where(F.col("split") == "test")
     t0 = time.perf_counter()
     pred = K.knn_predict(spark.read.parquet(path), test, 5, "vec_id", "label", "embedding")
     pred.write.format("noop").mode("overwrite").save()
@@ -613,10 +612,10 @@ def _knn_row(spark, sf) -> DataFrame:
 
 def q_model_comparison(spark, sf):
     """All models in one table with their stored sizes (V7, V12), the best one flagged (V8)."""
-    rows = _knn_row(spark, sf)
+    split = _train_test(spark, sf)
+    rows = materialize(_knn_row(spark, split), "model-comparison")  # a row a model, written before the next is fitted
     for name in M.MODELS:
-        rows = rows.unionByName(_zoo_row(spark, sf, name))
-    rows = materialize(rows, "model-comparison")  # a row a model
+        rows = rows.unionByName(materialize(_zoo_row(spark, sf, name, split=split), "model-comparison"))
     best = rows.orderBy(F.desc("accuracy"), F.asc("model")).first()["model"]
     return rows.withColumn("is_best", F.col("model") == F.lit(best))
 
